@@ -26,8 +26,8 @@ courses AS (
          split_part('Mathematics,English Literature,Science,History,Art,Music,Physical Education,Computer Science,Foreign Language',
                     ',', CAST(p_partkey % 9 + 1 AS INT)) || ' ' ||
          split_part('101,102,201,202,301,302,AP,Honors,Remedial', ',', CAST(p_partkey // 9 % 9 + 1 AS INT)) AS name,
-         'T' || s_suppkey AS teacher_id, 'S' || s_nationkey AS school_id
-  FROM part JOIN supplier ON s_suppkey = p_partkey // 20
+         'T' || (p_partkey // 20) AS teacher_id, 'S' || (p_partkey // 20 % 25) AS school_id
+  FROM part
   UNION ALL SELECT 'Y' || n_nationkey, 'Orientation ' || n_name, 'V' || n_nationkey, 'S' || n_nationkey FROM nation
 ),
 numbered_documents AS (
@@ -35,6 +35,8 @@ numbered_documents AS (
 ),
 contents AS (
   SELECT 'D' || doc_id AS id, 'C' || doc_id AS course_id, 'T' || (doc_id // 20) AS teacher_id,
+         '/files/C' || doc_id || '/' || split_part('lesson,assignment,quiz,video,image,resource', ',', kind) || '_' ||
+         doc_id || '.' || split_part('pdf,docx,pptx,mp4,jpg,zip', ',', kind) AS file_path,
          split_part('lesson,assignment,quiz,video,image,resource', ',', kind) AS content_type,
          split_part('pdf,docx,pptx,mp4,jpg,zip', ',', kind) AS file_type
   FROM numbered_documents
@@ -205,13 +207,220 @@ FROM ({REPORTS["Q9"]}) WHERE avg_gpa_given IS NOT NULL
     "C4_contents": _pie("Q10", "file_type"),
 }
 
-QUERIES = {
+AUDIT = "TRUE AS is_active, '{}' AS metadata"
+FIXED_START = "TIMESTAMP '1995-01-01' AS created_at, TIMESTAMP '1995-01-01' AS updated_at"
+OWN_TIME = "created_at, created_at AS updated_at"
+
+INGEST = {
+    "S2_users": f"SELECT id, {FIXED_START}, {AUDIT}, name, id || '@school.edu' AS email, role, school_id FROM users",
+    "S2_schools": f"SELECT id, {FIXED_START}, {AUDIT}, name, address FROM schools",
+    "S2_courses": f"SELECT id, {FIXED_START}, {AUDIT}, name, teacher_id, school_id FROM courses",
+    "S2_contents": f"SELECT id, {FIXED_START}, {AUDIT}, course_id, teacher_id, file_path, file_type FROM contents",
+    "S2_homeworks": f"""
+SELECT id, {OWN_TIME}, {AUDIT}, course_id, student_id,
+       '/files/' || course_id || '/' || id || '.' || file_type AS file_path, file_type
+FROM homeworks
+""",
+    "S2_grades": f"""
+SELECT id, {OWN_TIME}, {AUDIT}, course_id, student_id, grade, CAST(NULL AS VARCHAR) AS comments FROM grades
+""",
+    "S2_adjustments": f"SELECT id, {OWN_TIME}, {AUDIT}, student_id, course_id, action FROM adjustments",
+}
+
+TABLE_NAMES = {
+    "Q1": "avg_grade_per_course",
+    "Q2": "avg_grade_per_teacher",
+    "Q3": "homework_submission_rate",
+    "Q4": "parent_engagement",
+    "Q5": "course_load_changes",
+    "Q6": "grade_distribution",
+    "Q7": "school_performance",
+    "Q8": "subject_performance",
+    "Q9": "teacher_workload",
+    "Q10": "content_analysis",
+}
+
+TABLES = {
+    **INGEST,
+    "S3": "SELECT course_id, COUNT(*) AS n, COUNT(DISTINCT student_id) AS students FROM grades GROUP BY course_id",
+    "S4": """
+SELECT s.name AS school_name, u.role, COUNT(*) AS n
+FROM users u JOIN schools s ON s.id = u.school_id GROUP BY s.name, u.role
+""",
+    "S5": REPORTS["Q10"],
+    "S7": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS num_rows FROM ({REPORTS[q]})" for q, name in TABLE_NAMES.items()
+    ),
+}
+
+# Dimensions and facts. A key is the position of the natural key in its order.
+STAR_VIEWS = f"""
+dim_school AS (
+  SELECT row_number() OVER (ORDER BY id) AS school_key, id AS school_id, name,
+         CAST(NULL AS VARCHAR) AS type, CAST(NULL AS VARCHAR) AS region
+  FROM schools
+),
+people AS (
+  SELECT u.*, row_number() OVER (PARTITION BY role ORDER BY id) AS person_key, school_key
+  FROM users u LEFT JOIN dim_school d ON d.school_id = u.school_id
+),
+dim_student AS (
+  SELECT person_key AS student_key, id AS student_id, name, school_key FROM people WHERE role = 'student'
+),
+dim_teacher AS (
+  SELECT person_key AS teacher_key, id AS teacher_id, name, school_key FROM people WHERE role = 'teacher'
+),
+dim_parent AS (
+  SELECT person_key AS parent_key, id AS parent_id, name, school_key FROM people WHERE role = 'parent'
+),
+dim_course AS (
+  SELECT row_number() OVER (ORDER BY id) AS course_key, id AS course_id, c.name,
+         {SUBJECT.format('c.name')} AS subject, string_split(c.name, ' ')[-1] AS level, d.school_key, teacher_key
+  FROM courses c LEFT JOIN dim_school d ON d.school_id = c.school_id
+  LEFT JOIN dim_teacher t ON t.teacher_id = c.teacher_id
+),
+dim_action AS (
+  SELECT row_number() OVER (ORDER BY action) AS action_key, action AS action_name
+  FROM (SELECT DISTINCT action FROM adjustments)
+),
+dim_content AS (
+  SELECT row_number() OVER (ORDER BY id) AS content_key, id AS content_id, file_type, content_type,
+         course_key, t.teacher_key
+  FROM contents c LEFT JOIN dim_course d ON d.course_id = c.course_id
+  LEFT JOIN dim_teacher t ON t.teacher_id = c.teacher_id
+),
+days AS (
+  SELECT created_at FROM grades UNION ALL SELECT created_at FROM homeworks UNION ALL SELECT created_at FROM adjustments
+),
+calendar AS (
+  SELECT CAST(unnest(generate_series(CAST(MIN(created_at) AS DATE), CAST(MAX(created_at) AS DATE), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM days
+),
+dim_date AS (
+  SELECT CAST(strftime(date, '%Y%m%d') AS INT) AS date_key, date, CAST(week(date) AS INT) AS week,
+         CAST(month(date) AS INT) AS month, CAST(quarter(date) AS INT) AS quarter, CAST(year(date) AS INT) AS year,
+         strftime(date, '%Y-%m-%d') IN ('1996-01-01', '1996-12-25') AS is_holiday
+  FROM calendar
+),
+fact_grade AS (
+  SELECT student_key, course_key, CAST(strftime(created_at, '%Y%m%d') AS INT) AS date_key,
+         CAST({FULL} AS DOUBLE) / 10 AS grade_numeric, grade AS grade_letter,
+         CAST(NULL AS DOUBLE) AS points_earned, CAST(NULL AS DOUBLE) AS points_possible,
+         {FULL} AS tenths
+  FROM grades g LEFT JOIN dim_student s ON s.student_id = g.student_id
+  LEFT JOIN dim_course c ON c.course_id = g.course_id
+),
+fact_homework AS (
+  SELECT student_key, course_key, CAST(strftime(created_at, '%Y%m%d') AS INT) AS date_key, 1 AS submitted_flag, file_type
+  FROM homeworks g LEFT JOIN dim_student s ON s.student_id = g.student_id
+  LEFT JOIN dim_course c ON c.course_id = g.course_id
+),
+fact_course_load_change AS (
+  SELECT student_key, course_key, CAST(strftime(created_at, '%Y%m%d') AS INT) AS date_key, action_key, 1 AS change_count
+  FROM adjustments g LEFT JOIN dim_student s ON s.student_id = g.student_id
+  LEFT JOIN dim_course c ON c.course_id = g.course_id LEFT JOIN dim_action a ON a.action_name = g.action
+)
+"""
+
+
+def _per_level(source: str, levels: list[str], measures: str) -> str:
+    """One plain GROUP BY per level."""
+    return " UNION ALL ".join(
+        f"SELECT '{level.removesuffix('_key')}' AS level, CAST({level} AS VARCHAR) AS member, {measures} "
+        f"FROM {source} GROUP BY {level}"
+        for level in levels
+    )
+
+
+STAR = {
+    "K1_dim_date": "SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM dim_date",
+    "K2_dim_student": "SELECT * FROM dim_student",
+    "K2_dim_teacher": "SELECT * FROM dim_teacher",
+    "K2_dim_parent": "SELECT * FROM dim_parent",
+    "K3_dim_course": "SELECT * FROM dim_course",
+    "K4_dim_school": "SELECT * FROM dim_school",
+    "K4_dim_action": "SELECT * FROM dim_action",
+    "K4_dim_content": "SELECT * FROM dim_content",
+    "K5": "SELECT row_number() OVER (ORDER BY id) AS grade_key, id, grade FROM (SELECT DISTINCT id, grade FROM grades)",
+    "K8_fact_grade": "SELECT * EXCLUDE (tenths) FROM fact_grade",
+    "K9_fact_homework": "SELECT * FROM fact_homework",
+    "K9_fact_course_load_change": "SELECT * FROM fact_course_load_change",
+    "K10": "SELECT * EXCLUDE (tenths), date_key // 100 AS month_key FROM fact_grade",
+    "K11_achievement": _per_level(
+        """(SELECT f.*, s.school_key, subject, teacher_key FROM fact_grade f
+            LEFT JOIN dim_student s ON s.student_key = f.student_key
+            LEFT JOIN dim_course c ON c.course_key = f.course_key)""",
+        ["school_key", "subject", "teacher_key", "course_key"],
+        f"{_mean('tenths')} AS avg_gpa, COUNT(*) AS num_grades",
+    ),
+    "K11_homework_rate": _per_level(
+        """(SELECT p.*, school_key FROM (
+              SELECT DISTINCT student_key, course_key, 1 AS enrolments, 0 AS homeworks FROM fact_grade
+              UNION ALL SELECT student_key, course_key, 0, 1 FROM fact_homework) p
+            LEFT JOIN dim_student s ON s.student_key = p.student_key)""",
+        ["student_key", "course_key", "school_key"],
+        """CAST(SUM(homeworks) AS BIGINT) AS num_homeworks, CAST(SUM(enrolments) AS BIGINT) AS num_enrolments,
+           CAST(SUM(homeworks) AS DOUBLE) / NULLIF(SUM(enrolments), 0) AS homework_rate""",
+    ),
+    "K11_course_changes": _per_level(
+        """(SELECT f.*, school_key, action_name FROM fact_course_load_change f
+            LEFT JOIN dim_student s ON s.student_key = f.student_key
+            LEFT JOIN dim_action a ON a.action_key = f.action_key)""",
+        ["student_key", "course_key", "school_key"],
+        ", ".join(f"COUNT(*) FILTER (action_name = '{a}') AS {a}_count" for a in ("add", "drop", "switch")),
+    ),
+    "K11_content_mix": """
+SELECT content_type, file_type, n AS count, CAST((20000 * n + total) // (2 * total) AS DOUBLE) / 100 AS percentage
+FROM (SELECT content_type, file_type, COUNT(*) AS n, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total
+      FROM dim_content GROUP BY ALL)
+""",
+}
+
+# History of customers as students: everyone from 2020; those in debt move to school S0 and every
+# supplier joins in 2021.
+HISTORY = """
+before AS (SELECT 'U' || c_custkey AS student_id, c_name AS name, 'S' || c_nationkey AS school_id, c_acctbal FROM customer),
+after AS (
+  SELECT student_id, name, CASE WHEN c_acctbal < 0 THEN 'S0' ELSE school_id END AS school_id FROM before
+  UNION ALL SELECT 'X' || s_suppkey, s_name, 'S' || s_nationkey FROM supplier
+)
+"""
+CHANGES = {
+    "K6": f"""
+SELECT a.student_id, a.name, a.school_id, CASE WHEN b.student_id IS NULL OR b.school_id <> a.school_id
+       THEN '2021-09-01' ELSE '2020-09-01' END AS effective_from,
+       '9999-12-31' AS effective_to, TRUE AS is_current
+FROM after a LEFT JOIN before b ON a.student_id = b.student_id
+UNION ALL
+SELECT b.student_id, b.name, b.school_id, '2020-09-01', '2021-09-01', FALSE
+FROM before b JOIN after a ON a.student_id = b.student_id WHERE b.school_id <> a.school_id
+""",
+    "K7": "SELECT * FROM after",
+}
+
+STREAM = {
+    "K12": """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       'D' || (event_id // 10) AS content_id, event_type AS access_type, COUNT(*) AS access_count
+FROM events
+GROUP BY 1, 2, 3, 4
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)
+""",
+}
+STREAM["K12_batch"] = STREAM["K12"]
+
+ON_ENTITIES = {
     **REPORTS,
     "F1": FEATURES,
     "M2": f"SELECT *, CASE WHEN avg_gpa >= 3.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM ({FEATURES})",
     **CHARTS,
+    **TABLES,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {ENTITY_VIEWS.strip()}\n{body.strip()}" for name, body in QUERIES.items()}
+    entity_views = ENTITY_VIEWS.strip()
+    texts = {name: f"WITH {entity_views}\n{body.strip()}" for name, body in ON_ENTITIES.items()}
+    texts |= {name: f"WITH {entity_views}, {STAR_VIEWS.strip()}\n{body.strip()}" for name, body in STAR.items()}
+    texts |= {name: f"WITH {HISTORY.strip()}\n{body.strip()}" for name, body in CHANGES.items()}
+    return texts | {name: body.strip() for name, body in STREAM.items()}

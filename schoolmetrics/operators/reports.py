@@ -235,16 +235,20 @@ def teacher_workload(
     """
     group = [*_keys("teacher_name", "teacher_id", by_id), "school_name"]
     courses = entities["courses"].select(F.col("id").alias("course_id"), "teacher_id")
-    staff = _people(entities, "teacher").join(_schools(entities), "school_id").drop("school_id")
-    taught = courses.join(staff, "teacher_id").groupBy(*group).agg(
-        F.countDistinct("course_id").alias("courses_taught")
+    teachers, schools = _people(entities, "teacher"), _schools(entities)
+    taught = (
+        courses.join(teachers, "teacher_id")
+        .join(schools, "school_id")
+        .groupBy(*group)
+        .agg(F.countDistinct("course_id").alias("courses_taught"))
     )
     graded = (
         _grade_facts(entities, scale)
         .join(courses, "course_id")
         .groupBy("teacher_id", "student_id")
         .agg(*_sums())
-        .join(staff, "teacher_id")
+        .join(teachers, "teacher_id")
+        .join(schools, "school_id")
         .groupBy(*group)
         .agg(
             F.countDistinct("student_id").alias("students_taught"),

@@ -61,9 +61,12 @@ def entities(spark: SparkSession, sf_dir: str) -> LazyTables:
     return LazyTables({name: lambda build=build: build(table) for name, build in builders.items()})
 
 
-def _key(prefix: str, *parts: Column | str) -> Column:
-    texts = [F.col(p) if isinstance(p, str) else p for p in parts]
-    return F.concat(F.lit(prefix), F.concat_ws("-", *[t.cast("string") for t in texts]))
+def _key(prefix: str, first: Column | str, *more: str) -> Column:
+    text = (F.col(first) if isinstance(first, str) else first).cast("string")
+    parts = [F.lit(prefix), text]
+    for column in more:
+        parts += [F.lit("-"), F.col(column).cast("string")]
+    return F.concat(*parts)
 
 
 def _pick(values: list[str], position: Column) -> Column:
@@ -131,17 +134,15 @@ def _users(table) -> DataFrame:
 
 
 def _courses(table) -> DataFrame:
-    taught = table("part").withColumn("t_key", _block("p_partkey", 20)).join(
-        table("supplier"), F.col("t_key") == F.col("s_suppkey")
-    )
     name = F.concat(
         _pick(SUBJECTS, F.col("p_partkey") % 9), F.lit(" "), _pick(LEVELS, _block("p_partkey", 9) % 9)
     )
-    own = taught.select(
+    teacher = _block("p_partkey", 20)
+    own = table("part").select(
         _key("C", "p_partkey").alias("id"),
         name.alias("name"),
-        _key("T", "t_key").alias("teacher_id"),
-        _key("S", "s_nationkey").alias("school_id"),
+        _key("T", teacher).alias("teacher_id"),
+        _key("S", teacher % 25).alias("school_id"),
     )
     visiting = table("nation").select(
         _key("Y", "n_nationkey").alias("id"),

@@ -26,6 +26,10 @@ class LazyTables(Mapping[str, DataFrame]):
             self._built[name] = self._builders[name]()
         return self._built[name]
 
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Use df under this name from now on."""
+        self._built[name] = df
+
     def __contains__(self, name: object) -> bool:
         return name in self._builders
 
