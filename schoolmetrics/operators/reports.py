@@ -230,39 +230,31 @@ def teacher_workload(
 ) -> DataFrame:
     """Q9: courses, students, grades and mean points per teacher and school name.
 
-    Courses are counted without the grades, so each half has a single distinct count and
-    no rows are multiplied. Teachers without grades keep a row; without courses they are absent.
+    Teachers without grades keep a row; teachers without courses are absent. Courses and
+    students are stacked as members of the same groups, so both distinct counts come from
+    one aggregation without a copy of the grades for each.
     """
     group = [*_keys("teacher_name", "teacher_id", by_id), "school_name"]
     courses = entities["courses"].select(F.col("id").alias("course_id"), "teacher_id")
-    teachers, schools = _people(entities, "teacher"), _schools(entities)
-    taught = (
-        courses.join(teachers, "teacher_id")
-        .join(schools, "school_id")
-        .groupBy(*group)
-        .agg(F.countDistinct("course_id").alias("courses_taught"))
-    )
-    graded = (
-        _grade_facts(entities, scale)
-        .join(courses, "course_id")
-        .groupBy("teacher_id", "student_id")
+    graded = _grade_facts(entities, scale).join(courses, "course_id").groupBy("teacher_id", "student_id").agg(*_sums())
+    taught = courses.select("teacher_id", F.lit("course").alias("kind"), F.col("course_id").alias("member"))
+    met = graded.select("teacher_id", F.lit("student").alias("kind"), F.col("student_id").alias("member"), *_SUMS)
+    members = (
+        taught.unionByName(met, allowMissingColumns=True)
+        .join(_people(entities, "teacher"), "teacher_id")
+        .join(_schools(entities), "school_id")
+        .groupBy(*group, "kind", "member")
         .agg(*_sums())
-        .join(teachers, "teacher_id")
-        .join(schools, "school_id")
-        .groupBy(*group)
-        .agg(
-            F.countDistinct("student_id").alias("students_taught"),
-            F.sum("n_grades").alias("total_grades_given"),
-            _gpa(scale, mean).alias("avg_gpa_given"),
-        )
     )
-    t, g = taught.alias("t"), graded.alias("g")
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"g.{c}")) for c in group]
-    return t.join(g, same, "left").select(
-        *[F.col(f"t.{c}") for c in group],
-        "courses_taught",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("students_taught", "total_grades_given")],
-        "avg_gpa_given",
+
+    def count(kind: str) -> Column:
+        return F.count(F.when(F.col("kind") == kind, F.col("member")))
+
+    return members.groupBy(*group).agg(
+        count("course").alias("courses_taught"),
+        count("student").alias("students_taught"),
+        F.coalesce(F.sum("n_grades"), F.lit(0)).alias("total_grades_given"),
+        _gpa(scale, mean).alias("avg_gpa_given"),
     )
 
 

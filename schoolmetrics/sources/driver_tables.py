@@ -7,8 +7,10 @@ and from a few extra rows per nation and region.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 
 from schoolmetrics.schemas import ENTITIES
 from schoolmetrics.sources.tables import LazyTables
@@ -40,7 +42,9 @@ FILE_TYPES = ["pdf", "docx", "pptx", "mp4", "jpg", "zip"]
 CONTENT_TYPES = ["lesson", "assignment", "quiz", "video", "image", "resource"]
 ACTION_OF_EVENT = {"click": "add", "purchase": "drop", "signup": "switch", "view": "audit", "error": "drop"}
 FILE_OF_FLAG = {"A": "pdf", "N": "docx", "R": "txt"}
-START = "1995-01-01 00:00:00"
+START = "TIMESTAMP_NTZ '1995-01-01 00:00:00'"
+
+Table = Callable[[str], DataFrame]
 
 
 def entities(spark: SparkSession, sf_dir: str) -> LazyTables:
@@ -61,162 +65,141 @@ def entities(spark: SparkSession, sf_dir: str) -> LazyTables:
     return LazyTables({name: lambda build=build: build(table) for name, build in builders.items()})
 
 
-def _key(prefix: str, first: Column | str, *more: str) -> Column:
-    text = (F.col(first) if isinstance(first, str) else first).cast("string")
-    parts = [F.lit(prefix), text]
-    for column in more:
-        parts += [F.lit("-"), F.col(column).cast("string")]
-    return F.concat(*parts)
-
-
-def _pick(values: list[str], position: Column) -> Column:
+def _pick(values: list[str], position: str) -> str:
     """Entry at a 0-based position."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), position.cast("int") + 1)
-
-
-def _lookup(values: dict[str, str], key: Column) -> Column:
-    case = None
-    for k, v in values.items():
-        case = F.when(key == k, F.lit(v)) if case is None else case.when(key == k, F.lit(v))
-    return case
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST({position} AS INT) + 1)"
 
 
-def _block(column: str, size: int) -> Column:
-    return F.call_function("div", F.col(column), F.lit(size))
+def _lookup(values: dict[str, str], key: str) -> str:
+    branches = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in values.items())
+    return f"CASE {key} {branches} END"
 
 
-def _shape(entity: str, df: DataFrame) -> DataFrame:
-    """Add the audit columns and put the columns in schema order."""
-    start = F.lit(START).cast("timestamp_ntz")
-    created = F.col("created_at") if "created_at" in df.columns else start
+def _shape(entity: str, df: DataFrame, **columns: str) -> DataFrame:
+    """The entity's columns in schema order; those not given are filled in alike for every row."""
+    created = columns.get("created_at", START)
     filled = {
         "created_at": created,
         "updated_at": created,
-        "is_active": F.lit(True),
-        "metadata": F.lit("{}"),
-        "comments": F.lit(None).cast("string"),
-        "email": F.concat("id", F.lit("@school.edu")),
+        "is_active": "true",
+        "metadata": "'{}'",
+        "comments": "CAST(NULL AS STRING)",
+        "email": "concat(id, '@school.edu')",
     }
-    return df.select(
-        *[
-            (filled[f.name] if f.name in filled else F.col(f.name)).cast(f.dataType).alias(f.name)
-            for f in ENTITIES[entity].fields
-        ]
-    )
+    return df.selectExpr(*[f"{columns.get(n, filled.get(n, n))} AS {n}" for n in ENTITIES[entity].names])
 
 
-def _schools(table) -> DataFrame:
-    rows = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return _shape(
-        "schools", rows.select(_key("S", "n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("address"))
-    )
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _schools(table: Table) -> DataFrame:
+    rows = table("nation").join(table("region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+    return _shape("schools", rows, id="concat('S', n_nationkey)", name="n_name", address="r_name")
 
 
-def _users(table) -> DataFrame:
-    def people(df: DataFrame, role: str, uid: Column, name: Column, school: str) -> DataFrame:
-        return df.select(uid.alias("id"), name.alias("name"), F.lit(role).alias("role"), _key("S", school).alias("school_id"))
-
-    customer, supplier, nation, region = (table(t) for t in ("customer", "supplier", "nation", "region"))
-    family = F.concat(F.lit("Family "), "c_mktsegment", F.lit(" "), (_block("c_custkey", 10) % 40).cast("string"))
-    groups = [
-        people(supplier, "teacher", _key("T", "s_suppkey"), F.col("s_name"), "s_nationkey"),
-        people(nation, "teacher", _key("V", "n_nationkey"), F.concat(F.lit("Visiting "), "n_name"), "n_nationkey"),
-        people(region, "teacher", _key("W", "r_regionkey"), F.concat(F.lit("Substitute "), "r_name"), "r_regionkey"),
-        people(customer, "student", _key("U", "c_custkey"), F.col("c_name"), "c_nationkey"),
-        people(nation, "student", _key("N", "n_nationkey"), F.concat(F.lit("Newcomer "), "n_name"), "n_nationkey"),
-        people(customer, "parent", _key("P", "c_custkey"), family, "c_nationkey"),
-        people(nation, "clerk", _key("K", "n_nationkey"), F.concat(F.lit("Clerk "), "n_name"), "n_nationkey"),
+def _users(table: Table) -> DataFrame:
+    def people(source: str, role: str, uid: str, name: str, school: str) -> DataFrame:
+        return table(source).selectExpr(
+            f"{uid} AS id", f"{name} AS name", f"'{role}' AS role", f"concat('S', {school}) AS school_id"
+        )
+
+    family = "concat('Family ', c_mktsegment, ' ', c_custkey div 10 % 40)"
+    everyone = [
+        people("supplier", "teacher", "concat('T', s_suppkey)", "s_name", "s_nationkey"),
+        people("nation", "teacher", "concat('V', n_nationkey)", "concat('Visiting ', n_name)", "n_nationkey"),
+        people("region", "teacher", "concat('W', r_regionkey)", "concat('Substitute ', r_name)", "r_regionkey"),
+        people("customer", "student", "concat('U', c_custkey)", "c_name", "c_nationkey"),
+        people("nation", "student", "concat('N', n_nationkey)", "concat('Newcomer ', n_name)", "n_nationkey"),
+        people("customer", "parent", "concat('P', c_custkey)", family, "c_nationkey"),
+        people("nation", "clerk", "concat('K', n_nationkey)", "concat('Clerk ', n_name)", "n_nationkey"),
     ]
-    everyone = groups[0]
-    for more in groups[1:]:
-        everyone = everyone.unionByName(more)
-    return _shape("users", everyone)
+    return _shape("users", _union(everyone))
 
 
-def _courses(table) -> DataFrame:
-    name = F.concat(
-        _pick(SUBJECTS, F.col("p_partkey") % 9), F.lit(" "), _pick(LEVELS, _block("p_partkey", 9) % 9)
-    )
-    teacher = _block("p_partkey", 20)
-    own = table("part").select(
-        _key("C", "p_partkey").alias("id"),
-        name.alias("name"),
-        _key("T", teacher).alias("teacher_id"),
-        _key("S", teacher % 25).alias("school_id"),
+def _courses(table: Table) -> DataFrame:
+    own = table("part").selectExpr(
+        "concat('C', p_partkey) AS id",
+        f"concat({_pick(SUBJECTS, 'p_partkey % 9')}, ' ', {_pick(LEVELS, 'p_partkey div 9 % 9')}) AS name",
+        "concat('T', p_partkey div 20) AS teacher_id",
+        "concat('S', p_partkey div 20 % 25) AS school_id",
     )
-    visiting = table("nation").select(
-        _key("Y", "n_nationkey").alias("id"),
-        F.concat(F.lit("Orientation "), "n_name").alias("name"),
-        _key("V", "n_nationkey").alias("teacher_id"),
-        _key("S", "n_nationkey").alias("school_id"),
+    visiting = table("nation").selectExpr(
+        "concat('Y', n_nationkey) AS id",
+        "concat('Orientation ', n_name) AS name",
+        "concat('V', n_nationkey) AS teacher_id",
+        "concat('S', n_nationkey) AS school_id",
     )
-    return _shape("courses", own.unionByName(visiting))
+    return _shape("courses", _union([own, visiting]))
 
 
-def _contents(table) -> DataFrame:
-    kind = F.substring("source", 4, 9).cast("int") % 6
-    rows = table("documents").select(
-        _key("D", "doc_id").alias("id"),
-        _key("C", "doc_id").alias("course_id"),
-        _key("T", _block("doc_id", 20)).alias("teacher_id"),
-        _pick(FILE_TYPES, kind).alias("file_type"),
-        F.concat(_pick(CONTENT_TYPES, kind), F.lit("_"), F.col("doc_id").cast("string")).alias("stem"),
+def _contents(table: Table) -> DataFrame:
+    rows = table("documents").selectExpr(
+        "doc_id",
+        "concat('C', doc_id) AS course_id",
+        "CAST(substring(source, 4) AS INT) % 6 AS kind",
+    )
+    typed = rows.selectExpr("*", f"{_pick(FILE_TYPES, 'kind')} AS file_type", f"{_pick(CONTENT_TYPES, 'kind')} AS stem")
+    return _shape(
+        "contents",
+        typed,
+        id="concat('D', doc_id)",
+        teacher_id="concat('T', doc_id div 20)",
+        file_path="concat('/files/', course_id, '/', stem, '_', doc_id, '.', file_type)",
     )
-    path = F.concat(F.lit("/files/"), "course_id", F.lit("/"), "stem", F.lit("."), "file_type")
-    return _shape("contents", rows.withColumn("file_path", path))
 
 
-def _line_items(table) -> DataFrame:
-    """Line items with their order's customer and date."""
-    return table("lineitem").join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+def _line_items(table: Table, student_step: int) -> DataFrame:
+    """Line items with their order's date and student number.
 
+    Every step-th student's items go to the next one, so that some students have none.
+    """
+    student = f"CASE WHEN o_custkey % {student_step} = 0 THEN o_custkey + 1 ELSE o_custkey END AS s_no"
+    orders = table("orders").selectExpr("o_orderkey AS l_orderkey", "o_orderdate", student)
+    return table("lineitem").join(orders, "l_orderkey")
 
-def _shifted(column: str, step: int) -> Column:
-    """Every step-th key is replaced by its successor, so that it has no rows of its own."""
-    key = F.col(column)
-    return F.when(key % step == 0, key + 1).otherwise(key)
+
+def _grades(table: Table) -> DataFrame:
+    position = "(CAST(l_quantity AS INT) - 1) % CASE WHEN s_no % 3 = 1 THEN 6 ELSE 13 END"
+    return _shape(
+        "grades",
+        _line_items(table, 20),
+        id="concat('G', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey))",
+        created_at="o_orderdate",
+        course_id="concat('C', CASE WHEN l_partkey div 20 % 10 = 0 THEN l_partkey + 20 ELSE l_partkey END)",
+        student_id="concat('U', s_no)",
+        grade=_pick(LETTERS, position),
+    )
 
 
-def _grades(table) -> DataFrame:
-    student = _shifted("o_custkey", 20)
-    course = F.when(_block("l_partkey", 20) % 10 == 0, F.col("l_partkey") + 20).otherwise(F.col("l_partkey"))
-    score = F.col("l_quantity").cast("int") - 1
-    rows = _line_items(table).withColumn("s_no", student).select(
-        _key("G", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
-        F.col("o_orderdate").alias("created_at"),
-        _key("C", course).alias("course_id"),
-        _key("U", "s_no").alias("student_id"),
-        _pick(LETTERS, F.when(F.col("s_no") % 3 == 1, score % 6).otherwise(score % 13)).alias("grade"),
+def _homeworks(table: Table) -> DataFrame:
+    copies = "explode(sequence(1, CASE WHEN s_no % 3 = 1 THEN 2 ELSE 1 END)) AS copy"
+    rows = _line_items(table, 10).selectExpr(
+        "*",
+        "concat('C', CASE WHEN l_partkey % 25 = 0 THEN l_partkey + 1 ELSE l_partkey END) AS course_id",
+        f"{_lookup(FILE_OF_FLAG, 'l_returnflag')} AS file_type",
+        copies,
     )
-    return _shape("grades", rows)
-
-
-def _homeworks(table) -> DataFrame:
-    copies = F.when(F.col("s_no") % 3 == 1, F.lit(2)).otherwise(F.lit(1))
-    rows = (
-        _line_items(table)
-        .withColumn("s_no", _shifted("o_custkey", 10))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        .select(
-            _key("H", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "copy").alias("id"),
-            F.col("o_orderdate").alias("created_at"),
-            _key("C", _shifted("l_partkey", 25)).alias("course_id"),
-            _key("U", "s_no").alias("student_id"),
-            _lookup(FILE_OF_FLAG, F.col("l_returnflag")).alias("file_type"),
-        )
+    named = rows.selectExpr(
+        "*", "concat('H', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, copy)) AS id"
+    )
+    return _shape(
+        "homeworks",
+        named,
+        created_at="o_orderdate",
+        student_id="concat('U', s_no)",
+        file_path="concat('/files/', course_id, '/', id, '.', file_type)",
     )
-    path = F.concat(F.lit("/files/"), "course_id", F.lit("/"), "id", F.lit("."), "file_type")
-    return _shape("homeworks", rows.withColumn("file_path", path))
 
 
-def _adjustments(table) -> DataFrame:
+def _adjustments(table: Table) -> DataFrame:
     return _shape(
         "adjustments",
-        table("events").select(
-            _key("A", "event_id").alias("id"),
-            F.col("ts").alias("created_at"),
-            _key("U", "user_id").alias("student_id"),
-            _key("C", _block("event_id", 5)).alias("course_id"),
-            _lookup(ACTION_OF_EVENT, F.col("event_type")).alias("action"),
-        ),
+        table("events"),
+        id="concat('A', event_id)",
+        created_at="ts",
+        student_id="concat('U', user_id)",
+        course_id="concat('C', event_id div 5)",
+        action=_lookup(ACTION_OF_EVENT, "event_type"),
     )
