@@ -236,7 +236,7 @@ def teacher_workload(
     """
     group = [*_keys("teacher_name", "teacher_id", by_id), "school_name"]
     courses = entities["courses"].select(F.col("id").alias("course_id"), "teacher_id")
-    graded = _grade_facts(entities, scale).join(courses, "course_id").groupBy("teacher_id", "student_id").agg(*_sums())
+    graded = _grade_facts(entities, scale).join(courses, "course_id")
     taught = courses.select("teacher_id", F.lit("course").alias("kind"), F.col("course_id").alias("member"))
     met = graded.select("teacher_id", F.lit("student").alias("kind"), F.col("student_id").alias("member"), *_SUMS)
     members = (

@@ -55,14 +55,18 @@ def _write_all(jobs: Mapping[str, Callable[[], DataFrame]], folder: str) -> dict
         return {name: write.result() for name, write in writes.items()}
 
 
+def with_rollup(entities: Entities, base: str) -> dict[str, DataFrame]:
+    """The entities plus the grades rolled up once, into a table all reports on them read."""
+    grades = entities["grades"]
+    path = write_table(grade_rollup(grades), f"{base}/work/grade_rollup")
+    return {**entities, "grade_rollup": read_table(grades.sparkSession, path)}
+
+
 def write_analytics(entities: Entities, base: str, mean: str = "double") -> dict[str, str]:
-    """The ten reports. The grades are rolled up once, into a table all reports on them read."""
-    spark = entities["grades"].sparkSession
-    rollup = write_table(grade_rollup(entities["grades"]), f"{base}/work/grade_rollup")
-    shared = {**entities, "grade_rollup": read_table(spark, rollup)}
+    """The ten reports."""
     untyped = ("homework_submission_rate", "course_load_changes")
     jobs = {
-        name: partial(report, shared) if name in untyped else partial(report, shared, mean=mean)
+        name: partial(report, entities) if name in untyped else partial(report, entities, mean=mean)
         for name, report in REPORTS.items()
     }
     return _write_all(jobs, f"{base}/analytics")
@@ -109,9 +113,10 @@ def materialize(
 ) -> dict[str, str]:
     """S7: reports, charts and (ml) models under `<root>/<run_id>`; returns table paths by name."""
     base = f"{root}/{run_id}"
-    tables = write_analytics(entities, base, mean)
+    shared = with_rollup(entities, base)
+    tables = write_analytics(shared, base, mean)
     if ml:
-        tables |= write_models(entities, base, partitions)
+        tables |= write_models(shared, base, partitions)
     tables |= write_charts(spark, tables, base)
     done = literal_table(spark, [(run_id,)], "run_id string").withColumn("finished_at", F.current_timestamp())
     done.coalesce(1).write.mode("append").parquet(f"{root}/runs")
