@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 # The entity views of FIXTURES.md section 3.
 ENTITY_VIEWS = """
 line_items AS (
@@ -75,89 +77,111 @@ adjustments AS (
 )
 """
 
-# Grade points in tenths under the two scales, the rank of a letter and the subject of a course name.
-PARTIAL = """CASE grade WHEN 'A' THEN 40 WHEN 'A-' THEN 37 WHEN 'B+' THEN 33 WHEN 'B' THEN 30 WHEN 'B-' THEN 27
-  WHEN 'C+' THEN 23 WHEN 'C' THEN 20 ELSE 0 END"""
-FULL = """CASE grade WHEN 'A+' THEN 40 WHEN 'A' THEN 40 WHEN 'A-' THEN 37 WHEN 'B+' THEN 33 WHEN 'B' THEN 30
-  WHEN 'B-' THEN 27 WHEN 'C+' THEN 23 WHEN 'C' THEN 20 WHEN 'C-' THEN 17 WHEN 'D+' THEN 13 WHEN 'D' THEN 10
-  WHEN 'F' THEN 0 END"""
-RANK = "list_position(['A+','A','A-','B+','B','B-','C+','C','C-','D+','D','F'], {})"
-SUBJECT = """CASE WHEN {0} LIKE '%Mathematics%' THEN 'Mathematics' WHEN {0} LIKE '%English%' THEN 'English Literature'
-  WHEN {0} LIKE '%Science%' THEN 'Science' WHEN {0} LIKE '%History%' THEN 'History' WHEN {0} LIKE '%Art%' THEN 'Art'
-  WHEN {0} LIKE '%Music%' THEN 'Music' WHEN {0} LIKE '%Computer%' THEN 'Computer Science' ELSE 'Other' END"""
+# What the reports share: grades with their points in tenths under both scales, people by role, names, subjects.
+# The points and ranks of the letters, and the subject rules in order.
+REPORT_VIEWS = """
+letters(grade, rank, partial_points, full_points) AS (
+  VALUES ('A+', 1, NULL, 40), ('A', 2, 40, 40), ('A-', 3, 37, 37), ('B+', 4, 33, 33), ('B', 5, 30, 30), ('B-', 6, 27, 27),
+         ('C+', 7, 23, 23), ('C', 8, 20, 20), ('C-', 9, NULL, 17), ('D+', 10, NULL, 13), ('D', 11, NULL, 10), ('F', 12, NULL, 0)
+),
+subject_rules(position, needle, subject) AS (
+  VALUES (1, 'Mathematics', 'Mathematics'), (2, 'English', 'English Literature'), (3, 'Science', 'Science'),
+         (4, 'History', 'History'), (5, 'Art', 'Art'), (6, 'Music', 'Music'), (7, 'Computer', 'Computer Science')
+),
+marks AS (
+  SELECT course_id, student_id, created_at, grade, COALESCE(partial_points, 0) AS partial_points, full_points
+  FROM grades LEFT JOIN letters USING (grade)
+),
+students AS (SELECT id AS student_id, name AS student_name, school_id FROM users WHERE role = 'student'),
+teachers AS (SELECT id AS teacher_id, name AS teacher_name, school_id FROM users WHERE role = 'teacher'),
+parents AS (SELECT name AS parent_name, school_id FROM users WHERE role = 'parent'),
+school_names AS (SELECT id AS school_id, name AS school_name FROM schools),
+hits AS (
+  SELECT id, arg_min(subject, position) AS subject
+  FROM courses JOIN subject_rules ON contains(name, needle) GROUP BY id
+),
+titled_courses AS (
+  SELECT id AS course_id, name AS course_name, teacher_id, school_id, COALESCE(subject, 'Other') AS subject
+  FROM courses LEFT JOIN hits USING (id)
+)
+"""
 
 
 def _mean(points: str) -> str:
     return f"CAST(SUM({points}) AS DOUBLE) / (COUNT({points}) * 10)"
 
 
-def _shares(entity: str, key: str) -> str:
+def _decimal_mean(points: str) -> str:
+    """Five decimals, rounded half up, as text."""
+    rounded = f"(20000 * SUM({points}) + COUNT({points})) // (2 * COUNT({points}))"
+    return f"CASE WHEN COUNT({points}) > 0 THEN printf('%d.%05d', CAST({rounded} // 100000 AS BIGINT), CAST({rounded} % 100000 AS BIGINT)) END"
+
+
+DOUBLE_SHARE = "CAST({0} AS DOUBLE) / 100"
+DECIMAL_SHARE = "printf('%d.%02d', CAST({0} // 100 AS BIGINT), CAST({0} % 100 AS BIGINT))"
+
+
+def _shares(entity: str, key: str, form: str = DOUBLE_SHARE) -> str:
     return f"""
-SELECT {key}, n AS count,
-       CAST((20000 * n + total) // (2 * total) AS DOUBLE) / 100 AS percentage
+SELECT {key}, n AS count, {form.format("((20000 * n + total) // (2 * total))")} AS percentage
 FROM (SELECT {key}, COUNT(*) AS n, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total FROM {entity} GROUP BY {key})
 """
 
 
-REPORTS = {
-    "Q1": f"""
-SELECT c.name AS course_name, {_mean(PARTIAL)} AS avg_gpa
-FROM grades g JOIN courses c ON g.course_id = c.id GROUP BY c.name
-""",
-    "Q2": f"""
-SELECT u.name AS teacher_name, {_mean(PARTIAL)} AS avg_gpa
-FROM grades g JOIN courses c ON g.course_id = c.id JOIN users u ON c.teacher_id = u.id
-WHERE u.role = 'teacher' GROUP BY u.name
+def _reports(mean: Callable[[str], str], share: str) -> dict[str, str]:
+    partial, full = mean("partial_points"), mean("full_points")
+    return {
+        "Q1": f"SELECT course_name, {partial} AS avg_gpa FROM marks JOIN titled_courses USING (course_id) GROUP BY ALL",
+        "Q2": f"""
+SELECT teacher_name, {partial} AS avg_gpa
+FROM marks JOIN titled_courses USING (course_id) JOIN teachers USING (teacher_id) GROUP BY ALL
 """,
-    "Q3": """
-SELECT c.name AS course_name, COUNT(h.id) AS num_homeworks
-FROM courses c LEFT JOIN homeworks h ON h.course_id = c.id GROUP BY c.name
+        "Q3": """
+SELECT course_name, CAST(SUM((SELECT COUNT(*) FROM homeworks h WHERE h.course_id = t.course_id)) AS BIGINT) AS num_homeworks
+FROM titled_courses t GROUP BY ALL
 """,
-    "Q4": f"""
-SELECT p.name AS parent_name, COUNT(s.id) AS num_children, {_mean(PARTIAL)} AS avg_gpa
-FROM users p JOIN users s ON p.school_id = s.school_id AND s.role = 'student'
-LEFT JOIN grades g ON g.student_id = s.id
-WHERE p.role = 'parent' GROUP BY p.name
-""",
-    "Q5": """
-SELECT u.name AS student_name, COUNT(a.id) AS num_changes
-FROM adjustments a JOIN users u ON a.student_id = u.id WHERE u.role = 'student' GROUP BY u.name
+        # All pairs of parents and students of a school, each student once per grade.
+        "Q4": f"""
+WITH children AS (
+  SELECT school_id, COALESCE(partial_points, 0) AS partial_points FROM students LEFT JOIN marks USING (student_id)
+)
+SELECT parent_name, COUNT(*) AS num_children, {partial} AS avg_gpa
+FROM parents JOIN children USING (school_id) GROUP BY ALL
 """,
-    "Q6": _shares("grades", "grade"),
-    "Q7": f"""
-SELECT s.name AS school_name, COUNT(DISTINCT g.student_id) AS total_students, {_mean(FULL)} AS avg_gpa,
-       COUNT(g.id) AS total_grades
-FROM schools s JOIN users u ON s.id = u.school_id JOIN grades g ON u.id = g.student_id
-WHERE u.role = 'student' GROUP BY s.name
+        "Q5": "SELECT student_name, COUNT(*) AS num_changes FROM adjustments JOIN students USING (student_id) GROUP BY ALL",
+        "Q6": _shares("grades", "grade", share),
+        "Q7": f"""
+SELECT school_name, COUNT(DISTINCT student_id) AS total_students, {full} AS avg_gpa, COUNT(*) AS total_grades
+FROM marks JOIN students USING (student_id) JOIN school_names USING (school_id) GROUP BY ALL
 """,
-    "Q8": f"""
-SELECT {SUBJECT.format('c.name')} AS subject, {_mean(FULL)} AS avg_gpa,
-       COUNT(DISTINCT g.student_id) AS unique_students, COUNT(g.id) AS total_assignments
-FROM courses c JOIN grades g ON c.id = g.course_id GROUP BY 1
+        "Q8": f"""
+SELECT subject, {full} AS avg_gpa, COUNT(DISTINCT student_id) AS unique_students, COUNT(*) AS total_assignments
+FROM marks JOIN titled_courses USING (course_id) GROUP BY ALL
 """,
-    "Q9": f"""
-SELECT u.name AS teacher_name, s.name AS school_name, COUNT(DISTINCT c.id) AS courses_taught,
-       COUNT(DISTINCT g.student_id) AS students_taught, COUNT(g.id) AS total_grades_given,
-       {_mean(FULL)} AS avg_gpa_given
-FROM users u JOIN schools s ON u.school_id = s.id JOIN courses c ON u.id = c.teacher_id
-LEFT JOIN grades g ON c.id = g.course_id
-WHERE u.role = 'teacher' GROUP BY u.name, s.name
+        "Q9": f"""
+SELECT teacher_name, school_name, COUNT(DISTINCT course_id) AS courses_taught,
+       COUNT(DISTINCT student_id) AS students_taught, COUNT(grade) AS total_grades_given, {full} AS avg_gpa_given
+FROM (SELECT course_id, teacher_id FROM titled_courses) JOIN teachers USING (teacher_id)
+JOIN school_names USING (school_id) LEFT JOIN marks USING (course_id) GROUP BY ALL
 """,
-    "Q10": _shares("contents", "file_type"),
+        "Q10": _shares("contents", "file_type", share),
+    }
+
+
+REPORTS = _reports(_mean, DOUBLE_SHARE)
+DECIMAL_REPORTS = {
+    f"{q}_decimal": sql for q, sql in _reports(_decimal_mean, DECIMAL_SHARE).items() if q not in ("Q3", "Q5")
 }
 
 FEATURES = f"""
-SELECT s.id AS student_id, s.name, s.school_id,
-       CAST(COALESCE(g.num_courses, 0) AS DOUBLE) AS num_courses,
-       CAST(COALESCE(h.num_homeworks, 0) AS DOUBLE) AS num_homeworks,
-       COALESCE(g.avg_gpa, 0.0) AS avg_gpa,
-       CAST(COALESCE(a.num_changes, 0) AS DOUBLE) AS num_changes
-FROM users s
-LEFT JOIN (SELECT student_id, COUNT(DISTINCT course_id) AS num_courses, {_mean(FULL)} AS avg_gpa
-           FROM grades GROUP BY student_id) g ON g.student_id = s.id
-LEFT JOIN (SELECT student_id, COUNT(id) AS num_homeworks FROM homeworks GROUP BY student_id) h ON h.student_id = s.id
-LEFT JOIN (SELECT student_id, COUNT(id) AS num_changes FROM adjustments GROUP BY student_id) a ON a.student_id = s.id
-WHERE s.role = 'student'
+WITH graded AS (
+  SELECT student_id, COUNT(DISTINCT course_id) AS courses, {_mean("full_points")} AS gpa FROM marks GROUP BY ALL
+),
+handed AS (SELECT student_id, COUNT(*) AS homeworks FROM homeworks GROUP BY ALL),
+moved AS (SELECT student_id, COUNT(*) AS changes FROM adjustments GROUP BY ALL)
+SELECT student_id, student_name AS name, school_id, COALESCE(courses, 0)::DOUBLE AS num_courses,
+       COALESCE(homeworks, 0)::DOUBLE AS num_homeworks, COALESCE(gpa, 0) AS avg_gpa, COALESCE(changes, 0)::DOUBLE AS num_changes
+FROM students LEFT JOIN graded USING (student_id) LEFT JOIN handed USING (student_id) LEFT JOIN moved USING (student_id)
 """
 
 
@@ -170,9 +194,9 @@ def _short(name: str) -> str:
     return f"regexp_extract(replace({name}, '&', ' '), '(\\S+)\\s*$', 1)"
 
 
-def _pie(report: str, category: str, extra: str = "") -> str:
+def _pie(report: str, category: str) -> str:
     return f"""
-SELECT {category} AS category, count, printf('%.1f%%', CAST(count AS DOUBLE) * 100 / SUM(count) OVER ()) AS label {extra}
+SELECT {category} AS category, count, printf('%.1f%%', CAST(count AS DOUBLE) * 100 / SUM(count) OVER ()) AS label
 FROM ({REPORTS[report]})
 """
 
@@ -203,7 +227,10 @@ SELECT teacher_name, school_name, CAST(courses_taught AS DOUBLE) AS courses_taug
        CAST(greatest(50, least(total_grades_given * 2, 600)) AS DOUBLE) AS marker_size
 FROM ({REPORTS["Q9"]}) WHERE avg_gpa_given IS NOT NULL
 """,
-    "C4_grades": _pie("Q6", "grade", f", COALESCE({RANK.format('grade')}, 0) AS sort_key"),
+    "C4_grades": f"""
+SELECT pie.*, COALESCE(rank, 0) AS sort_key
+FROM ({_pie("Q6", "grade")}) pie LEFT JOIN letters ON letters.grade = pie.category
+""",
     "C4_contents": _pie("Q10", "file_type"),
 }
 
@@ -254,7 +281,7 @@ FROM users u JOIN schools s ON s.id = u.school_id GROUP BY s.name, u.role
 }
 
 # Dimensions and facts. A key is the position of the natural key in its order.
-STAR_VIEWS = f"""
+STAR_VIEWS = """
 dim_school AS (
   SELECT row_number() OVER (ORDER BY id) AS school_key, id AS school_id, name,
          CAST(NULL AS VARCHAR) AS type, CAST(NULL AS VARCHAR) AS region
@@ -274,9 +301,9 @@ dim_parent AS (
   SELECT person_key AS parent_key, id AS parent_id, name, school_key FROM people WHERE role = 'parent'
 ),
 dim_course AS (
-  SELECT row_number() OVER (ORDER BY id) AS course_key, id AS course_id, c.name,
-         {SUBJECT.format('c.name')} AS subject, string_split(c.name, ' ')[-1] AS level, d.school_key, teacher_key
-  FROM courses c LEFT JOIN dim_school d ON d.school_id = c.school_id
+  SELECT row_number() OVER (ORDER BY course_id) AS course_key, course_id, course_name AS name,
+         subject, string_split(course_name, ' ')[-1] AS level, d.school_key, teacher_key
+  FROM titled_courses c LEFT JOIN dim_school d ON d.school_id = c.school_id
   LEFT JOIN dim_teacher t ON t.teacher_id = c.teacher_id
 ),
 dim_action AS (
@@ -304,10 +331,10 @@ dim_date AS (
 ),
 fact_grade AS (
   SELECT student_key, course_key, CAST(strftime(created_at, '%Y%m%d') AS INT) AS date_key,
-         CAST({FULL} AS DOUBLE) / 10 AS grade_numeric, grade AS grade_letter,
+         CAST(full_points AS DOUBLE) / 10 AS grade_numeric, grade AS grade_letter,
          CAST(NULL AS DOUBLE) AS points_earned, CAST(NULL AS DOUBLE) AS points_possible,
-         {FULL} AS tenths
-  FROM grades g LEFT JOIN dim_student s ON s.student_id = g.student_id
+         full_points AS tenths
+  FROM marks g LEFT JOIN dim_student s ON s.student_id = g.student_id
   LEFT JOIN dim_course c ON c.course_id = g.course_id
 ),
 fact_homework AS (
@@ -411,6 +438,7 @@ STREAM["K12_batch"] = STREAM["K12"]
 
 ON_ENTITIES = {
     **REPORTS,
+    **DECIMAL_REPORTS,
     "F1": FEATURES,
     "M2": f"SELECT *, CASE WHEN avg_gpa >= 3.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM ({FEATURES})",
     **CHARTS,
@@ -419,8 +447,12 @@ ON_ENTITIES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    entity_views = ENTITY_VIEWS.strip()
-    texts = {name: f"WITH {entity_views}\n{body.strip()}" for name, body in ON_ENTITIES.items()}
-    texts |= {name: f"WITH {entity_views}, {STAR_VIEWS.strip()}\n{body.strip()}" for name, body in STAR.items()}
-    texts |= {name: f"WITH {HISTORY.strip()}\n{body.strip()}" for name, body in CHANGES.items()}
+    entity_views = f"{ENTITY_VIEWS.strip()},\n{REPORT_VIEWS.strip()}"
+    star_views = f"{entity_views},\n{STAR_VIEWS.strip()}"
+    groups = [(entity_views, ON_ENTITIES), (star_views, STAR), (HISTORY.strip(), CHANGES)]
+    texts = {
+        name: f"WITH {views}\nSELECT * FROM (\n{body.strip()}\n)"
+        for views, bodies in groups
+        for name, body in bodies.items()
+    }
     return texts | {name: body.strip() for name, body in STREAM.items()}

@@ -22,17 +22,21 @@ def student_features(
     four tables share the join key, so the chain of joins needs one shuffle per table.
     """
     students = entities["users"].where(F.col("role") == "student")
-    grades = _grade_activity(entities, scale, mean)
-    homeworks = entities["homeworks"].groupBy("student_id").agg(F.count("id").alias("num_homeworks"))
-    changes = entities["adjustments"].groupBy("student_id").agg(F.count("id").alias("num_changes"))
-
     wide = students.select(F.col("id").alias("student_id"), "name", "school_id")
-    for activity in (grades, homeworks, changes):
+    for activity in (
+        _grade_activity(entities, scale, mean),
+        _events_per_student(entities["homeworks"], "num_homeworks"),
+        _events_per_student(entities["adjustments"], "num_changes"),
+    ):
         wide = wide.join(activity, "student_id", "left")
     numbers = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES]
     return wide.select("student_id", "name", "school_id", *numbers)
 
 
+def _events_per_student(events: DataFrame, name: str) -> DataFrame:
+    return events.groupBy("student_id").agg(F.count("id").alias(name))
+
+
 def _grade_activity(entities: Mapping[str, DataFrame], scale: GradeScale, mean: str) -> DataFrame:
     courses = F.countDistinct("course_id").alias("num_courses")
     if "grade_rollup" in entities:

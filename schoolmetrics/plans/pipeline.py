@@ -55,11 +55,14 @@ def _write_all(jobs: Mapping[str, Callable[[], DataFrame]], folder: str) -> dict
         return {name: write.result() for name, write in writes.items()}
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and go on from its files."""
+    return read_table(df.sparkSession, write_table(df, path), df.schema)
+
+
 def with_rollup(entities: Entities, base: str) -> dict[str, DataFrame]:
     """The entities plus the grades rolled up once, into a table all reports on them read."""
-    grades = entities["grades"]
-    path = write_table(grade_rollup(grades), f"{base}/work/grade_rollup")
-    return {**entities, "grade_rollup": read_table(grades.sparkSession, path)}
+    return {**entities, "grade_rollup": _stored(grade_rollup(entities["grades"]), f"{base}/work/grade_rollup")}
 
 
 def write_analytics(entities: Entities, base: str, mean: str = "double") -> dict[str, str]:
@@ -78,8 +81,8 @@ def write_models(entities: Entities, base: str, partitions: int | None = None) -
     written: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        written[name] = write_table(df, f"{base}/ml/{name}")
-        return read_table(spark, written[name])
+        written[name] = f"{base}/ml/{name}"
+        return _stored(df, written[name])
 
     numbers = put("student_features", features.student_features(entities))
     put("student_clusters", models.segment_students(numbers, partitions=partitions))
@@ -137,7 +140,6 @@ def write_star(
     K10: facts are partitioned by `date_key`, `month_key` or `school_key` (the student's). The
     rebalance hint gathers a partition's rows into few files and splits it when it is large.
     """
-    spark = entities["grades"].sparkSession
     dims = star.dimensions(entities, holidays)
     # Dimensions that others take keys from come first and are read back from their tables.
     order = [
@@ -146,8 +148,8 @@ def write_star(
     ]
     written: dict[str, str] = {}
     for name in order:
-        written[name] = write_table(dims[name], f"{base}/star/{name}")
-        dims.replace(name, read_table(spark, written[name]))
+        written[name] = f"{base}/star/{name}"
+        dims.replace(name, _stored(dims[name], written[name]))
     for name, fact in star.facts(entities, dims).items():
         rows = _with_partition(fact, fact_partition, dims).hint("rebalance", fact_partition)
         written[name] = write_table(rows, f"{base}/star/{name}", [fact_partition])

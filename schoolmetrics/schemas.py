@@ -34,8 +34,3 @@ ENTITIES: dict[str, StructType] = {
     "grades": _entity("course_id student_id grade", "comments"),
     "adjustments": _entity("student_id course_id action"),
 }
-
-# The roles a user and the actions an adjustment may have.
-ROLES = ["teacher", "student", "parent", "clerk"]
-ACTIONS = ["add", "drop", "switch", "audit"]
-

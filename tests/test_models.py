@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -53,6 +54,30 @@ def test_clusters_are_numbered_by_centre(spark):
     assert [r["value"] for r in first_feature] == sorted(r["value"] for r in first_feature)
 
 
+def test_segments_are_a_fixed_point_of_k_means(spark):
+    """Brute force: every student is nearest to the mean of its own cluster, in standard units."""
+    pdf = models.segment_students(students(spark, 300), partitions=4).toPandas()
+    x = pdf[features.FEATURES].to_numpy()
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    centres = np.array([z[pdf["cluster"] == c].mean(axis=0) for c in range(4)])
+    nearest = ((z[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (nearest == pdf["cluster"]).mean() > 0.98
+    assert [tuple(c) for c in centres] == sorted(map(tuple, centres))
+
+
+def test_first_split_is_the_best_one(spark):
+    """Brute force: no single threshold on one feature leaves purer halves than the tree's root."""
+    labeled = models.tree_input(students(spark, 150, seed=3), partitions=4)
+    pdf = models.predict(labeled, models.fit_tree(labeled, max_depth=1)).toPandas()
+
+    def impurity(left):
+        sides = [pdf["label"][left], pdf["label"][~left]]
+        return sum(len(s) * 2 * s.mean() * (1 - s.mean()) for s in sides if len(s))
+
+    best = min(impurity(pdf[f] <= v) for f in models.TREE_FEATURES for v in pdf[f].unique())
+    assert impurity(pdf["prediction"] == 1.0) == pytest.approx(best)
+
+
 def test_tree_and_metrics_agree_with_evaluators(spark):
     predictions = models.classify_students(students(spark), partitions=4).cache()
     assert predictions.columns == ["student_id", "name", "avg_gpa", "num_courses", "num_homeworks", "num_changes", "label", "prediction"]

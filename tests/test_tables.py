@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from school import district
 
+from schoolmetrics.__main__ import main
 from schoolmetrics.operators import star
 from schoolmetrics.plans import pipeline
 from schoolmetrics.schemas import ENTITIES
@@ -67,6 +68,17 @@ def test_full_run(spark, make, tmp_path, rows):
     assert rows(tables.read_table(spark, again["grade_distribution"])) == rows(tables.read_table(spark, first["grade_distribution"]))
 
 
+def test_command_line(spark, make, tmp_path):
+    rows_in = district(4)
+    rows_in["users"] = rows_in["users"][:40]
+    for name, df in make(**rows_in).items():
+        tables.write_table(df, f"{tmp_path}/in/{name}")
+    written = main([f"{tmp_path}/in", f"{tmp_path}/out", "first", "--star", "--mean", "decimal"])
+    assert len(written) == 10 + 11 + 8 + 3
+    assert dict(spark.read.parquet(written["school_performance"]).dtypes)["avg_gpa"] == "decimal(6,5)"
+    assert spark.read.parquet(written["fact_homework"]).count() == 200
+
+
 @pytest.mark.parametrize("column", ["date_key", "month_key", "school_key"])
 def test_star_tables_partitioned(spark, make, tmp_path, rows, column):
     rows_in = district(3)
