@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib import import_module
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -281,8 +283,22 @@ def queries() -> dict[str, Query]:
         **_star_queries(),
         "K12": _streamed_access,
         "K12_batch": _batch_access,
+        **_training_data_queries(),
     }
 
 
+def _has_training_data() -> bool:
+    """Whether the subpackage of training-data operators is here; the rest of the library does without it."""
+    return bool(find_spec("schoolmetrics.llm") and find_spec("schoolmetrics.llm.queries"))
+
+
+def _training_data_queries() -> dict[str, Query]:
+    found = import_module("schoolmetrics.llm.queries").queries() if _has_training_data() else {}
+    if find_spec("corpus_pipeline"):
+        found |= {"pipeline": import_module("corpus_pipeline").run}
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
-    return duckdb_oracle.oracle_sql()
+    more = import_module("schoolmetrics.llm.sql").oracle_sql() if _has_training_data() else {}
+    return duckdb_oracle.oracle_sql() | more
