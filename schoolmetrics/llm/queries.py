@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from schoolmetrics.llm import exact_dedup
+from schoolmetrics.llm import exact_dedup, packing
 from schoolmetrics.llm.common import table
 
 
@@ -14,7 +14,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_exact_dedup": op5_exact_dedup,
+        "op9_best_fit_packing": op9_best_fit_packing,
     }
