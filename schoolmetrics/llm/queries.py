@@ -6,20 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from schoolmetrics.llm import exact_dedup, packing
+from schoolmetrics.llm import exact_dedup, near_dup, packing, secrets, toxicity
 from schoolmetrics.llm.common import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan_secrets(docs, secrets.discovery_levels(docs))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_toxicity": op7_toxicity,
+        "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
