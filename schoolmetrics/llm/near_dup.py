@@ -152,7 +152,7 @@ def _decide_batches(batches: Iterable[pa.RecordBatch], percent: int, deltas: boo
     hashes, last, first_set = WordHashes(), None, None
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
-            near, as_open, as_partner = [], [], []
+            near, as_open, as_partner, weight, above = [], [], [], [], []
             part = batch.slice(at, 1000)
             for text_a, text_b in zip(part.column("text_a"), part.column("text_b"), strict=True):
                 text_a = text_a.as_py()
@@ -165,14 +165,18 @@ def _decide_batches(batches: Iterable[pa.RecordBatch], percent: int, deltas: boo
                     lacked = np.setdiff1d(first_set, other, assume_unique=True)
                     w = 100 * len(lacked) + percent * len(added)
                     order = np.concatenate((added, lacked)).view(np.int64)
-                    n_open, n_partner = prefixes(w, w - (100 - percent) * len(first_set), percent, len(order))
+                    excess = w - (100 - percent) * len(first_set)
+                    n_open, n_partner = prefixes(w, excess, percent, len(order))
                     as_open.append(order[:n_open])
                     as_partner.append(order[:n_partner])
+                    weight.append((w, len(order)))
+                    above.append(excess)
             columns = [part.column("a"), part.column("b"), pa.array(near, pa.bool_())]
             names = ["a", "b", "near"]
             if deltas:
                 columns += [pa.array(x, pa.list_(pa.int64())) for x in (as_open, as_partner)]
-                names += ["as_open", "as_partner"]
+                columns += [pa.array(above, pa.int64()), *(pa.array([x[i] for x in weight], pa.int64()) for i in (0, 1))]
+                names += ["as_open", "as_partner", "excess", "weight", "size"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
@@ -182,7 +186,7 @@ def _decide(pairs: DataFrame, texts: DataFrame, percent: int, deltas: bool) -> D
     text_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     both = pairs.select("a", "b").join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
     kind = pairs.schema["a"].dataType.simpleString()
-    more = ", as_open array<long>, as_partner array<long>" if deltas else ""
+    more = ", as_open array<long>, as_partner array<long>, excess long, weight long, size long" if deltas else ""
 
     def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _decide_batches(batches, percent, deltas)
@@ -190,6 +194,24 @@ def _decide(pairs: DataFrame, texts: DataFrame, percent: int, deltas: bool) -> D
     return both.mapInArrow(decide, f"a {kind}, b {kind}, near boolean{more}")
 
 
+def _sharing_pairs(grouped: DataFrame, percent: int) -> DataFrame:
+    """(x, y) that share one of their first differences from a centre, x not linked to it.
+
+    From where they share one, at most the shorter rest of the two lists can be shared; that must reach what a link needs.
+    """
+    one = grouped.where(~F.col("near")).select(
+        "a", F.col("b").alias("x"), "excess", F.col("size").alias("size_x"), F.posexplode("as_open").alias("at_x", "d")
+    )
+    other = grouped.select(
+        F.col("a").alias("a_y"), F.col("b").alias("y"), "weight", F.col("size").alias("size_y"), "near",
+        F.posexplode("as_partner").alias("at_y", "d_y"),
+    )
+    rest = F.least(F.col("size_x") - F.col("at_x"), F.col("size_y") - F.col("at_y"))
+    enough = F.col("excess") + F.col("weight") <= (100 + percent) * rest
+    once = F.when(F.col("near"), F.col("x") != F.col("y")).otherwise(F.col("x") < F.col("y"))
+    return one.join(other, (F.col("a") == F.col("a_y")) & (F.col("d") == F.col("d_y")) & enough & once)
+
+
 def near_links(docs: DataFrame, found: DataFrame, *, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Links (a, b) between nodes, from stored sketches; enough of them to connect whatever is connected."""
     limit = sketch_limit(percent)
@@ -220,13 +242,11 @@ def near_links(docs: DataFrame, found: DataFrame, *, id_col: str, text_col: str,
 
     wanted = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     rows = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("binary").alias("text"))
-    texts = stored(rows.join(wanted, "node", "left_semi"), "texts")
+    texts = stored(rows.join(wanted.hint("merge"), "node", "left_semi"), "texts")  # planned alike at every size
     single = _decide(stars.where("partners = 1"), texts, percent, deltas=False).where("near").select("a", "b")
     grouped = stored(_decide(stars.where("partners > 1"), texts, percent, deltas=True), "decided")
 
-    open_ones = grouped.where(~F.col("near")).select("a", F.col("b").alias("x"), F.explode("as_open").alias("d"))
-    others = grouped.select("a", F.col("b").alias("y"), F.explode("as_partner").alias("d"))
-    pairs = open_ones.join(others, ["a", "d"]).where("x <> y")
+    pairs = _sharing_pairs(grouped, percent)
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     pairs = pairs.join(odd_a, "a").join(odd_b, "b").where(_far("odd_a", "odd_b") <= limit)
     further = _decide(pairs, texts, percent, deltas=False).where("near").select("a", "b")
@@ -250,3 +270,10 @@ def near_duplicates(
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of `docs` that stay, one of each group, with all their columns. A row without an id stays."""
+    groups = near_duplicates(docs, id_col=id_col, **options)
+    dropped = groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("dropped_id"))
+    return docs.join(dropped, docs[id_col] == dropped.dropped_id, "left_anti")
