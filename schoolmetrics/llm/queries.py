@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from schoolmetrics.llm import exact_dedup, near_dup, packing, secrets, toxicity
+from schoolmetrics.llm import exact_dedup, near_dup, packing, quality, secrets, toxicity, vafile, warc
 from schoolmetrics.llm.common import table
+from schoolmetrics.sources.scratch import scratch_path
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +17,25 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(docs, secrets.discovery_levels(docs))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives and read back; ids are taken from the records."""
+    path = warc.write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    found = warc.records(warc.read_archives(spark, path))
+    page = lambda name: F.substring(name, len(warc.PREFIX) + 1, 40).cast("long")
+    return found.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -35,6 +56,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_quality_classifier": op2_quality_classifier,
+        "op3_exact_top_k": op3_exact_top_k,
+        "op4_warc": op4_warc,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_toxicity": op7_toxicity,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,

@@ -18,5 +18,47 @@ WINDOW same AS (PARTITION BY body)
 """
 
 
+OP3 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+# Five bits of the hexadecimal digest at a time give a base-32 digit.
+OP4 = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), coded AS (
+    SELECT page_id, payload, sha1(payload) || '0' AS hex FROM payloads
+), digits AS (
+    SELECT page_id, payload,
+           list_transform(range(0, 32), lambda i:
+               ((strpos('0123456789abcdef', hex[5 * i // 4 + 1]) - 1) * 16
+                 + strpos('0123456789abcdef', hex[5 * i // 4 + 2]) - 1) // CAST(pow(2, 3 - (5 * i) % 4) AS BIGINT) % 32
+           ) AS fives
+    FROM coded
+), named AS (
+    SELECT page_id, payload,
+           array_to_string(list_transform(fives, lambda d: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[d + 1]), '') AS code,
+           max(page_id) OVER (PARTITION BY payload) AS response_id
+    FROM digits
+)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, code AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to
+FROM named
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5}
+    return {"op3_exact_top_k": OP3, "op4_warc": OP4, "op5_exact_dedup": OP5}
