@@ -91,6 +91,32 @@ def _model_queries() -> dict[str, Query]:
     }
 
 
+def _companion_queries() -> dict[str, Query]:
+    """The steps after a fit, on predictions and clusters that follow from a column, and what a fit must not change."""
+
+    def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+        labeled = features.high_performer_label(_features(spark, sf_dir))
+        return labeled.withColumn("prediction", F.when(F.col("num_homeworks") >= 2, 1.0).otherwise(0.0))
+
+    def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _features(spark, sf_dir).withColumn("cluster", F.least("num_changes", F.lit(3.0)).cast("int"))
+
+    def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return charts.cluster_profile(clustered(spark, sf_dir)).withColumn("value", F.round("value", 6))
+
+    return {
+        "M1_students": lambda spark, sf_dir: _clusters(spark, sf_dir).drop("cluster"),
+        "M3_students": lambda spark, sf_dir: _predictions(spark, sf_dir).drop("prediction"),
+        "M4_rule": lambda spark, sf_dir: models.classification_metrics(predicted(spark, sf_dir)),
+        "M5_rule": lambda spark, sf_dir: models.confusion_matrix(predicted(spark, sf_dir)),
+        "C5_rule": lambda spark, sf_dir: charts.cluster_sizes(clustered(spark, sf_dir)),
+        "C6_rule": profile,
+        "C7_rule": lambda spark, sf_dir: charts.cluster_points(clustered(spark, sf_dir)),
+        "C8_rule": lambda spark, sf_dir: charts.metric_bars(models.classification_metrics(predicted(spark, sf_dir))),
+        "C9_rule": lambda spark, sf_dir: charts.confusion_grid(models.confusion_matrix(predicted(spark, sf_dir))),
+    }
+
+
 def _chart_queries() -> dict[str, Query]:
     def on(report: str, chart: Callable[..., DataFrame], *args: str) -> Query:
         return lambda spark, sf_dir: chart(REPORT_IDS[report](entities(spark, sf_dir)), *args)
@@ -141,11 +167,15 @@ def _written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the ten report tables of a full run."""
-    written = pipeline.materialize(spark, entities(spark, sf_dir), scratch_path(spark, "runs"), "run-1")
+    """Row counts of the reports, student tables, dimensions and facts of a full run with models and star schema."""
+    root = scratch_path(spark, "runs")
+    pipeline.materialize(spark, entities(spark, sf_dir), root, "run-1", ml=True, with_star=True)
+    written = pipeline.run_tables(spark, root)
+    students = ["student_features", "student_clusters", "dt_predictions"]
+    names = [*reports.REPORTS, *students, *sorted(n for n in written if n.startswith(("dim_", "fact_", "kpi_")))]
     counts = [
         tables.read_table(spark, written[name]).agg(F.lit(name).alias("table_name"), F.count("*").alias("num_rows"))
-        for name in reports.REPORTS
+        for name in names
     ]
     total = counts[0]
     for more in counts[1:]:
@@ -204,6 +234,7 @@ def _star_queries() -> dict[str, Query]:
         "K4_dim_content": dimension("dim_content"),
         "K5": keyed_grades,
         "K6": _student_history,
+        "K6_close_missing": lambda spark, sf_dir: _student_history(spark, sf_dir, close_missing=True),
         "K7": _student_overwrite,
         "K8_fact_grade": fact("fact_grade"),
         "K9_fact_homework": fact("fact_homework"),
@@ -223,7 +254,7 @@ def _dates_as_text(df: DataFrame) -> DataFrame:
 
 
 def _student_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Customers as students; a year later those in debt have moved to S0 and suppliers have joined."""
+    """Customers as students; a year later those in debt have moved to S0, every seventh has left, suppliers have joined."""
 
     def table(name: str) -> DataFrame:
         return tables.read_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
@@ -234,7 +265,8 @@ def _student_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     home, moved = keyed("S", "c_nationkey"), F.when(F.col("c_acctbal") < 0, "S0")
     who = [keyed("U", "c_custkey").alias("student_id"), F.col("c_name").alias("name")]
     before = table("customer").select(*who, home.alias("school_id"))
-    after = table("customer").select(*who, F.coalesce(moved, home).alias("school_id"))
+    stayed = table("customer").where(F.col("c_custkey") % 7 != 0)
+    after = stayed.select(*who, F.coalesce(moved, home).alias("school_id"))
     joined = table("supplier").select(
         keyed("X", "s_suppkey").alias("student_id"),
         F.col("s_name").alias("name"),
@@ -243,10 +275,10 @@ def _student_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return before, after.unionByName(joined)
 
 
-def _student_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _student_history(spark: SparkSession, sf_dir: str, close_missing: bool = False) -> DataFrame:
     before, after = _student_snapshots(spark, sf_dir)
     first = star.start_history(before, "2020-09-01")
-    return _dates_as_text(star.scd2_merge(first, after, "student_id", "2021-09-01"))
+    return _dates_as_text(star.scd2_merge(first, after, "student_id", "2021-09-01", close_missing))
 
 
 def _student_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,19 +289,31 @@ def _student_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _accesses(events: DataFrame) -> DataFrame:
     """Events as content accesses: ten consecutive events fall on one content."""
     content = F.concat(F.lit("D"), F.call_function("div", F.col("event_id"), F.lit(10)).cast("string"))
-    return events.select("ts", content.alias("content_id"), F.col("event_type").alias("access_type"))
+    student = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+    return events.select(
+        "ts", student.alias("student_id"), content.alias("content_id"), F.col("event_type").alias("access_type")
+    )
 
 
-def _streamed_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = content_access.event_stream(spark, sf_dir, TABLES["events"], "events.parquet")
     target, checkpoint = scratch_path(spark, "access"), scratch_path(spark, "access-state")
-    content_access.run_access_counts(_accesses(events), target, checkpoint).awaitTermination()
+    content_access.run_access_log(_accesses(events), target, checkpoint).awaitTermination()
     return tables.read_table(spark, target)
 
 
+def _streamed_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_access.access_counts(_access_log(spark, sf_dir))
+
+
 def _batch_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.read_table(spark, f"{sf_dir}/events.parquet", TABLES["events"])
-    return content_access.closed_windows(_accesses(events))
+    return content_access.access_counts(_accesses(events))
+
+
+def _access_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = star.dimensions(entities(spark, sf_dir))
+    return content_access.fact_content_access(_access_log(spark, sf_dir), dims)
 
 
 def queries() -> dict[str, Query]:
@@ -278,11 +322,13 @@ def queries() -> dict[str, Query]:
         **{name: _on_entities(report) for name, report in REPORT_IDS.items()},
         **{f"{name}_decimal": _in_decimals(r) for name, r in REPORT_IDS.items() if name not in ("Q3", "Q5")},
         **_model_queries(),
+        **_companion_queries(),
         **_chart_queries(),
         **_table_queries(),
         **_star_queries(),
         "K12": _streamed_access,
         "K12_batch": _batch_access,
+        "K12_fact_content_access": _access_fact,
         **_training_data_queries(),
     }
 

@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+# Fixed values of the fixture mapping; a list prints as DuckDB writes it.
+SUBJECTS = [
+    "Mathematics", "English Literature", "Science", "History", "Art", "Music",
+    "Physical Education", "Computer Science", "Foreign Language",
+]
+LEVELS = ["101", "102", "201", "202", "301", "302", "AP", "Honors", "Remedial"]
+CONTENT_KINDS = ["lesson", "assignment", "quiz", "video", "image", "resource"]
+FILE_KINDS = ["pdf", "docx", "pptx", "mp4", "jpg", "zip"]
+LETTERS = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "F", "P"]
+
 # The entity views of FIXTURES.md section 3.
-ENTITY_VIEWS = """
+ENTITY_VIEWS = f"""
 line_items AS (
   SELECT l.*, o.o_custkey, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
@@ -25,9 +35,8 @@ users AS (
 ),
 courses AS (
   SELECT 'C' || p_partkey AS id,
-         split_part('Mathematics,English Literature,Science,History,Art,Music,Physical Education,Computer Science,Foreign Language',
-                    ',', CAST(p_partkey % 9 + 1 AS INT)) || ' ' ||
-         split_part('101,102,201,202,301,302,AP,Honors,Remedial', ',', CAST(p_partkey // 9 % 9 + 1 AS INT)) AS name,
+         {SUBJECTS}[CAST(p_partkey % 9 + 1 AS INT)] || ' ' ||
+         {LEVELS}[CAST(p_partkey // 9 % 9 + 1 AS INT)] AS name,
          'T' || (p_partkey // 20) AS teacher_id, 'S' || (p_partkey // 20 % 25) AS school_id
   FROM part
   UNION ALL SELECT 'Y' || n_nationkey, 'Orientation ' || n_name, 'V' || n_nationkey, 'S' || n_nationkey FROM nation
@@ -37,10 +46,10 @@ numbered_documents AS (
 ),
 contents AS (
   SELECT 'D' || doc_id AS id, 'C' || doc_id AS course_id, 'T' || (doc_id // 20) AS teacher_id,
-         '/files/C' || doc_id || '/' || split_part('lesson,assignment,quiz,video,image,resource', ',', kind) || '_' ||
-         doc_id || '.' || split_part('pdf,docx,pptx,mp4,jpg,zip', ',', kind) AS file_path,
-         split_part('lesson,assignment,quiz,video,image,resource', ',', kind) AS content_type,
-         split_part('pdf,docx,pptx,mp4,jpg,zip', ',', kind) AS file_type
+         '/files/C' || doc_id || '/' || {CONTENT_KINDS}[kind] || '_' ||
+         doc_id || '.' || {FILE_KINDS}[kind] AS file_path,
+         {CONTENT_KINDS}[kind] AS content_type,
+         {FILE_KINDS}[kind] AS file_type
   FROM numbered_documents
 ),
 graded_items AS (
@@ -51,8 +60,7 @@ graded_items AS (
 grades AS (
   SELECT 'G' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id,
          o_orderdate AS created_at, 'C' || c_no AS course_id, 'U' || s_no AS student_id,
-         split_part('A+,A,A-,B+,B,B-,C+,C,C-,D+,D,F,P', ',',
-                    CAST((CAST(l_quantity AS INT) - 1) % CASE WHEN s_no % 3 = 1 THEN 6 ELSE 13 END + 1 AS INT)) AS grade
+         {LETTERS}[CAST((CAST(l_quantity AS INT) - 1) % CASE WHEN s_no % 3 = 1 THEN 6 ELSE 13 END + 1 AS INT)] AS grade
   FROM graded_items
 ),
 handed_in AS (
@@ -275,9 +283,6 @@ SELECT s.name AS school_name, u.role, COUNT(*) AS n
 FROM users u JOIN schools s ON s.id = u.school_id GROUP BY s.name, u.role
 """,
     "S5": REPORTS["Q10"],
-    "S7": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, COUNT(*) AS num_rows FROM ({REPORTS[q]})" for q, name in TABLE_NAMES.items()
-    ),
 }
 
 # Dimensions and facts. A key is the position of the natural key in its order.
@@ -373,6 +378,12 @@ STAR = {
     "K9_fact_homework": "SELECT * FROM fact_homework",
     "K9_fact_course_load_change": "SELECT * FROM fact_course_load_change",
     "K10": "SELECT * EXCLUDE (tenths), date_key // 100 AS month_key FROM fact_grade",
+    "K12_fact_content_access": """
+SELECT student_key, content_key, CAST(strftime(ts, '%Y%m%d') AS INT) AS date_key, event_type AS access_type,
+       COUNT(*) AS access_count
+FROM events LEFT JOIN dim_student ON student_id = 'U' || user_id LEFT JOIN dim_content ON content_id = 'D' || (event_id // 10)
+GROUP BY 1, 2, 3, 4
+""",
     "K11_achievement": _per_level(
         """(SELECT f.*, s.school_key, subject, teacher_key FROM fact_grade f
             LEFT JOIN dim_student s ON s.student_key = f.student_key
@@ -403,17 +414,37 @@ FROM (SELECT content_type, file_type, COUNT(*) AS n, CAST(SUM(COUNT(*)) OVER ()
 """,
 }
 
-# History of customers as students: everyone from 2020; those in debt move to school S0 and every
-# supplier joins in 2021.
+# Row counts of a run's tables.
+RUN_TABLES = {
+    **{name: REPORTS[q] for q, name in TABLE_NAMES.items()},
+    **dict.fromkeys(["student_features", "student_clusters", "dt_predictions"], FEATURES),
+    **{
+        name: f"SELECT * FROM {name}"
+        for name in [
+            "dim_school", "dim_teacher", "dim_student", "dim_parent", "dim_course", "dim_action", "dim_content", "dim_date",
+            "fact_grade", "fact_homework", "fact_course_load_change",
+        ]
+    },
+    **{f"kpi_{name}": STAR[f"K11_{name}"] for name in ["achievement", "homework_rate", "course_changes", "content_mix"]},
+}
+STAR["S7"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS num_rows FROM ({body})" for name, body in RUN_TABLES.items()
+)
+
+# History of customers as students: everyone from 2020; in 2021 those in debt move to school S0, every seventh
+# leaves and every supplier joins.
 HISTORY = """
-before AS (SELECT 'U' || c_custkey AS student_id, c_name AS name, 'S' || c_nationkey AS school_id, c_acctbal FROM customer),
+before AS (SELECT 'U' || c_custkey AS student_id, c_name AS name, 'S' || c_nationkey AS school_id, c_custkey, c_acctbal FROM customer),
 after AS (
-  SELECT student_id, name, CASE WHEN c_acctbal < 0 THEN 'S0' ELSE school_id END AS school_id FROM before
+  SELECT student_id, name, CASE WHEN c_acctbal < 0 THEN 'S0' ELSE school_id END AS school_id FROM before WHERE c_custkey % 7 <> 0
   UNION ALL SELECT 'X' || s_suppkey, s_name, 'S' || s_nationkey FROM supplier
 )
 """
-CHANGES = {
-    "K6": f"""
+
+
+def _versions(left: str) -> str:
+    """All versions after the merge; `left` has the versions of those who left."""
+    return f"""
 SELECT a.student_id, a.name, a.school_id, CASE WHEN b.student_id IS NULL OR b.school_id <> a.school_id
        THEN '2021-09-01' ELSE '2020-09-01' END AS effective_from,
        '9999-12-31' AS effective_to, TRUE AS is_current
@@ -421,8 +452,15 @@ FROM after a LEFT JOIN before b ON a.student_id = b.student_id
 UNION ALL
 SELECT b.student_id, b.name, b.school_id, '2020-09-01', '2021-09-01', FALSE
 FROM before b JOIN after a ON a.student_id = b.student_id WHERE b.school_id <> a.school_id
-""",
-    "K7": "SELECT * FROM after",
+UNION ALL
+SELECT student_id, name, school_id, '2020-09-01', {left} FROM before WHERE c_custkey % 7 = 0
+"""
+
+
+CHANGES = {
+    "K6": _versions("'9999-12-31', TRUE"),
+    "K6_close_missing": _versions("'2021-09-01', FALSE"),
+    "K7": "SELECT * FROM after UNION ALL SELECT student_id, name, school_id FROM before WHERE c_custkey % 7 = 0",
 }
 
 STREAM = {
@@ -431,12 +469,55 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
        'D' || (event_id // 10) AS content_id, event_type AS access_type, COUNT(*) AS access_count
 FROM events
 GROUP BY 1, 2, 3, 4
-HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)
 """,
 }
 STREAM["K12_batch"] = STREAM["K12"]
 
+PREDICTED = f"""(
+SELECT CASE WHEN avg_gpa >= 3.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+       CASE WHEN num_homeworks >= 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+FROM ({FEATURES}))"""
+CLUSTERED = f"(SELECT *, CAST(LEAST(num_changes, 3) AS INT) AS cluster FROM ({FEATURES}))"
+METRICS = f"""
+WITH p AS {PREDICTED},
+classes AS (
+  SELECT c AS cls, CAST((SELECT COUNT(*) FROM p WHERE label = c) AS DOUBLE) AS actual,
+         CAST((SELECT COUNT(*) FROM p WHERE prediction = c) AS DOUBLE) AS predicted,
+         CAST((SELECT COUNT(*) FROM p WHERE label = c AND prediction = c) AS DOUBLE) AS hits
+  FROM (VALUES (0.0), (1.0)) v(c)
+)
+SELECT SUM(hits) / SUM(actual) AS accuracy,
+       SUM(COALESCE(hits / NULLIF(predicted, 0), 0) * actual) / SUM(actual) AS weighted_precision,
+       SUM(COALESCE(hits / NULLIF(actual, 0), 0) * actual) / SUM(actual) AS weighted_recall
+FROM classes
+"""
+COMPANIONS = {
+    "M1_students": FEATURES,
+    "M3_students": f"""
+SELECT student_id, name, avg_gpa, num_courses, num_homeworks, num_changes,
+       CASE WHEN avg_gpa >= 3.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM ({FEATURES})
+""",
+    "M4_rule": METRICS,
+    "M5_rule": f"SELECT label, prediction, COUNT(*) AS count FROM {PREDICTED} GROUP BY ALL",
+    "C5_rule": f"SELECT cluster, COUNT(*) AS count FROM {CLUSTERED} GROUP BY ALL",
+    "C6_rule": " UNION ALL ".join(
+        f"SELECT cluster, '{f}' AS feature, ROUND(SUM(CAST({f} AS DECIMAL(24, 10)))::DOUBLE / COUNT(*), 6) AS value "
+        f"FROM {CLUSTERED} GROUP BY cluster"
+        for f in ["num_courses", "num_homeworks", "avg_gpa", "num_changes"]
+    ),
+    "C7_rule": f"SELECT num_homeworks, avg_gpa, cluster FROM {CLUSTERED}",
+    "C8_rule": " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, {m} AS value, printf('%.2f', {m}) AS label FROM ({METRICS})"
+        for m in ["accuracy", "weighted_precision", "weighted_recall"]
+    ),
+    "C9_rule": f"""
+SELECT label, COUNT(*) FILTER (prediction = 0) AS predicted_0, COUNT(*) FILTER (prediction = 1) AS predicted_1
+FROM {PREDICTED} GROUP BY label
+""",
+}
+
 ON_ENTITIES = {
+    **COMPANIONS,
     **REPORTS,
     **DECIMAL_REPORTS,
     "F1": FEATURES,

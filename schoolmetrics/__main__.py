@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from schoolmetrics.plans.pipeline import materialize, write_star
+from schoolmetrics.plans.pipeline import materialize
 from schoolmetrics.sources.tables import read_entities, register_views
 
 
@@ -16,19 +16,30 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     parser = argparse.ArgumentParser(prog="schoolmetrics", description=main.__doc__)
     parser.add_argument("entities", help="folder with one Parquet table per entity")
     parser.add_argument("results", help="folder the run is written below")
-    parser.add_argument("run_id", help="name of the run; an existing run of that name is replaced")
+    parser.add_argument("run_id", help="name of the run; a later run of that name takes its place")
     parser.add_argument("--ml", action="store_true", help="also write student features and models")
-    parser.add_argument("--star", action="store_true", help="also write dimensions and facts")
+    parser.add_argument("--star", action="store_true", help="also write dimensions, facts and KPIs")
+    parser.add_argument("--fact-partition", choices=["date_key", "month_key", "school_key"], default="date_key")
+    parser.add_argument("--holidays", nargs="*", default=[], metavar="YYYY-MM-DD", help="days marked in the calendar")
+    parser.add_argument("--partitions", type=int, help="parts of the model input; by default from the number of students")
     parser.add_argument("--mean", choices=["double", "decimal"], default="double", help="type of means and shares")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("schoolmetrics").getOrCreate()
     source = read_entities(spark, args.entities)
     register_views(source)
-    written = materialize(spark, source, args.results, args.run_id, ml=args.ml, mean=args.mean)
-    if args.star:
-        written |= write_star(source, f"{args.results}/{args.run_id}")
-    return written
+    return materialize(
+        spark,
+        source,
+        args.results,
+        args.run_id,
+        ml=args.ml,
+        mean=args.mean,
+        partitions=args.partitions,
+        with_star=args.star,
+        fact_partition=args.fact_partition,
+        holidays=args.holidays,
+    )
 
 
 if __name__ == "__main__":

@@ -85,8 +85,12 @@ def cluster_sizes(clusters: DataFrame) -> DataFrame:
 
 
 def cluster_profile(clusters: DataFrame) -> DataFrame:
-    """C6: mean of each feature per cluster, one row per cluster and feature."""
-    means = clusters.groupBy("cluster").agg(*[F.avg(f).alias(f) for f in FEATURES])
+    """C6: mean of each feature per cluster, one row per cluster and feature.
+
+    Sums are taken in decimals, so the order of the rows doesn't show in the last digits.
+    """
+    exact = [F.avg(F.col(f).cast("decimal(24,10)")).cast("double").alias(f) for f in FEATURES]
+    means = clusters.groupBy("cluster").agg(*exact)
     return means.unpivot("cluster", FEATURES, "feature", "value")
 
 

@@ -19,7 +19,8 @@ def student_features(
     """F1: graded courses, homeworks, mean points and course changes of each student, 0.0 where none.
 
     Each activity is reduced to one row per student before it meets the students, and all
-    four tables share the join key, so the chain of joins needs one shuffle per table.
+    four tables share the join key, so the chain of joins needs one shuffle per table. The
+    distinct courses take the grades one more, unless a roll-up has one row for each of them.
     """
     students = entities["users"].where(F.col("role") == "student")
     wide = students.select(F.col("id").alias("student_id"), "name", "school_id")
@@ -40,6 +41,7 @@ def _events_per_student(events: DataFrame, name: str) -> DataFrame:
 def _grade_activity(entities: Mapping[str, DataFrame], scale: GradeScale, mean: str) -> DataFrame:
     courses = F.countDistinct("course_id").alias("num_courses")
     if "grade_rollup" in entities:
+        courses = F.count("course_id").alias("num_courses")
         points, n = F.sum(f"{scale.name}_points"), F.sum(f"{scale.name}_n")
         source = entities["grade_rollup"]
     else:

@@ -1,12 +1,14 @@
 """Student segments (M1) and the high-performer classifier with its evaluation (M3-M6).
 
 Fitting is distributed (spark.ml); only cluster centres and the tree come back to the
-driver. Both fits read a checkpoint of the features hash-partitioned and sorted by student,
-so a result depends on the data and the partition count, not on how the input arrived.
+driver. Both fits read a checkpoint of the features hash-partitioned and sorted by student, in
+a number of parts that follows from the number of students: a result depends on the data, not
+on a setting of the session or on how the input arrived.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,11 +25,14 @@ from schoolmetrics.sources.tables import literal_table
 # GPA is left out: it defines the label.
 TREE_FEATURES = ["num_courses", "num_homeworks", "num_changes"]
 NO_TREE = "No decision tree was fitted."
+LEAST_PARTS, ROWS_PER_PART = 8, 500_000
+#: Starts of k-means; the one with the least cost is taken.
+SEEDS = (42, 43, 44)
 
 
 def fit_input(features: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Checkpoint the features in a reproducible layout; default as many parts as the session shuffles to."""
-    n = partitions or int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Checkpoint the features in a reproducible layout: `partitions` parts, or one per ROWS_PER_PART students."""
+    n = partitions or max(LEAST_PARTS, -(-features.count() // ROWS_PER_PART))
     return durable(features.repartition(n, "student_id").sortWithinPartitions("student_id", "name"))
 
 
@@ -39,21 +44,28 @@ def _scaled(columns: list[str]) -> list:
 
 
 def segment_students(
-    features: DataFrame, k: int = 4, seed: int = 42, partitions: int | None = None
+    features: DataFrame,
+    k: int = 4,
+    seeds: Sequence[int] = SEEDS,
+    partitions: int | None = None,
+    prepared: bool = False,
 ) -> DataFrame:
     """M1: k-means over the four standardised features; adds `cluster`.
 
-    Clusters are numbered by their sorted centres, since the numbers k-means hands out are arbitrary.
+    Of several starts the one with the least training cost is taken, the first of equals. Clusters are numbered by their
+    sorted centres, since the numbers k-means hands out are arbitrary. `prepared` features come from `fit_input`.
     """
-    prepared = fit_input(features, partitions)
-    if prepared.isEmpty():
-        return prepared.withColumn("cluster", F.lit(None).cast("int"))
-    kmeans = KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="_cluster")
-    model = Pipeline(stages=[*_scaled(FEATURES), kmeans]).fit(prepared)
-    centres = [tuple(c) for c in model.stages[-1].clusterCenters()]
+    rows = features if prepared else fit_input(features, partitions)
+    if rows.isEmpty():
+        return rows.withColumn("cluster", F.lit(None).cast("int"))
+    scaling = Pipeline(stages=_scaled(FEATURES)).fit(rows)
+    scaled = durable(scaling.transform(rows).select(*features.columns, "_scaled"))
+    fits = [KMeans(k=k, seed=s, featuresCol="_scaled", predictionCol="_cluster").fit(scaled) for s in seeds]
+    model = min(fits, key=lambda fit: fit.summary.trainingCost)
+    centres = [tuple(c) for c in model.clusterCenters()]
     by_centre = sorted(range(len(centres)), key=centres.__getitem__)
     number = F.array(*[F.lit(by_centre.index(old)) for old in range(len(centres))])
-    return model.transform(prepared).select(
+    return model.transform(scaled).select(
         *features.columns, F.element_at(number, F.col("_cluster") + 1).alias("cluster")
     )
 
@@ -71,9 +83,11 @@ def fit_tree(labeled: DataFrame, max_depth: int = 3, seed: int = 42) -> Pipeline
     return Pipeline(stages=[*_scaled(TREE_FEATURES), tree]).fit(declared)
 
 
-def tree_input(features: DataFrame, threshold: float = 3.0, partitions: int | None = None) -> DataFrame:
-    """Labelled features, laid out for fitting."""
-    return high_performer_label(fit_input(features, partitions), threshold)
+def tree_input(
+    features: DataFrame, threshold: float = 3.0, partitions: int | None = None, prepared: bool = False
+) -> DataFrame:
+    """Labelled features, laid out for fitting; `prepared` features come from `fit_input`."""
+    return high_performer_label(features if prepared else fit_input(features, partitions), threshold)
 
 
 def predict(labeled: DataFrame, model: PipelineModel | None) -> DataFrame:

@@ -44,7 +44,7 @@ def _keys(name: str, key: str, by_id: bool) -> list[str]:
 def grade_rollup(grades: DataFrame, *extra: str) -> DataFrame:
     """Per course and student: row counts and point sums under each scale.
 
-    All reports on grades are sums over this table, so one scan of the grades serves them all.
+    All reports on grades but the distribution of letters (Q6) are sums over this table.
     """
     sums = []
     for scale in SCALES.values():

@@ -73,6 +73,11 @@ def _keyed(df: DataFrame, dimension: DataFrame, natural: str, key: str) -> DataF
     return df.join(dimension.select(natural, key), natural, "left").drop(natural)
 
 
+def _keys(dims: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """Natural ids and keys of a dimension, without its attributes where they are known apart."""
+    return dims[f"keys_{name}" if f"keys_{name}" in dims else f"dim_{name}"]
+
+
 def _people(entities: Entities, role: str) -> DataFrame:
     chosen = entities["users"].where(F.col("role") == role)
     return chosen.select(F.col("id").alias(f"{role}_id"), "name", "school_id")
@@ -87,29 +92,39 @@ def dim_school(entities: Entities) -> DataFrame:
     return with_surrogate_key(schools, "school_id", "school_key")
 
 
-def dim_person(entities: Entities, role: str, schools: DataFrame) -> DataFrame:
-    """K2: the users of one role with the key of their school."""
-    people = with_surrogate_key(_people(entities, role), f"{role}_id", f"{role}_key")
+def person_keys(entities: Entities, role: str) -> DataFrame:
+    """The users of one role with their surrogate keys: what facts need of the dimension."""
+    return with_surrogate_key(_people(entities, role), f"{role}_id", f"{role}_key")
+
+
+def dim_person(role: str, people: DataFrame, schools: DataFrame) -> DataFrame:
+    """K2: the keyed users of one role with the key of their school."""
     columns = [f"{role}_key", f"{role}_id", "name", "school_key"]
     return _keyed(people, schools, "school_id", "school_key").select(*columns)
 
 
+def course_keys(entities: Entities) -> DataFrame:
+    """The courses with their surrogate keys: what facts need of the dimension."""
+    courses = entities["courses"].select(F.col("id").alias("course_id"), "name", "school_id", "teacher_id")
+    return with_surrogate_key(courses, "course_id", "course_key")
+
+
 def dim_course(
-    entities: Entities,
+    courses: DataFrame,
     schools: DataFrame,
     teachers: DataFrame,
     rules: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """K3: courses; subject by the report rules, level the last word of the name."""
-    courses = entities["courses"].select(
-        F.col("id").alias("course_id"),
+    """K3: keyed courses; subject by the report rules, level the last word of the name."""
+    keyed = courses.select(
+        "course_key",
+        "course_id",
         "name",
         subject_of(F.col("name"), rules).alias("subject"),
         F.substring_index("name", " ", -1).alias("level"),
         "school_id",
         "teacher_id",
     )
-    keyed = with_surrogate_key(courses, "course_id", "course_key")
     keyed = _keyed(keyed, schools, "school_id", "school_key")
     keyed = _keyed(keyed, teachers, "teacher_id", "teacher_key")
     return keyed.select("course_key", "course_id", "name", "subject", "level", "school_key", "teacher_key")
@@ -137,17 +152,24 @@ def dim_content(entities: Entities, courses: DataFrame, teachers: DataFrame) ->
 
 
 def dimensions(entities: Entities, holidays: Sequence[str] = ()) -> LazyTables:
-    """Every dimension by name, each keyed when first asked for."""
+    """Every dimension by name, each keyed when first asked for.
+
+    `keys_*` hold natural id and key before the dimension's own lookups, so that facts join nothing they don't use.
+    """
     dims = LazyTables(
         {
+            "keys_student": lambda: person_keys(entities, "student"),
+            "keys_teacher": lambda: person_keys(entities, "teacher"),
+            "keys_parent": lambda: person_keys(entities, "parent"),
+            "keys_course": lambda: course_keys(entities),
             "dim_date": lambda: dim_date(activity_days(entities), holidays),
             "dim_school": lambda: dim_school(entities),
-            "dim_student": lambda: dim_person(entities, "student", dims["dim_school"]),
-            "dim_teacher": lambda: dim_person(entities, "teacher", dims["dim_school"]),
-            "dim_parent": lambda: dim_person(entities, "parent", dims["dim_school"]),
-            "dim_course": lambda: dim_course(entities, dims["dim_school"], dims["dim_teacher"]),
+            "dim_student": lambda: dim_person("student", dims["keys_student"], dims["dim_school"]),
+            "dim_teacher": lambda: dim_person("teacher", dims["keys_teacher"], dims["dim_school"]),
+            "dim_parent": lambda: dim_person("parent", dims["keys_parent"], dims["dim_school"]),
+            "dim_course": lambda: dim_course(dims["keys_course"], dims["dim_school"], dims["keys_teacher"]),
             "dim_action": lambda: dim_action(entities),
-            "dim_content": lambda: dim_content(entities, dims["dim_course"], dims["dim_teacher"]),
+            "dim_content": lambda: dim_content(entities, dims["keys_course"], dims["keys_teacher"]),
         }
     )
     return dims
@@ -159,8 +181,8 @@ def _fact(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     Every row is kept. A course or student with a large part of the rows is handled by the
     adaptive skew join: each join is followed by a shuffle on another key or by the output.
     """
-    keyed = _keyed(df, dims["dim_course"], "course_id", "course_key")
-    keyed = _keyed(keyed, dims["dim_student"], "student_id", "student_key")
+    keyed = _keyed(df, _keys(dims, "course"), "course_id", "course_key")
+    keyed = _keyed(keyed, _keys(dims, "student"), "student_id", "student_key")
     return keyed.withColumn("date_key", date_key(F.col("created_at")))
 
 
@@ -222,6 +244,23 @@ def _current_from(df: DataFrame, effective: str) -> DataFrame:
     )
 
 
+def _one_per_key(snapshot: DataFrame, natural_key: str) -> DataFrame:
+    """The snapshot; the job fails where a key is NULL or comes twice."""
+    rest = [c for c in snapshot.columns if c != natural_key]
+    present = F.coalesce(F.col(natural_key), F.raise_error(F.lit(f"NULL in {natural_key} of a snapshot")))
+    grouped = snapshot.groupBy(present.alias(natural_key)).agg(
+        F.count("*").alias("_n"), F.any_value(F.struct(*rest)).alias("_row")
+    )
+    repeated = F.raise_error(F.concat(F.lit(f"repeated {natural_key} in a snapshot: "), F.col(natural_key).cast("string")))
+    once = grouped.withColumn("_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(repeated))
+    return once.select(natural_key, *[F.col("_row").getField(c).alias(c) for c in rest]).select(*snapshot.columns)
+
+
+def _not_after(column: str, effective: str) -> Column:
+    late = F.raise_error(F.lit(f"effective date {effective} is before the start of a current version"))
+    return F.when(F.col(column) <= F.lit(effective).cast("date"), F.col(column)).otherwise(late)
+
+
 def scd2_merge(
     history: DataFrame,
     snapshot: DataFrame,
@@ -234,10 +273,11 @@ def scd2_merge(
     A current row whose attributes differ from the snapshot is closed on the effective date and
     followed by a new current row; unknown natural keys start one. Keys missing from the
     snapshot stay current unless close_missing. Merging the same snapshot again changes nothing.
+    The job fails on a NULL or repeated key in the snapshot and on an effective date before a current version's start.
     """
     attributes = [c for c in snapshot.columns if c != natural_key]
-    current = history.where("is_current").alias("o")
-    incoming = snapshot.withColumn("_seen", F.lit(True)).alias("n")
+    current = history.where("is_current").withColumn("effective_from", _not_after("effective_from", effective)).alias("o")
+    incoming = _one_per_key(snapshot, natural_key).withColumn("_seen", F.lit(True)).alias("n")
     same = F.lit(True)
     for a in attributes:
         same = same & F.col(f"o.{a}").eqNullSafe(F.col(f"n.{a}"))

@@ -1,27 +1,30 @@
 """Writing all result tables in one session.
 
-A run writes below `<root>/<run_id>`; only when every table is complete does a row in
-`<root>/runs` name it. Readers that go through `latest_run` never see half a run, and a
-failed run can be repeated under the same id.
+Each attempt of a run writes to a folder of its own, `<root>/<run_id>/<attempt>`. Only when every
+table is complete, star schema and KPIs included, does a row in `<root>/runs` name that folder and
+its tables. Readers that go through `latest_run` or `run_tables` never see half a run; repeating a
+run leaves the tables of the earlier attempt as they are, for those who read them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from schoolmetrics.operators import charts, features, models, star
+from schoolmetrics.operators import charts, features, kpis, models, star
 from schoolmetrics.operators.reports import REPORTS, grade_rollup
-from schoolmetrics.sources.tables import literal_table, read_table, write_table
+from schoolmetrics.sources.tables import LazyTables, literal_table, read_table, write_table
 
 Entities = Mapping[str, DataFrame]
 Table = Callable[[str], DataFrame]
 
-RUN_SCHEMA = "run_id string, finished_at timestamp"
+RUN_SCHEMA = "run_id string, folder string, tables map<string, string>, finished_at timestamp"
 
 # Chart name, the report it shows and how.
 _REPORT_CHARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
@@ -85,8 +88,9 @@ def write_models(entities: Entities, base: str, partitions: int | None = None) -
         return _stored(df, written[name])
 
     numbers = put("student_features", features.student_features(entities))
-    put("student_clusters", models.segment_students(numbers, partitions=partitions))
-    labeled = models.tree_input(numbers, partitions=partitions)
+    prepared = models.fit_input(numbers, partitions)
+    put("student_clusters", models.segment_students(prepared, prepared=True))
+    labeled = models.tree_input(prepared, prepared=True)
     tree = models.fit_tree(labeled)
     predictions = put("dt_predictions", models.predict(labeled, tree))
     put("dt_confusion_matrix", models.confusion_matrix(predictions))
@@ -113,23 +117,62 @@ def materialize(
     ml: bool = False,
     mean: str = "double",
     partitions: int | None = None,
+    with_star: bool = False,
+    fact_partition: str = "date_key",
+    holidays: Sequence[str] = (),
 ) -> dict[str, str]:
-    """S7: reports, charts and (ml) models under `<root>/<run_id>`; returns table paths by name."""
-    base = f"{root}/{run_id}"
+    """S7: reports, charts and, if asked for, models, star schema and KPIs; returns table paths by name.
+
+    The run is named in `<root>/runs` as the last step.
+    """
+    base = f"{root}/{run_id}/{uuid.uuid4().hex}"
     shared = with_rollup(entities, base)
     tables = write_analytics(shared, base, mean)
     if ml:
         tables |= write_models(shared, base, partitions)
     tables |= write_charts(spark, tables, base)
-    done = literal_table(spark, [(run_id,)], "run_id string").withColumn("finished_at", F.current_timestamp())
-    done.coalesce(1).write.mode("append").parquet(f"{root}/runs")
+    if with_star:
+        written = write_star(entities, base, fact_partition, holidays)
+        tables |= written | write_kpis(spark, written, base)
+    done = literal_table(spark, [(run_id, base, tables)], "run_id string, folder string, tables map<string, string>")
+    done.withColumn("finished_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/runs")
     return tables
 
 
-def latest_run(spark: SparkSession, root: str) -> str:
-    """Folder of the last complete run."""
-    runs = read_table(spark, f"{root}/runs", RUN_SCHEMA)
-    return f"{root}/{runs.orderBy(F.desc('finished_at')).first()['run_id']}"
+def _latest(spark: SparkSession, root: str, run_id: str | None) -> Row:
+    try:
+        runs = read_table(spark, f"{root}/runs", RUN_SCHEMA)
+        runs = runs if run_id is None else runs.where(F.col("run_id") == run_id)
+        found = runs.orderBy(F.desc("finished_at")).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = None
+    if found is None:
+        raise LookupError(f"no complete run below {root}")
+    return found
+
+
+def latest_run(spark: SparkSession, root: str, run_id: str | None = None) -> str:
+    """Folder of the last complete run, or of the last complete attempt of one run."""
+    return _latest(spark, root, run_id)["folder"]
+
+
+def run_tables(spark: SparkSession, root: str, run_id: str | None = None) -> dict[str, str]:
+    """Paths of the tables of that run, by name."""
+    return _latest(spark, root, run_id)["tables"]
+
+
+def write_kpis(spark: SparkSession, written: Mapping[str, str], base: str) -> dict[str, str]:
+    """K11: the KPI tables, from the stored star schema."""
+    stored = LazyTables({name: partial(read_table, spark, path) for name, path in written.items()})
+    jobs = {
+        "kpi_achievement": partial(kpis.achievement, stored, stored),
+        "kpi_homework_rate": partial(kpis.homework_rate, stored, stored),
+        "kpi_course_changes": partial(kpis.course_changes, stored, stored),
+        "kpi_content_mix": partial(kpis.content_mix, stored),
+    }
+    return _write_all(jobs, f"{base}/kpis")
 
 
 def write_star(

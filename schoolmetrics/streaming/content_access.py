@@ -1,33 +1,25 @@
-"""Content access counts from an event stream."""
+"""Content accesses from an event stream.
+
+The stream appends one row per access to a table partitioned by day. It keeps no state, so no event is ever too late and
+there is nothing that outgrows memory; offsets see to it that each file is taken once. Counts per window and the fact table
+are batch aggregations over that table: late rows and windows still open are in them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from schoolmetrics.functions.clock import as_instant, as_wall_clock
+from schoolmetrics.operators.star import date_key
 
 
-def access_counts(events: DataFrame, window: str = "1 day", late: str = "1 hour") -> DataFrame:
-    """Accesses per time window (UTC), content and kind of access.
-
-    `events` has ts, content_id and access_type, streaming or not. On a stream, state for a
-    window is dropped once the watermark (latest ts less `late`) passes its end.
-    """
-    return (
-        events.withColumn("ts", _event_time(events))
-        .withWatermark("ts", late)
-        .groupBy(F.window("ts", window).alias("w"), "content_id", "access_type")
-        .agg(F.count("*").alias("access_count"))
-        .select(
-            as_wall_clock(F.col("w.start")).alias("window_start"),
-            as_wall_clock(F.col("w.end")).alias("window_end"),
-            "content_id",
-            "access_type",
-            "access_count",
-        )
-    )
+def event_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
+    """New Parquet files of a folder as a stream."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
 def _event_time(events: DataFrame) -> Column:
@@ -35,24 +27,21 @@ def _event_time(events: DataFrame) -> Column:
     return as_instant(ts) if dict(events.dtypes)["ts"] == "timestamp_ntz" else ts
 
 
-def closed_windows(events: DataFrame, window: str = "1 day", late: str = "1 hour") -> DataFrame:
-    """Batch twin of a finished stream: counts of the windows the last watermark has passed."""
-    latest = as_wall_clock(F.max(_event_time(events)))
-    watermark = events.agg(latest - F.expr(f"INTERVAL {late}")).scalar()
-    return access_counts(events, window, late).where(F.col("window_end") <= watermark)
+def access_log(events: DataFrame) -> DataFrame:
+    """The accesses with their day (UTC); `events` has ts and whatever names the access, streaming or not."""
+    return events.withColumn("access_date", as_wall_clock(_event_time(events)).cast("date"))
 
 
-def run_access_counts(
-    events: DataFrame, target: str, checkpoint: str, window: str = "1 day", late: str = "1 hour"
-) -> StreamingQuery:
-    """Append closed windows to a Parquet table until the available input is used up.
+def run_access_log(events: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Append the accesses of a stream to a Parquet table by day until the available input is used up.
 
-    Offsets and state live in `checkpoint`, so a restarted run goes on where it stopped.
+    Offsets live in `checkpoint`, so a restarted run goes on where it stopped.
     """
     return (
-        access_counts(events, window, late)
+        access_log(events)
         .writeStream.format("parquet")
         .outputMode("append")
+        .partitionBy("access_date")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -60,6 +49,32 @@ def run_access_counts(
     )
 
 
-def event_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
-    """New Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def access_counts(accesses: DataFrame, window: str = "1 day") -> DataFrame:
+    """Accesses per time window (UTC), content and kind of access; all windows, closed or not."""
+    return (
+        accesses.withColumn("ts", _event_time(accesses))
+        .groupBy(F.window("ts", window).alias("w"), "content_id", "access_type")
+        .agg(F.count("*").alias("access_count"))
+        .select(
+            as_wall_clock(F.col("w.start")).alias("window_start"),
+            as_wall_clock(F.col("w.end")).alias("window_end"),
+            "content_id",
+            "access_type",
+            "access_count",
+        )
+    )
+
+
+def fact_content_access(accesses: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Accesses per student, content, day and kind, with the keys of dim_student and dim_content.
+
+    Accesses are counted before the keys are joined. An id that a dimension lacks gives a NULL key, and keeps its accesses.
+    """
+    counted = (
+        accesses.groupBy("student_id", "content_id", "access_type", date_key(F.col("ts")).alias("date_key"))
+        .agg(F.count("*").alias("access_count"))
+        .join(dims["dim_student"].select("student_id", "student_key"), "student_id", "left")
+        .join(dims["dim_content"].select("content_id", "content_key"), "content_id", "left")
+    )
+    keys = ["student_key", "content_key", "date_key", "access_type"]
+    return counted.groupBy(*keys).agg(F.sum("access_count").alias("access_count"))

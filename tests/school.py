@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+# The letters and the points of the two scales, in tenths.
 LETTERS = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "F", "P", None]
 PARTIAL = {"A": 40, "A-": 37, "B+": 33, "B": 30, "B-": 27, "C+": 23, "C": 20}
 FULL = {"A+": 40, "A": 40, "A-": 37, "B+": 33, "B": 30, "B-": 27, "C+": 23, "C": 20, "C-": 17, "D+": 13, "D": 10, "F": 0}

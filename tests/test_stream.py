@@ -1,27 +1,47 @@
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from schoolmetrics.streaming.content_access import closed_windows, event_stream, run_access_counts
+from schoolmetrics.streaming.content_access import access_counts, event_stream, fact_content_access, run_access_log
 
-SCHEMA = "ts timestamp_ntz, content_id string, access_type string"
+SCHEMA = "ts timestamp_ntz, student_id string, content_id string, access_type string"
 START = datetime(2024, 1, 1, 12)
 
 
 def _write(spark, path, hours):
-    data = [(START + timedelta(hours=h), f"D{h % 2}", "view") for h in hours]
+    data = [(START + timedelta(hours=h), f"U{h % 3}", f"D{h % 2}", "view") for h in hours]
     spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_stream_equals_batch_and_resumes(spark, tmp_path, rows):
+def test_files_out_of_order_lose_nothing(spark, tmp_path, rows):
     folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    _write(spark, folder, range(0, 40))
-    run_access_counts(event_stream(spark, folder, SCHEMA), out, state).awaitTermination()
-    batch = spark.read.parquet(folder)
-    assert rows(spark.read.parquet(out)) == rows(closed_windows(batch))
-    assert {r["window_start"] for r in spark.read.parquet(out).collect()} == {datetime(2024, 1, 1), datetime(2024, 1, 2)}
-    # A second run picks up new files only and adds the windows they close.
-    _write(spark, folder, range(40, 70))
-    run_access_counts(event_stream(spark, folder, SCHEMA), out, state).awaitTermination()
-    assert rows(spark.read.parquet(out)) == rows(closed_windows(spark.read.parquet(folder)))
-    assert spark.read.parquet(out).count() == 6
+    total = 0
+    for hours in (range(216, 240), range(48, 60), range(264, 280), range(0, 5)):
+        _write(spark, folder, hours)
+        total += len(hours)
+        run_access_log(event_stream(spark, folder, SCHEMA), out, state).awaitTermination()
+        log = spark.read.parquet(out)
+        assert log.count() == total
+        assert rows(access_counts(log)) == rows(access_counts(spark.read.parquet(folder)))
+    # The last window is still open, and there.
+    assert access_counts(log).agg({"access_count": "sum", "window_start": "max"}).first()[0] is not None
+    assert sum(r["access_count"] for r in access_counts(log).collect()) == total
+
+
+def test_log_is_a_plain_table_by_day(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    _write(spark, folder, range(0, 30))
+    run_access_log(event_stream(spark, folder, SCHEMA), out, state).awaitTermination()
+    days = [r[0] for r in spark.read.parquet(out).select("access_date").distinct().orderBy("access_date").collect()]
+    assert days == [date(2024, 1, 1), date(2024, 1, 2)]
+
+
+def test_fact_keeps_accesses_without_a_dimension_row(spark, rows):
+    data = [(START, "U1", "D1", "view"), (START, "U1", "D1", "view"), (START, "U9", "D1", "view"), (START, None, "D9", "open")]
+    dims = {
+        "dim_student": spark.createDataFrame([("U1", 7)], "student_id string, student_key int"),
+        "dim_content": spark.createDataFrame([("D1", 3)], "content_id string, content_key int"),
+    }
+    got = fact_content_access(spark.createDataFrame(data, SCHEMA), dims).collect()
+    assert sorted(tuple(r) for r in got if r.student_key) == [(7, 3, 20240101, "view", 2)]
+    assert sorted((r.content_key or 0, r.access_type, r.access_count) for r in got if not r.student_key) == [(0, "open", 1), (3, "view", 1)]

@@ -4,7 +4,7 @@ import pytest
 from school import district
 
 from schoolmetrics.__main__ import main
-from schoolmetrics.operators import star
+from schoolmetrics.operators import kpis, star
 from schoolmetrics.plans import pipeline
 from schoolmetrics.schemas import ENTITIES
 from schoolmetrics.sources import scratch, tables
@@ -56,25 +56,50 @@ def test_durable_keeps_partitions(spark):
 
 def test_full_run(spark, make, tmp_path, rows):
     source, root = make(**district(2)), str(tmp_path / "out")
+    with pytest.raises(LookupError):
+        pipeline.latest_run(spark, root)
     first = pipeline.materialize(spark, source, root, "run-1", ml=True, partitions=2)
     assert len(first) == 10 + 6 + 11 + 6
     for name, report in pipeline.REPORTS.items():
         assert rows(tables.read_table(spark, first[name])) == rows(report(source)), name
     pipeline.materialize(spark, source, root, "run-2")
-    assert pipeline.latest_run(spark, root) == f"{root}/run-2"
-    # The same run again replaces its tables.
+    assert pipeline.latest_run(spark, root).startswith(f"{root}/run-2/")
+    # A repeat has a folder of its own, without the models it wasn't asked for; who reads the first attempt can go on.
+    held = tables.read_table(spark, first["grade_distribution"])
     again = pipeline.materialize(spark, source, root, "run-1")
-    assert pipeline.latest_run(spark, root) == f"{root}/run-1"
-    assert rows(tables.read_table(spark, again["grade_distribution"])) == rows(tables.read_table(spark, first["grade_distribution"]))
+    assert pipeline.run_tables(spark, root) == again
+    assert "student_clusters" not in again
+    assert rows(held) == rows(tables.read_table(spark, again["grade_distribution"]))
+    assert pipeline.run_tables(spark, root, "run-2")["grade_distribution"].startswith(f"{root}/run-2/")
 
 
-def test_command_line(spark, make, tmp_path):
+def test_failed_star_is_not_published(spark, make, tmp_path, monkeypatch):
+    rows_in, root = district(4), str(tmp_path / "out")
+
+    def fail(*args):
+        raise RuntimeError("no space left")
+
+    monkeypatch.setattr(pipeline, "write_star", fail)
+    with pytest.raises(RuntimeError):
+        pipeline.materialize(spark, make(**rows_in), root, "run-1", with_star=True)
+    with pytest.raises(LookupError):
+        pipeline.latest_run(spark, root)
+
+
+def test_command_line(spark, make, tmp_path, rows):
     rows_in = district(4)
     rows_in["users"] = rows_in["users"][:40]
     for name, df in make(**rows_in).items():
         tables.write_table(df, f"{tmp_path}/in/{name}")
-    written = main([f"{tmp_path}/in", f"{tmp_path}/out", "first", "--star", "--mean", "decimal"])
-    assert len(written) == 10 + 11 + 8 + 3
+    options = ["--star", "--mean", "decimal", "--fact-partition", "month_key", "--holidays", "2024-09-01"]
+    written = main([f"{tmp_path}/in", f"{tmp_path}/out", "first", *options])
+    assert len(written) == 10 + 11 + 8 + 3 + 4
+    assert "month_key" in spark.read.parquet(written["fact_grade"]).columns
+    assert spark.read.parquet(written["dim_date"]).where("is_holiday").count() == 1
+    source = {name: spark.read.parquet(f"{tmp_path}/in/{name}") for name in rows_in}
+    dims = star.dimensions(source)
+    expected = kpis.achievement(star.facts(source, dims), dims)
+    assert rows(spark.read.parquet(written["kpi_achievement"])) == rows(expected)
     assert dict(spark.read.parquet(written["school_performance"]).dtypes)["avg_gpa"] == "decimal(6,5)"
     assert spark.read.parquet(written["fact_homework"]).count() == 200
 
