@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolmetrics.llm import exact_dedup, near_dup, packing, quality, secrets, toxicity, vafile, warc
+from schoolmetrics.llm import (
+    exact_dedup,
+    near_dup,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    substring_dedup,
+    toxicity,
+    vafile,
+    warc,
+)
 from schoolmetrics.llm.common import table
 from schoolmetrics.sources.scratch import scratch_path
 
@@ -40,6 +51,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the text decoded from them (null counts as empty)."""
+    model = pieces.read_model()
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return encoded.withColumn("text", pieces.decode(encoded, model))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -53,6 +71,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -60,7 +82,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_exact_top_k": op3_exact_top_k,
         "op4_warc": op4_warc,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_toxicity": op7_toxicity,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_substring_dedup": op10_substring_dedup,
     }
