@@ -7,7 +7,7 @@ import xxhash
 
 WIDTH = 5
 #: Words remembered per task; beyond this the memory starts anew.
-MEMO = 200_000
+MEMO = 50_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
