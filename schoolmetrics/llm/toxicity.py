@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -342,12 +343,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of `docs` whose text scores below `least`, with all their columns."""
-    import pandas as pd
-
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(texts: pd.Series) -> pd.Series:
         reader = model.lexicon.reader()
-        for texts in batches:
-            yield pd.Series([model.score(clause_features(t or "", reader)[0]) for t in texts], dtype="float64")
+        return texts.map(lambda t: model.score(clause_features(t or "", reader)[0])).astype("float64")
 
     return docs.where(score(F.col(text_col)) < least)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -34,6 +35,9 @@ PER_FILE = 10_000
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
 END = b"\r\n\r\n"
+#: A version line and named fields; and a version line inside, which a cut header runs into.
+HEADER = re.compile(rb"WARC/1\.\d(?:\r\n[A-Za-z0-9-]+:[^\x00-\x08\x0a-\x1f]*)+")
+INNER = re.compile(rb".WARC/1\.\d\r\n", re.DOTALL)
 EMPTY_MEMBER = zlib.compress(b"", 6, 31)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -118,7 +122,10 @@ def _plain(data: bytes | memoryview, at: int) -> Found:
     head_end = data.find(END, at)
     if head_end < 0:
         raise Bad("header without end")
-    lines = data[at:head_end].decode("utf-8", "replace").split("\r\n")
+    head = bytes(data[at:head_end])
+    if not HEADER.fullmatch(head) or INNER.search(head):
+        raise Bad("header is not well formed")
+    lines = head.decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
     length = fields.get("content-length", "")
     if not length.isdecimal():
