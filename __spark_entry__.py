@@ -236,6 +236,8 @@ def _star_queries() -> dict[str, Query]:
         "K6": _student_history,
         "K6_close_missing": lambda spark, sf_dir: _student_history(spark, sf_dir, close_missing=True),
         "K7": _student_overwrite,
+        "K5_extend": _extended_keys,
+        "K8_fact_grade_asof": _grades_as_of,
         "K8_fact_grade": fact("fact_grade"),
         "K9_fact_homework": fact("fact_homework"),
         "K9_fact_course_load_change": fact("fact_course_load_change"),
@@ -281,6 +283,20 @@ def _student_history(spark: SparkSession, sf_dir: str, close_missing: bool = Fal
     return _dates_as_text(star.scd2_merge(first, after, "student_id", "2021-09-01", close_missing))
 
 
+def _extended_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before, after = _student_snapshots(spark, sf_dir)
+    earlier = star.with_surrogate_key(before, "student_id", "student_key")
+    return star.extend_keys(earlier, after, "student_id", "student_key")
+
+
+def _grades_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before, after = _student_snapshots(spark, sf_dir)
+    history = star.scd2_merge(star.start_history(before, "1993-01-01"), after, "student_id", "1996-01-01", close_missing=True)
+    versions = star.with_version_key(history, "student_id", "version_key")
+    grades = entities(spark, sf_dir)["grades"].select("id", "student_id", "created_at")
+    return star.as_of(grades, versions, "student_id", "created_at", "version_key").drop("created_at")
+
+
 def _student_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _student_snapshots(spark, sf_dir)
     return star.scd1_merge(before, after, "student_id")

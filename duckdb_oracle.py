@@ -463,6 +463,28 @@ CHANGES = {
     "K7": "SELECT * FROM after UNION ALL SELECT student_id, name, school_id FROM before WHERE c_custkey % 7 = 0",
 }
 
+CHANGES["K5_extend"] = """
+SELECT COALESCE(k.student_key, n.student_key) AS student_key, a.student_id, a.name, a.school_id
+FROM after a
+LEFT JOIN (SELECT student_id, row_number() OVER (ORDER BY student_id) AS student_key FROM before) k ON k.student_id = a.student_id
+LEFT JOIN (SELECT student_id, (SELECT COUNT(*) FROM before) + row_number() OVER (ORDER BY student_id) AS student_key
+           FROM after WHERE student_id NOT IN (SELECT student_id FROM before)) n ON n.student_id = a.student_id
+"""
+# Versions from 1993, changed in 1996, and the grades given while they were valid.
+AS_OF = """
+SELECT g.id, g.student_id, v.version_key
+FROM grades g LEFT JOIN (
+  SELECT *, row_number() OVER (ORDER BY student_id, starts) AS version_key FROM (
+    SELECT b.student_id, DATE '1993-01-01' AS starts,
+           CASE WHEN a.student_id IS NULL OR a.school_id <> b.school_id THEN DATE '1996-01-01' ELSE DATE '9999-12-31' END AS ends
+    FROM before b LEFT JOIN after a ON a.student_id = b.student_id
+    UNION ALL
+    SELECT a.student_id, DATE '1996-01-01', DATE '9999-12-31'
+    FROM after a LEFT JOIN before b ON a.student_id = b.student_id WHERE b.student_id IS NULL OR b.school_id <> a.school_id
+  )
+) v ON v.student_id = g.student_id AND v.starts <= CAST(g.created_at AS DATE) AND CAST(g.created_at AS DATE) < v.ends
+"""
+
 STREAM = {
     "K12": """
 SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
@@ -530,7 +552,10 @@ ON_ENTITIES = {
 def oracle_sql() -> dict[str, str]:
     entity_views = f"{ENTITY_VIEWS.strip()},\n{REPORT_VIEWS.strip()}"
     star_views = f"{entity_views},\n{STAR_VIEWS.strip()}"
-    groups = [(entity_views, ON_ENTITIES), (star_views, STAR), (HISTORY.strip(), CHANGES)]
+    dated_views = f"{entity_views},\n{HISTORY.strip()}"
+    groups = [
+        (entity_views, ON_ENTITIES), (star_views, STAR), (HISTORY.strip(), CHANGES), (dated_views, {"K8_fact_grade_asof": AS_OF}),
+    ]
     texts = {
         name: f"WITH {views}\nSELECT * FROM (\n{body.strip()}\n)"
         for views, bodies in groups

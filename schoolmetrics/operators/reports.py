@@ -230,22 +230,19 @@ def teacher_workload(
 ) -> DataFrame:
     """Q9: courses, students, grades and mean points per teacher and school name.
 
-    Teachers without grades keep a row; teachers without courses are absent. Courses and
-    students are stacked as members of the same groups, so both distinct counts come from
-    one aggregation without a copy of the grades for each.
+    Teachers without grades keep a row; teachers without courses are absent. Courses meet
+    teachers and schools first, one narrow row per course, so grades are shuffled by course and
+    by group only. Courses and students are stacked as members of the same groups, so both
+    distinct counts come from one aggregation without a copy of the grades for each.
     """
     group = [*_keys("teacher_name", "teacher_id", by_id), "school_name"]
     courses = entities["courses"].select(F.col("id").alias("course_id"), "teacher_id")
-    graded = _grade_facts(entities, scale).join(courses, "course_id")
-    taught = courses.select("teacher_id", F.lit("course").alias("kind"), F.col("course_id").alias("member"))
-    met = graded.select("teacher_id", F.lit("student").alias("kind"), F.col("student_id").alias("member"), *_SUMS)
-    members = (
-        taught.unionByName(met, allowMissingColumns=True)
-        .join(_people(entities, "teacher"), "teacher_id")
-        .join(_schools(entities), "school_id")
-        .groupBy(*group, "kind", "member")
-        .agg(*_sums())
-    )
+    teaching = courses.join(_people(entities, "teacher"), "teacher_id").join(_schools(entities), "school_id")
+    teaching = teaching.select(*group, "course_id")
+    taught = teaching.select(*group, F.lit("course").alias("kind"), F.col("course_id").alias("member"))
+    met = _grade_facts(entities, scale).join(teaching, "course_id")
+    met = met.select(*group, F.lit("student").alias("kind"), F.col("student_id").alias("member"), *_SUMS)
+    members = taught.unionByName(met, allowMissingColumns=True).groupBy(*group, "kind", "member").agg(*_sums())
 
     def count(kind: str) -> Column:
         return F.count(F.when(F.col("kind") == kind, F.col("member")))

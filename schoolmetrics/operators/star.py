@@ -16,16 +16,17 @@ Entities = Mapping[str, DataFrame]
 FOREVER = "9999-12-31"
 
 
-def with_surrogate_key(df: DataFrame, natural_key: str, name: str) -> DataFrame:
+def with_surrogate_key(df: DataFrame, natural_key: str | Sequence[str], name: str) -> DataFrame:
     """K5: add dense integers 1..n in natural-key order as the first column.
 
     Rows are range-partitioned and sorted by the natural key, so a key is the number of rows
     in earlier partitions plus the position in its own; no partition sees more than its range.
     The layout is checkpointed because both counts must come from the same partitions.
     """
+    order = [natural_key] if isinstance(natural_key, str) else list(natural_key)
     placed = durable(
-        df.repartitionByRange(natural_key)
-        .sortWithinPartitions(natural_key)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
     # monotonically_increasing_id holds the partition above bit 33 and the row number below.
@@ -41,6 +42,35 @@ def with_surrogate_key(df: DataFrame, natural_key: str, name: str) -> DataFrame:
     )
 
 
+def extend_keys(existing: DataFrame, incoming: DataFrame, natural_key: str, name: str) -> DataFrame:
+    """K5: incoming rows with their keys; ids of `existing` keep theirs, new ones follow the largest, dense and in order.
+
+    Facts of earlier runs go on pointing to the same members.
+    """
+    known = existing.select(natural_key, name)
+    new = incoming.select(natural_key).distinct().join(known, natural_key, "left_anti")
+    largest = existing.agg(F.max(name)).first()[0] or 0
+    added = with_surrogate_key(new, natural_key, name).withColumn(name, F.col(name) + largest)
+    keys = known.unionByName(added.select(natural_key, name))
+    return incoming.join(keys, natural_key).select(name, *incoming.columns)
+
+
+def with_version_key(history: DataFrame, natural_key: str, name: str) -> DataFrame:
+    """K6: a surrogate key for each version of a dimension with history."""
+    return with_surrogate_key(history, [natural_key, "effective_from"], name)
+
+
+def as_of(rows: DataFrame, versions: DataFrame, natural_key: str, moment: str, key: str) -> DataFrame:
+    """K8: rows with the key of the version that is valid on their date, NULL where none is.
+
+    An equi-join on the natural key with the dates as further condition: versions of one member are few.
+    """
+    spans = versions.select(F.col(natural_key).alias("_member"), "effective_from", "effective_to", key)
+    day = F.col(moment).cast("date")
+    valid = (F.col(natural_key) == F.col("_member")) & (F.col("effective_from") <= day) & (day < F.col("effective_to"))
+    return rows.join(spans, valid, "left").select(*rows.columns, key)
+
+
 def date_key(moment: Column) -> Column:
     """yyyymmdd as a number."""
     return F.year(moment) * 10000 + F.month(moment) * 100 + F.day(moment)

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
+from school import district
 
 from schoolmetrics.operators import star
 
@@ -83,3 +85,37 @@ def test_content_type_from_path(make):
     source = make(contents=[{"file_path": p, "file_type": "pdf"} for p in paths])
     dim = star.dimensions(source)["dim_content"].orderBy("content_id")
     assert [r["content_type"] for r in dim.select(F.col("content_type")).collect()] == ["quiz", "video", ""]
+
+
+def test_keys_last_and_versions_are_found(spark):
+    old = star.with_surrogate_key(spark.createDataFrame([("b",), ("d",)], "id string"), "id", "k")
+    new = star.extend_keys(old, spark.createDataFrame([("a",), ("d",), ("c",)], "id string"), "id", "k")
+    assert {r.id: r.k for r in new.collect()} == {"a": 3, "c": 4, "d": 2}
+    again = star.extend_keys(new, spark.createDataFrame([("a",), ("d",), ("c",)], "id string"), "id", "k")
+    assert {r.id: r.k for r in again.collect()} == {"a": 3, "c": 4, "d": 2}
+
+
+@pytest.mark.parametrize("rows", [[("a", "x"), ("a", "x")], [(None, "x")]])
+def test_history_refuses_bad_snapshots(spark, rows):
+    history = star.start_history(spark.createDataFrame([("a", "y")], "id string, name string"), "2020-01-01")
+    with pytest.raises(Exception, match="snapshot"):
+        star.scd2_merge(history, spark.createDataFrame(rows, "id string, name string"), "id", "2021-01-01").collect()
+
+
+def test_history_refuses_an_earlier_date(spark):
+    history = star.start_history(spark.createDataFrame([("a", "y")], "id string, name string"), "2020-01-01")
+    with pytest.raises(Exception, match="effective date"):
+        star.scd2_merge(history, spark.createDataFrame([("a", "z")], "id string, name string"), "id", "2019-01-01").collect()
+
+
+def test_facts_join_keys_only(spark, make):
+    """With broadcasts off a fact takes one join for each key, and no dimension attribute."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows_in = district(3)
+        rows_in["users"] = rows_in["users"][:40]
+        source = make(**rows_in)
+        plan = star.fact_grade(source, star.dimensions(source))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join LeftOuter") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
