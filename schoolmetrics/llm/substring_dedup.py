@@ -26,6 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from schoolmetrics.llm.common import stored
+
 SENTENCES, WORDS, ALONE = 2, 20, 50
 #: A sentence ends before white space that follows a mark, holds a line end, or comes before a capital.
 BOUNDARY = re.compile(r"""(?<=[.!?])\s+|(?<=[.!?]["')\]])\s+|\s*\n\s*|\s+(?=[^\W\d_a-zß-öø-ÿ])""")
@@ -78,42 +80,57 @@ def _signed(values: Iterable[int], kind: type, signed: type) -> np.ndarray:
 
 
 def _span_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def batch_of(ids: list, codes: list, kind: pa.DataType) -> pa.RecordBatch:
+    def batch_of(ids: list, codes: list, again: list, kind: pa.DataType) -> pa.RecordBatch:
         columns = [
             pa.array(ids, kind),
             pa.array(_signed((c[0] for c in codes), np.uint64, np.int64)),
             pa.array(_signed((c[1] for c in codes), np.uint32, np.int32)),
+            pa.array(again, pa.bool_()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "check"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "check", "again"])
 
     for batch in batches:
-        kind, ids, codes = batch.column("doc_id").type, [], []
+        kind, ids, codes, again = batch.column("doc_id").type, [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             own = _codes(text.as_py() or "")
             ids += [doc_id] * len(own)
             codes += own
+            again += [bool(_further(places)) for places in own.values()]
             if len(ids) > 100_000:
-                yield batch_of(ids, codes, kind)
-                ids, codes = [], []
+                yield batch_of(ids, codes, again, kind)
+                ids, codes, again = [], [], []
         if ids:
-            yield batch_of(ids, codes, kind)
+            yield batch_of(ids, codes, again, kind)
+
+
+def _further(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The places of a span in one text after its first, as far as they don't overlap that."""
+    return [p for p in places[1:] if p[0] >= places[0][1]]
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, code, check) of the spans that a document with a smaller id has as well."""
+    """(doc_id, code, check, elsewhere) of the spans that a document with a smaller id has as well, or that a text has again.
+
+    The spans are computed once and stored.
+    """
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(_span_batches, f"doc_id {kind}, code long, check int")
+    found = stored(rows.mapInArrow(_span_batches, f"doc_id {kind}, code long, check int, again boolean"), "spans")
     first = found.groupBy("code", "check").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     first = first.where("first_id < last_id").select("code", "check", "first_id")
-    return found.join(first, ["code", "check"]).where("doc_id > first_id").select("doc_id", "code", "check")
+    elsewhere = found.join(first, ["code", "check"]).where("doc_id > first_id")
+    return elsewhere.select("doc_id", "code", "check", F.lit(True).alias("elsewhere")).unionByName(
+        found.where("again").select("doc_id", "code", "check", F.lit(False).alias("elsewhere"))
+    )
 
 
 def _clean_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], [], []]
         for text, repeated in zip(batch.column("text"), batch.column("repeated"), strict=True):
-            row = cleaned(text.as_py(), {(r["code"], r["check"]) for r in repeated.as_py() or ()})
+            marks = repeated.as_py()
+            text = text.as_py()
+            row = cleaned(text, {(r["code"], r["check"]) for r in marks if r["elsewhere"]}) if marks else (0, 0, "", text)
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -129,8 +146,7 @@ def cleaned(text: str | None, elsewhere: set[tuple[int, int]]) -> tuple[int, int
     cuts, gone = sentences(text), set()
     for (low, high), places in _codes(text).items():
         signed = (low - (1 << 64) if low >> 63 else low, high - (1 << 32) if high >> 31 else high)
-        again = places if signed in elsewhere else [p for p in places if p[0] >= places[0][1]]
-        for first, end in again:
+        for first, end in places if signed in elsewhere else _further(places):
             gone.update(range(first, end))
     if not gone:
         return 0, 0, "", text
@@ -152,7 +168,7 @@ def cleaned(text: str | None, elsewhere: set[tuple[int, int]]) -> tuple[int, int
 def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_removed (sentences), n_removed_words, removed_spans, text (what stays)."""
     found = repeated_spans(docs, id_col=id_col, text_col=text_col)
-    each = found.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("code", "check")).alias("repeated"))
+    each = found.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("code", "check", "elsewhere")).alias("repeated"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     both = rows.join(each, rows.doc_id == each.of_id, "left").select("doc_id", "text", "repeated")
     kind = rows.schema["doc_id"].dataType.simpleString()
