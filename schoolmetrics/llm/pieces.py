@@ -263,7 +263,7 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids") -> Column:
         def one(x) -> str | None:
             if x is None:
                 return None
-            whole = b"".join([table[i] for i in x]).decode("utf-8", "replace").replace(SPACE, " ")
+            whole = b"".join(map(table.__getitem__, x.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
             return whole.removeprefix(" ")
 
         return ids.map(one)
