@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from schoolmetrics.llm.common import stored
 
 SPACE = "▁"
-DICTIONARY = 1 << 16
+DICTIONARY = 1 << 15
 #: Words: spaces and then letters, digits or other marks; both engines read the pattern alike.
 WORD = rf"{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*\p{{Nd}}+|{SPACE}*[^\p{{L}}\p{{M}}\p{{Nd}}{SPACE}]+|{SPACE}+"
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -110,12 +110,26 @@ def _byte_ids(character: Column, pieces: Pieces) -> Column:
     return F.transform(each, lambda i: F.element_at(table, F.conv(F.substring(code, i, F.lit(2)), 16, 10).cast("int") + 1))
 
 
-def merged(word: Column, edges: Column, pieces: Pieces) -> Column:
-    """Fold of a BPE model: the ids of a word."""
+def _key(start: Column, end: Column) -> Column:
+    return start * 10_000 + end
+
+
+def merged(lattices: DataFrame, pieces: Pieces) -> DataFrame:
+    """Fold of a BPE model: word, ids.
+
+    Scores and ids of the edges become maps in a step of their own, since the fold looks them up again and again.
+    """
+    by_place = lambda value: F.map_from_entries(
+        F.transform("edges", lambda x: F.struct(_key(x.start, x.end), x[value]))
+    )
+    mapped = lattices.select("word", by_place("score").alias("scores"), by_place("id").alias("ids"))
+    cuts = mapped.select("word", "ids", _merge_cuts(F.col("word"), F.col("scores")).alias("cuts"))
+    return cuts.select("word", _cut_ids(F.col("word"), F.col("cuts"), F.col("ids"), pieces).alias("ids"))
+
+
+def _merge_cuts(word: Column, scores: Column) -> Column:
+    """Places where the word stays cut after all merges."""
     lowest = F.lit(float("-inf"))
-    key = lambda s, e: s * 10_000 + e
-    scores = F.map_from_entries(F.transform(edges, lambda x: F.struct(key(x.start, x.end), x.score)))
-    ids = F.map_from_entries(F.transform(edges, lambda x: F.struct(key(x.start, x.end), x.id)))
     cuts = F.sequence(F.lit(0), F.length(word))
 
     def step(cuts: Column, _: Column) -> Column:
@@ -123,28 +137,32 @@ def merged(word: Column, edges: Column, pieces: Pieces) -> Column:
         options = F.transform(
             inner,
             lambda i: F.struct(
-                F.coalesce(F.element_at(scores, key(F.get(cuts, i - 1), F.get(cuts, i + 1))), lowest).alias("score"),
+                F.coalesce(F.element_at(scores, _key(F.get(cuts, i - 1), F.get(cuts, i + 1))), lowest).alias("score"),
                 (-F.get(cuts, i)).alias("cut"),
             ),
         )
         best = F.array_max(options)
         return F.when(best.score > lowest, F.filter(cuts, lambda c: c != -best.cut)).otherwise(cuts)
 
-    cuts = F.aggregate(F.sequence(F.lit(1), F.length(word)), cuts, step)
+    return F.aggregate(F.sequence(F.lit(1), F.length(word)), cuts, step)
+
+
+def _cut_ids(word: Column, cuts: Column, ids: Column, pieces: Pieces) -> Column:
     spans = F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), lambda i: F.struct(F.get(cuts, i - 1).alias("s"), F.get(cuts, i).alias("e")))
     return F.flatten(
         F.transform(
             spans,
             lambda x: F.coalesce(
-                F.when(F.map_contains_key(ids, key(x.s, x.e)), F.array(F.element_at(ids, key(x.s, x.e)))),
+                F.when(F.map_contains_key(ids, _key(x.s, x.e)), F.array(F.element_at(ids, _key(x.s, x.e)))),
                 _byte_ids(F.substring(word, x.s + 1, x.e - x.s), pieces),
             ),
         )
     )
 
 
-def viterbi(word: Column, edges: Column, pieces: Pieces, unknown: float = -1e6) -> Column:
-    """Fold of a unigram model: the ids of the best path. A character without a piece costs `unknown`."""
+def viterbi(lattices: DataFrame, pieces: Pieces, unknown: float = -1e6) -> DataFrame:
+    """Fold of a unigram model: word, ids of the best path. A character without a piece costs `unknown`."""
+    word, edges = F.col("word"), F.col("edges")
     nothing = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(best: Column, end: Column) -> Column:
@@ -163,12 +181,13 @@ def viterbi(word: Column, edges: Column, pieces: Pieces, unknown: float = -1e6)
         )
         return F.concat(best, F.array(F.array_max(F.concat(paths, F.array(spelled)))))
 
-    return F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(word)), nothing, step), -1).ids
+    best = F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(word)), nothing, step), -1)
+    return lattices.select("word", best.ids.alias("ids"))
 
 
 def encode_words(words: DataFrame, pieces: Pieces, fold=merged) -> DataFrame:
     """word, ids of distinct words."""
-    return lattice(words, pieces).select("word", fold(F.col("word"), F.col("edges"), pieces).alias("ids"))
+    return fold(lattice(words, pieces), pieces)
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = DICTIONARY) -> DataFrame:
