@@ -1,4 +1,4 @@
-"""Repeated passages, found by sliding spans of sentences.
+"""Repeated passages, found by sliding spans of sentences and by runs of words.
 
 A text is cut into sentences: at white space after a full stop, question or exclamation mark, at line ends, and before a
 capitalised word, since pasted passages often begin in the middle of a sentence. From every sentence a span runs on until
@@ -7,6 +7,13 @@ thus have equal spans wherever they stand. Spans are hashed to 96 bits and joine
 where its document isn't the one with the smallest id that has it, or where the same document had it before. Sentences
 covered by a repeated span are removed, so every passage stays once.
 
+Sentences may be cut by the passage's ends. So every run of `RUN` words is compared as well, wherever it begins: a run is
+repeated by the same rule, and its words are removed, from within sentences too. Comparing all runs of all documents would
+send each word many times. Two runs can only be equal if the smallest hash among their groups of `GROUP` words is (winnowing).
+Neighbouring runs with the same smallest hash make a block, of 13 runs on average. A document first sends its blocks. An equal
+block in a document with a smaller id settles all its runs. Where one smallest hash has different blocks, the first holder
+of each sends the block's runs, and these are compared. Characters of scripts without spaces count as words, and so do those of words longer than `LONG`.
+
 A document sends each of its spans once, so counting is a plain hash aggregation with partial sums, and the join back can be
 split where a passage is very common. No list of the holders of a span is built.
 
@@ -27,8 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from schoolmetrics.llm.common import stored
+from schoolmetrics.llm.shingles import WordHashes, mix
 
 SENTENCES, WORDS, ALONE = 2, 20, 50
+RUN, GROUP, LONG = 50, 25, 100
+#: Thai to Burmese, Khmer, kana and Han: written without spaces.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+SOME_UNSPACED = re.compile(f"[{UNSPACED}]")
+UNIT = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
+#: Bases of the rolling hashes, odd.
+BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 #: A sentence ends before white space that follows a mark, holds a line end, or comes before a capital.
 BOUNDARY = re.compile(r"""(?<=[.!?])\s+|(?<=[.!?]["')\]])\s+|\s*\n\s*|\s+(?=[^\W\d_a-zß-öø-ÿ])""")
 
@@ -75,32 +90,129 @@ def _codes(text: str) -> dict[tuple[int, int], list[tuple[int, int]]]:
     return found
 
 
+def units(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the words of a text; where it has no spaces, of its characters."""
+    found: list[tuple[int, int]] = []
+    for m in UNIT.finditer(text):
+        start, end = m.span()
+        found += [(start, end)] if end - start <= LONG else [(i, i + 1) for i in range(start, end)]
+    return found
+
+
+def unit_codes(text: str, hashes: WordHashes) -> np.ndarray:
+    """A 64-bit hash of each unit, A-Z made alike."""
+    low = text.lower() if text.isascii() else text.encode().lower().decode()
+    words = low.split()
+    if max(map(len, words), default=0) > LONG or (not low.isascii() and SOME_UNSPACED.search(low)):
+        words = [low[s:e] for s, e in units(low)]
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+
+def rolled(codes: np.ndarray, width: int, base: int) -> np.ndarray:
+    """A hash of every `width` neighbouring units. Sums and products wrap, and an odd base has an inverse."""
+    n = len(codes)
+    if n < width:
+        return np.empty(0, np.uint64)
+    powers, back = (np.cumprod(np.full(n, b, np.uint64)) for b in (base, pow(base, -1, 1 << 64)))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * powers)))
+    return mix((total[width:] - total[:-width]) * back[: n - width + 1])
+
+
+def smallest(codes: np.ndarray) -> np.ndarray:
+    """For each run of `RUN` units the smallest hash of its groups of `GROUP` units."""
+    least, width, wanted = rolled(codes, GROUP, BASES[0]), 1, RUN - GROUP + 1
+    if len(least) < wanted:
+        return np.empty(0, np.uint64)
+    while width < wanted:
+        step = min(width, wanted - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    return least
+
+
+def blocks(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Smallest hash, first run, one past the last run, and 64-bit content hash of each block of runs."""
+    least = smallest(codes)
+    if not len(least):
+        return least, *(np.empty(0, np.int64) for _ in range(2)), least
+    begin = np.concatenate((np.zeros(1, np.int64), np.flatnonzero(least[1:] != least[:-1]) + 1))
+    end = np.concatenate((begin[1:], np.array([len(least)])))
+    # A block's hash is over all its runs: where a text repeats itself there may be many, with others between.
+    every = rolled(mix(codes), RUN, BASES[1])
+    powers, back = (np.cumprod(np.full(len(every), b, np.uint64)) for b in (BASES[0], pow(BASES[0], -1, 1 << 64)))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(every * powers)))
+    return least[begin], begin, end, mix((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64))
+
+
+def _own_blocks(codes: np.ndarray) -> dict[tuple[int, int], bool]:
+    """(smallest hash, content hash) of a text's blocks, and whether the smallest hash is that of runs that don't overlap."""
+    first: dict[int, int] = {}
+    own: dict[tuple[int, int], bool] = {}
+    for code, low, high, block in zip(*(x.tolist() for x in blocks(codes)), strict=True):
+        own[code, block] = own.get((code, block), False) or high - 1 - first.setdefault(code, low) >= RUN
+    return own
+
+
+def runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit codes and 32-bit checks of all runs, by their first unit."""
+    return rolled(codes, RUN, BASES[0]), (rolled(mix(codes), RUN, BASES[1]) >> np.uint64(32)).astype(np.uint32)
+
+
+def _within(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Of n runs, which are in one of the blocks."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, begin, 1)
+    np.add.at(edge, end, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct runs of the wanted blocks of each text."""
+    hashes = WordHashes()
+    for batch in batches:
+        kind = batch.column("doc_id").type
+        for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("wanted"), strict=True):
+            codes = unit_codes(text.as_py() or "", hashes)
+            _, begin, end, block = blocks(codes)
+            code, check = runs(codes)
+            these = np.isin(block, wanted.values.to_numpy(zero_copy_only=False).view(np.uint64))
+            code, at = np.unique(np.where(_within(begin[these], end[these], len(code)), code, 0), return_index=True)
+            code, check = code[code != 0], check[at[code != 0]]
+            columns = [pa.array([doc_id] * len(code), kind), pa.array(code.view(np.int64)), pa.array(check.view(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "check"])
+
+
 def _signed(values: Iterable[int], kind: type, signed: type) -> np.ndarray:
     return np.fromiter(values, kind).view(signed)
 
 
 def _span_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def batch_of(ids: list, codes: list, again: list, kind: pa.DataType) -> pa.RecordBatch:
+    hashes = WordHashes()
+
+    def batch_of(ids: list, codes: list, again: list, block: list, kind: pa.DataType) -> pa.RecordBatch:
         columns = [
             pa.array(ids, kind),
             pa.array(_signed((c[0] for c in codes), np.uint64, np.int64)),
             pa.array(_signed((c[1] for c in codes), np.uint32, np.int32)),
             pa.array(again, pa.bool_()),
+            pa.array(block, pa.uint64()).view(pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "check", "again"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "check", "again", "block"])
 
     for batch in batches:
-        kind, ids, codes, again = batch.column("doc_id").type, [], [], []
+        kind, ids, codes, again, block = batch.column("doc_id").type, [], [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            own = _codes(text.as_py() or "")
-            ids += [doc_id] * len(own)
-            codes += own
-            again += [bool(_further(places)) for places in own.values()]
+            text = text.as_py() or ""
+            own, more = _codes(text), _own_blocks(unit_codes(text, hashes))
+            ids += [doc_id] * (len(own) + len(more))
+            codes += [*own, *((code, 0) for code, _ in more)]
+            again += [*(bool(_further(places)) for places in own.values()), *more.values()]
+            block += [*[None] * len(own), *(b for _, b in more)]
             if len(ids) > 100_000:
-                yield batch_of(ids, codes, again, kind)
-                ids, codes, again = [], [], []
+                yield batch_of(ids, codes, again, block, kind)
+                ids, codes, again, block = [], [], [], []
         if ids:
-            yield batch_of(ids, codes, again, kind)
+            yield batch_of(ids, codes, again, block, kind)
 
 
 def _further(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -108,29 +220,52 @@ def _further(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [p for p in places[1:] if p[0] >= places[0][1]]
 
 
+def _elsewhere(found: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of `found` whose keys a document with a smaller id has as well."""
+    first = found.groupBy(*keys).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    first = first.where("first_id < last_id").select(*keys, "first_id")
+    return found.join(first, keys).where("doc_id > first_id").drop("first_id")
+
+
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, code, check, elsewhere) of the spans that a document with a smaller id has as well, or that a text has again.
+    """(doc_id, code, check, kind) of what is repeated: spans, blocks and runs that a document with a smaller id has as well.
 
-    The spans are computed once and stored.
+    Kinds `span again` and `run again` say that a text may have something again. Spans, blocks and runs are computed once and stored.
     """
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = stored(rows.mapInArrow(_span_batches, f"doc_id {kind}, code long, check int, again boolean"), "spans")
-    first = found.groupBy("code", "check").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    first = first.where("first_id < last_id").select("code", "check", "first_id")
-    elsewhere = found.join(first, ["code", "check"]).where("doc_id > first_id")
-    return elsewhere.select("doc_id", "code", "check", F.lit(True).alias("elsewhere")).unionByName(
-        found.where("again").select("doc_id", "code", "check", F.lit(False).alias("elsewhere"))
-    )
+    found = stored(rows.mapInArrow(_span_batches, f"doc_id {kind}, code long, check int, again boolean, block long"), "spans")
+    of_spans = found.where("block IS NULL").select("doc_id", "code", "check")
+    of_blocks = found.where("block IS NOT NULL").select("doc_id", "code", "block")
+    common = of_blocks.groupBy("code").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("code")
+    shared = stored(of_blocks.join(common, "code"), "blocks")
+    holders = shared.groupBy("code", "block").agg(F.min("doc_id").alias("of_id"))
+    several = holders.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").select("code")
+    wanted = holders.join(several, "code").groupBy("of_id").agg(F.collect_set("block").alias("wanted"))
+    texts = rows.join(wanted, rows.doc_id == wanted.of_id).select("doc_id", "text", "wanted")
+    of_runs = stored(texts.mapInArrow(_run_batches, f"doc_id {kind}, code long, check int"), "runs")
+
+    def marks(df: DataFrame, name: str) -> DataFrame:
+        return df.select("doc_id", "code", "check", F.lit(name).alias("kind"))
+
+    out = marks(_elsewhere(of_spans, ["code", "check"]), "span").unionByName(marks(_elsewhere(of_runs, ["code", "check"]), "run"))
+    whole = _elsewhere(shared, ["code", "block"]).select("doc_id", F.col("block").alias("code"), F.lit(0).alias("check"))
+    out = out.unionByName(marks(whole, "block")).unionByName(marks(found.where("again AND block IS NULL"), "span again"))
+    return out.unionByName(marks(found.where("again AND block IS NOT NULL"), "run again"))
 
 
 def _clean_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
     for batch in batches:
         out: list[list] = [[], [], [], []]
         for text, repeated in zip(batch.column("text"), batch.column("repeated"), strict=True):
             marks = repeated.as_py()
             text = text.as_py()
-            row = cleaned(text, {(r["code"], r["check"]) for r in marks if r["elsewhere"]}) if marks else (0, 0, "", text)
+            row = (0, 0, "", text)
+            if marks:
+                of = lambda *kinds: [(r["code"], r["check"]) for r in marks if r["kind"] in kinds]  # noqa: B023, E731
+                held = ([c for c, _ in of("block")], [c for c, _ in of("run")]) if of("block", "run", "run again") else None
+                row = cleaned(text, set(of("span")), held, hashes)
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -139,8 +274,34 @@ def _clean_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def cleaned(text: str | None, elsewhere: set[tuple[int, int]]) -> tuple[int, int, str, str | None]:
-    """Removed sentences and words, removed stretches as start:end, and what stays of the text."""
+def run_stretches(text: str, of_blocks: list[int], of_runs: list[int], hashes: WordHashes) -> list[tuple[int, int]]:
+    """(start, end) of the runs of a text that are repeated elsewhere or that it had before, joined where they touch."""
+    codes = unit_codes(text, hashes)
+    code = rolled(codes, RUN, BASES[0])
+    if not len(code):
+        return []
+    _, first, of = np.unique(code, return_index=True, return_inverse=True)
+    again = np.arange(len(code)) - first[of] >= RUN
+    among = lambda x, held: np.isin(x, np.array(held, np.int64).view(np.uint64))
+    _, begin, end, block = blocks(codes)
+    these = among(block, of_blocks)
+    gone = again | among(code, of_runs) | _within(begin[these], end[these], len(code))
+    places, out = units(text), []
+    for at in np.flatnonzero(gone).tolist():
+        if out and at <= out[-1][1]:
+            out[-1][1] = at + RUN
+        else:
+            out.append([at, at + RUN])
+    return [(places[a][0], places[b][0] if b < len(places) else len(text)) for a, b in out]
+
+
+def cleaned(
+    text: str | None, elsewhere: set[tuple[int, int]], held: tuple[list[int], list[int]] | None, hashes: WordHashes
+) -> tuple[int, int, str, str | None]:
+    """Sentences that lose words, removed words, removed stretches as start:end, and what stays of the text.
+
+    `elsewhere` are the spans and `held` the blocks and runs that another document keeps; None if no run can be repeated.
+    """
     if not text:
         return 0, 0, "", text
     cuts, gone = sentences(text), set()
@@ -148,13 +309,14 @@ def cleaned(text: str | None, elsewhere: set[tuple[int, int]]) -> tuple[int, int
         signed = (low - (1 << 64) if low >> 63 else low, high - (1 << 32) if high >> 31 else high)
         for first, end in places if signed in elsewhere else _further(places):
             gone.update(range(first, end))
-    if not gone:
+    found = [(cuts[i][0], cuts[i + 1][0] if i + 1 < len(cuts) else len(text)) for i in gone]
+    found += run_stretches(text, *held, hashes) if held is not None else []
+    if not found:
         return 0, 0, "", text
     stretches: list[list[int]] = []
-    for i in sorted(gone):
-        start, end = cuts[i][0], cuts[i + 1][0] if i + 1 < len(cuts) else len(text)
-        if stretches and stretches[-1][1] == start:
-            stretches[-1][1] = end
+    for start, end in sorted(found):
+        if stretches and stretches[-1][1] >= start:
+            stretches[-1][1] = max(end, stretches[-1][1])
         else:
             stretches.append([start, end])
     kept, at = [], 0
@@ -162,13 +324,14 @@ def cleaned(text: str | None, elsewhere: set[tuple[int, int]]) -> tuple[int, int
         kept.append(text[at:start])
         at = end
     words = sum(len(text[s:e].split()) for s, e in stretches)
-    return len(gone), words, ",".join(f"{s}:{e}" for s, e in stretches), "".join([*kept, text[at:]])
+    touched = sum(any(s < end and start < e for s, e in stretches) for start, end in cuts)
+    return touched, words, ",".join(f"{s}:{e}" for s, e in stretches), "".join([*kept, text[at:]])
 
 
 def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_removed (sentences), n_removed_words, removed_spans, text (what stays)."""
+    """One row per document: doc_id, n_removed (sentences that lose words), n_removed_words, removed_spans, text (what stays)."""
     found = repeated_spans(docs, id_col=id_col, text_col=text_col)
-    each = found.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("code", "check", "elsewhere")).alias("repeated"))
+    each = found.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("code", "check", "kind")).alias("repeated"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     both = rows.join(each, rows.doc_id == each.of_id, "left").select("doc_id", "text", "repeated")
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -443,6 +443,40 @@ def test_passages_stay_once(spark):
     assert substring_dedup.without_repeats(frame(spark, []).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("form", ["words", "characters", "within"])
+def test_runs_of_words_stay_once(spark, form):
+    """Passages of one long sentence, pasted at any word offset, against brute force over all runs of 50 units."""
+    rng = random.Random(11)
+    space = "" if form == "characters" else " "
+    fresh = lambda n: [chr(rng.randrange(0x4E00, 0x9F00)) if not space else f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passages = [fresh(n) for n in (50, 51, 60, 75, 92)]
+    if space:  # short sentences with a cut one behind
+        passages[3][4] += "."
+        passages[3][9] += "."
+    lists = []
+    for i in range(60):
+        words = fresh(rng.randrange(90))
+        passage = [w.upper() for w in passages[i % 5]] if i % 3 == 0 else passages[i % 5]
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = passage
+        if form == "within":
+            words += passage
+        lists.append(words)
+    lists += [passages[0][:49] + fresh(30), passages[4][20:69]]
+    rows = by_id(substring_dedup.without_repeats(frame(spark, [(i, space.join(x)) for i, x in enumerate(lists)])))
+    seen: set = set()
+    for i, words in enumerate(lists):
+        low, gone, own = [w.lower() for w in words], set(), {}
+        for at in range(len(low) - 49):
+            run = tuple(low[at : at + 50])
+            if run in seen or at - own.setdefault(run, at) >= 50:
+                gone.update(range(at, at + 50))
+        seen.update(own)
+        left = [w for k, w in enumerate(words) if k not in gone]
+        assert (rows[i].text.split() if space else list(rows[i].text)) == left, i
+        assert (rows[i].n_removed > 0) == bool(gone)
+
+
 # 6 ---------------------------------------------------------------------------------------------------------------------
 
 ODD = ["a  b\nc", " hello", "hello ", "Ａ ﬁ é é", "x\ty", "", None, "  ", "日本 😀", "<s> a </s>", "0123 don't.End", "²." * 3, "unbelievable " * 50, "▁ x"]
