@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests with false-discovery control.
 
 Patterns find assignments, access keys and long hexadecimal runs. The battery looks at every other token of 20 or more
-characters that mixes letters with digits or cases. Its encoding is inferred from its characters (hexadecimal, base 32,
+characters that mixes letters with digits or cases; tokens are cut at '=' and, where no encoding fits, at foreign characters. Its encoding is inferred from its characters (hexadecimal, base 32,
 36 or 64), and over that alphabet of k symbols it takes
 
     chi-squared    how evenly the symbols are used,
@@ -54,6 +54,7 @@ ALPHABETS = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 )
 PLACES = [{c: i for i, c in enumerate(a)} for a in ALPHABETS]
+OWN = [re.compile(f"[{re.escape(a)}]+") for a in ALPHABETS]
 #: A test that gives less than this calls the token uneven.
 UNEVEN = 1e-3
 #: Upper ends of the length classes, and the histogram of -10 log10(p).
@@ -129,19 +130,35 @@ def _ordinary(token: str, codes: np.ndarray, encoding: int, chi: float, symbols:
     return math.exp(-x) * (1 + x)
 
 
+def pieces_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """(start, end) of the parts of a token that are tested: cut at '=', and where no alphabet has all its characters,
+    at those foreign to the alphabet that leaves the longest part (of equal ones, the smallest).
+    """
+    found = []
+    for part in re.finditer("[^=]+", text[start:end]):
+        at, token = start + part.start(), part.group()
+        if len(token) < 20:
+            continue
+        if infer_encoding(token) is not None:
+            found.append((at, at + len(token)))
+            continue
+        cuts = [[m.span() for m in own.finditer(token)] for own in OWN]
+        best = max(cuts, key=lambda spans: max((e - s for s, e in spans), default=0))
+        found += [(at + s, at + e) for s, e in best if e - s >= 20]
+    return found
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
     """(start, end, length class, level) of the tokens that look random and that no pattern has found."""
     found, symbols, changes = [], None, 0.0
-    for m in TOKEN.finditer(text):
-        token = m.group().strip("=")
+    for start, end in (piece for m in TOKEN.finditer(text) for piece in pieces_of(text, *m.span())):
+        token = text[start:end]
         body = token[1:]
         if token.isalpha() and (body.islower() or body.isupper()):
             continue
-        if not any(c.isalpha() for c in token) or any(s < m.end() and m.start() < e for s, _, e in taken):
+        if not any(c.isalpha() for c in token) or any(s < end and start < e for s, _, e in taken):
             continue
         encoding = infer_encoding(token)
-        if encoding is None or len(token) < 20:
-            continue
         codes = np.array([PLACES[encoding][c] for c in token])
         p_chi, p_runs, p_serial, chi = randomness(codes, len(ALPHABETS[encoding]))
         if min(p_chi, p_runs, p_serial) < UNEVEN:
@@ -154,7 +171,7 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
             changes = (turns + 1) / (pairs + 2)
         p = _ordinary(token, codes, encoding, chi, symbols, changes)
         level = min(LEVELS - 1, int(-10 * math.log10(max(p, 1e-300))))
-        found.append((m.start(), m.end(), sum(len(token) > x for x in LENGTHS), level))
+        found.append((start, end, sum(len(token) > x for x in LENGTHS), level))
     return found
 
 

@@ -277,6 +277,18 @@ def test_battery_finds_random_tokens_only(spark):
     assert secrets.mask_secrets(docs, [300] * 4).columns == docs.columns
 
 
+@pytest.mark.parametrize("form", ["AWS_SECRET_ACCESS_KEY={}", "SESSION_ID={}==", "https://a.example/x?sig={}&n=1", "/var/run-keys/{}", "sk-live_{}", "{}"])
+def test_keys_behind_names_and_in_paths(spark, form):
+    rng = random.Random(12)
+    keys = ["".join(rng.choice(secrets.ALPHABETS[5]) for _ in range(40)) for _ in range(8)]
+    texts = [(i, f"{prose(rng, 300)} {form.format(k)} {prose(rng, 30)}") for i, k in enumerate(keys)]
+    docs = frame(spark, [*texts, *((i, prose(rng, 300)) for i in range(8, 20))])
+    least = secrets.discovery_levels(docs)
+    left = by_id(secrets.mask_secrets(docs, least))
+    assert sum(k in left[i].text for i, k in enumerate(keys)) <= 1
+    assert all(left[i].text == t for i, t in by_id(docs).items() for t in [t.text] if i >= 8)
+
+
 # 7 and 2 ---------------------------------------------------------------------------------------------------------------
 
 
