@@ -10,7 +10,8 @@ characters that mixes letters with digits or cases; tokens are cut at '=' and, w
 
 A token that one of them calls uneven is no secret. For the rest the chi-squared value and the number of changes between
 letter, digit and case are held against what ordinary text would give at this length: a noncentral chi-squared law with the
-symbol frequencies of the document itself, and a binomial law with its rate of changes. Fisher's method joins the two to a
+symbol frequencies of ordinary text, and a binomial law with its rate of changes. Both come from the document outside its
+long tokens, shrunk towards all documents, and these towards `PRIOR`; a list of keys thus isn't its own law. Fisher's method joins the two to a
 p-value of "ordinary text", and within each length class the Benjamini-Hochberg rule over all documents bounds the share
 of false discoveries. Its thresholds come from a histogram of fixed size, not from a sorted list.
 
@@ -55,6 +56,14 @@ ALPHABETS = (
 )
 PLACES = [{c: i for i, c in enumerate(a)} for a in ALPHABETS]
 OWN = [re.compile(f"[{re.escape(a)}]+") for a in ALPHABETS]
+SYMBOLS = "".join(sorted(set().union(*ALPHABETS)))
+#: Shares of symbols in ordinary text (letters by their frequency in English), and its rate of changes between kinds.
+PRIOR = {c: 0.0005 for c in SYMBOLS} | dict(
+    zip("etaoinshrdlcumwfgypbvkjxqz", (0.12, 0.09, 0.08, 0.075, 0.07, 0.07, 0.063, 0.06, 0.06, 0.043, 0.04, 0.028, 0.028, 0.024, 0.024, 0.022, 0.02, 0.02, 0.019, 0.015, 0.01, 0.008, 0.0015, 0.0015, 0.001, 0.0007), strict=True)
+)
+CHANGES = 0.02
+#: So many characters does a document count with besides its own, and do all documents.
+DOCUMENT_WEIGHT, CORPUS_WEIGHT = 200, 10_000
 #: A test that gives less than this calls the token uneven.
 UNEVEN = 1e-3
 #: Upper ends of the length classes, and the histogram of -10 log10(p).
@@ -116,10 +125,49 @@ def _kind(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2
 
 
-def _ordinary(token: str, codes: np.ndarray, encoding: int, chi: float, symbols: Counter, changes: float) -> float:
+class Levels(list):
+    """Least levels by length class, with the law of ordinary text of the documents they were taken from."""
+
+    law: tuple[dict[str, float], float] = (PRIOR, CHANGES)
+
+
+def counted(text: str) -> tuple[Counter, int, int]:
+    """Symbols, changes of kind, and pairs of neighbours in words, outside tokens of 20 and more characters."""
+    outside = TOKEN.sub(" ", text)
+    words = [w for w in re.findall(r"[A-Za-z0-9]{2,}", outside) if len(w) < 20]
+    turns = sum(1 for w in words if not w.isalpha() or not w.islower() for a, b in zip(w, w[1:], strict=False) if _kind(a) != _kind(b))
+    return Counter(outside), turns, sum(len(w) - 1 for w in words)
+
+
+def shrunk(symbols: Counter, turns: int, pairs: int, law: tuple[dict[str, float], float], weight: float) -> tuple[dict[str, float], float]:
+    """Expected shares of symbols and rate of changes, with `weight` characters of `law` added."""
+    mixed = {c: symbols.get(c, 0) + weight * law[0][c] for c in SYMBOLS}
+    total = sum(mixed.values())
+    return {c: n / total for c, n in mixed.items()}, (turns + weight * law[1]) / (pairs + weight)
+
+
+def corpus_law(docs: DataFrame, *, text_col: str = "text") -> tuple[dict[str, float], float]:
+    """The law of ordinary text over all documents. What reaches the driver is one row a symbol, and two."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                symbols, turns, pairs = counted(text.as_py() or "")
+                total.update(symbols)
+                total.update({"turns": turns, "pairs": pairs})
+        names = [c for c in (*SYMBOLS, "turns", "pairs") if total[c]]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([total[c] for c in names], pa.int64())], ["name", "n"])
+
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "name string, n long")
+    found = Counter({r["name"]: r["n"] for r in rows.groupBy("name").agg(F.sum("n").alias("n")).collect()})
+    return shrunk(found, found["turns"], found["pairs"], (PRIOR, CHANGES), CORPUS_WEIGHT)
+
+
+def _ordinary(token: str, codes: np.ndarray, encoding: int, chi: float, symbols: dict[str, float], changes: float) -> float:
     """p-value of "ordinary text of this length looks as random as this"."""
     n, k = len(codes), len(ALPHABETS[encoding])
-    q = np.array([symbols.get(c, 0) + 0.5 for c in ALPHABETS[encoding]])
+    q = np.array([symbols[c] for c in ALPHABETS[encoding]])
     q /= q.sum()
     away = n * k * float(((q - 1 / k) ** 2).sum())
     p_even = _tail((k - 1 + away - chi) / math.sqrt(2 * (k - 1 + 2 * away)))
@@ -148,7 +196,7 @@ def pieces_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return found
 
 
-def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+def candidates(text: str, taken: list[tuple[int, int, int]], law: tuple[dict[str, float], float]) -> list[tuple[int, int, int, int]]:
     """(start, end, length class, level) of the tokens that look random and that no pattern has found."""
     found, symbols, changes = [], None, 0.0
     for start, end in (piece for m in TOKEN.finditer(text) for piece in pieces_of(text, *m.span())):
@@ -164,30 +212,27 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
         if min(p_chi, p_runs, p_serial) < UNEVEN:
             continue
         if symbols is None:
-            symbols = Counter(text)
-            words = [w for w in re.findall(r"[A-Za-z0-9]{2,}", text) if len(w) < 20]
-            pairs = sum(len(w) - 1 for w in words)
-            turns = sum(1 for w in words if not w.isalpha() or not w.islower() for a, b in zip(w, w[1:], strict=False) if _kind(a) != _kind(b))
-            changes = (turns + 1) / (pairs + 2)
+            symbols, changes = shrunk(*counted(text), law, DOCUMENT_WEIGHT)
         p = _ordinary(token, codes, encoding, chi, symbols, changes)
         level = min(LEVELS - 1, int(-10 * math.log10(max(p, 1e-300))))
         found.append((start, end, sum(len(token) > x for x in LENGTHS), level))
     return found
 
 
-def discovery_levels(docs: DataFrame, *, text_col: str = "text", false_share: float = FALSE_SHARE) -> list[int]:
+def discovery_levels(docs: DataFrame, *, text_col: str = "text", false_share: float = FALSE_SHARE) -> Levels:
     """For each length class the least level that counts as a discovery, over all documents.
 
     Benjamini-Hochberg: the largest p with p <= share * (tokens at p or below) / (tokens looked at). What reaches the
     driver is the histogram, of at most 4 * LEVELS rows.
     """
+    law = corpus_law(docs, text_col=text_col)
 
     def levels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count: Counter = Counter()
             for text in batch.column(0):
                 t = text.as_py() or ""
-                count.update((size, level) for _, _, size, level in candidates(t, base_spans(t)))
+                count.update((size, level) for _, _, size, level in candidates(t, base_spans(t), law))
             rows = [(s, v, n) for (s, v), n in count.items()]
             columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
             yield pa.RecordBatch.from_arrays(columns, ["size", "level", "n"])
@@ -196,7 +241,8 @@ def discovery_levels(docs: DataFrame, *, text_col: str = "text", false_share: fl
     table = np.zeros((len(LENGTHS) + 1, LEVELS), np.int64)
     for row in counted.groupBy("size", "level").agg(F.sum("n").alias("n")).collect():
         table[row["size"], row["level"]] = row["n"]
-    least = []
+    least = Levels()
+    least.law = law
     for counts in table:
         at_or_above, total = counts[::-1].cumsum()[::-1], counts.sum()
         good = [v for v in range(LEVELS) if at_or_above[v] and 10 ** (-v / 10) * total <= false_share * at_or_above[v]]
@@ -207,7 +253,7 @@ def discovery_levels(docs: DataFrame, *, text_col: str = "text", false_share: fl
 def all_spans(text: str, least: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The patterns' spans, and those together with the discoveries."""
     base = base_spans(text)
-    more = [(start, 3, end) for start, end, size, level in candidates(text, base) if level >= least[size]]
+    more = [(start, 3, end) for start, end, size, level in candidates(text, base, getattr(least, "law", Levels.law)) if level >= least[size]]
     return base, sorted(base + more)
 
 

@@ -289,6 +289,18 @@ def test_keys_behind_names_and_in_paths(spark, form):
     assert all(left[i].text == t for i, t in by_id(docs).items() for t in [t.text] if i >= 8)
 
 
+@pytest.mark.parametrize("with_prose", [True, False])
+def test_documents_of_keys_only(spark, with_prose):
+    rng = random.Random(13)
+    lists = [["".join(rng.choice(secrets.ALPHABETS[5]) for _ in range(44)) for _ in range(n)] for n in (1, 1, 10, 200)]
+    texts = list(enumerate("\n".join(keys) for keys in lists))
+    texts += [(i, prose(rng, 300)) for i in range(10, 30) if with_prose]
+    docs = frame(spark, texts)
+    found = by_id(secrets.scan_secrets(docs, secrets.discovery_levels(docs)))
+    assert sum(found[i].n_random for i in range(4)) >= 0.95 * sum(map(len, lists))
+    assert not any(found[i].n_random for i in range(10, 30) if with_prose)
+
+
 # 7 and 2 ---------------------------------------------------------------------------------------------------------------
 
 
