@@ -355,9 +355,11 @@ def _has_training_data() -> bool:
 
 
 def _training_data_queries() -> dict[str, Query]:
-    found = import_module("schoolmetrics.llm.queries").queries() if _has_training_data() else {}
+    if not _has_training_data():
+        return {}
+    found = import_module("schoolmetrics.llm.queries").queries()
     if find_spec("corpus_pipeline"):
-        found |= {"pipeline": import_module("corpus_pipeline").run}
+        found["pipeline"] = import_module("corpus_pipeline").run
     return found
 
 
