@@ -17,6 +17,7 @@ from schoolmetrics.llm import (
     substring_dedup,
     toxicity,
     vafile,
+    vector_codes,
     warc,
 )
 from schoolmetrics.llm.common import table
@@ -75,6 +76,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -87,4 +92,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_vector_codes": op11_vector_codes,
     }

@@ -60,5 +60,46 @@ FROM named
 """
 
 
+def _lloyd(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """OP11: every round as two tables, all parts held against the whole codebook."""
+    distance = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))"
+
+    def assigned(r: int) -> str:
+        return f"""assigned{r} AS MATERIALIZED (
+    SELECT p, k, any_value(x) AS x, min({{'d': CAST({distance} AS BIGINT), 'e': e}}) AS best
+    FROM parts JOIN book{r} USING (p) GROUP BY p, k
+)"""
+
+    def moved(r: int) -> str:
+        return f"""sums{r} AS (
+    SELECT p, best.e AS e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS c
+    FROM assigned{r}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY p, best.e, i
+), means{r} AS (SELECT p, e, list(c ORDER BY i) AS y FROM sums{r} GROUP BY p, e
+), book{r + 1} AS MATERIALIZED (
+    SELECT p, e, coalesce(m.y, b.y) AS y FROM book{r} b LEFT JOIN means{r} m USING (p, e)
+)"""
+
+    steps = [step(r) for r in range(rounds) for step in (assigned, moved)] + [assigned(rounds)]
+    return f"""
+WITH vectors AS (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS k,
+           list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT p, k, list_slice(v, p * (len(v) // {parts}) + 1, (p + 1) * (len(v) // {parts})) AS x
+    FROM vectors, LATERAL (SELECT unnest(range({parts})) AS p)
+), book0 AS MATERIALIZED (SELECT p, k - 1 AS e, x AS y FROM parts WHERE k <= {entries}
+), {", ".join(steps)}, coded AS (
+    SELECT k, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM assigned{rounds} GROUP BY k
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN vectors USING (k), digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_top_k": OP3, "op4_warc": OP4, "op5_exact_dedup": OP5}
+    return {"op3_exact_top_k": OP3, "op4_warc": OP4, "op5_exact_dedup": OP5, "op11_vector_codes": _lloyd()}
