@@ -12,6 +12,7 @@ from schoolmetrics.llm import (
     near_dup,
     packing,
     pieces,
+    prefix_trie,
     quality,
     secrets,
     substring_dedup,
@@ -80,6 +81,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -93,4 +98,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_vector_codes": op11_vector_codes,
+        "op12_prefix_trie": op12_prefix_trie,
     }

@@ -59,6 +59,50 @@ SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, code AS
 FROM named
 """
 
+# crc32 bit by bit; a member's ancestors are its prefixes, so a node's subtree is what its members have below it.
+OP12 = """
+WITH given AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+    SELECT conv_id, octet_length(encode(text)) AS size, digest,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place
+    FROM (SELECT *, md5(octet_length(encode(role)) || ':' || role || text) AS digest FROM given)
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base,
+           xor(4294967295, list_reduce(
+               list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+               lambda crc, byte: list_reduce(range(8), lambda x, i:
+                   CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, byte)), 4294967295)) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM given)
+), rebuilt AS (
+    SELECT c.conv_id, t.place, t.digest, t.size FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= c.h
+    UNION ALL
+    SELECT c.conv_id, t.place, t.digest, t.size FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h
+), members AS MATERIALIZED (
+    SELECT conv_id, row_number() OVER turn AS depth, string_agg(digest, '/') OVER turn AS path, size
+    FROM rebuilt WINDOW turn AS (PARTITION BY conv_id ORDER BY place)
+    UNION ALL
+    SELECT conv_id, 0, '', 0 FROM convs
+), linked AS (
+    SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+           lead(path) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ends
+    FROM members
+), nodes AS MATERIALIZED (
+    SELECT path, any_value(parent) AS parent, any_value(depth) AS depth, any_value(size) AS size, min(conv_id) AS conv_id,
+           count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM linked GROUP BY path
+), children AS (SELECT parent AS path, count(*) AS n_children FROM nodes GROUP BY parent
+), below AS (
+    SELECT DISTINCT a.path, d.path AS inner_path FROM members a JOIN members d ON a.conv_id = d.conv_id AND a.depth <= d.depth
+), subtrees AS (
+    SELECT b.path, count(*) FILTER (c.path IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved_tokens
+    FROM below b JOIN nodes n ON n.path = b.inner_path LEFT JOIN children c ON c.path = n.path GROUP BY b.path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s USING (path) LEFT JOIN children c USING (path) LEFT JOIN nodes p ON p.path = n.parent
+"""
+
 
 def _lloyd(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
     """OP11: every round as two tables, all parts held against the whole codebook."""
@@ -102,4 +146,4 @@ FROM coded JOIN vectors USING (k), digest
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_top_k": OP3, "op4_warc": OP4, "op5_exact_dedup": OP5, "op11_vector_codes": _lloyd()}
+    return {"op3_exact_top_k": OP3, "op4_warc": OP4, "op5_exact_dedup": OP5, "op11_vector_codes": _lloyd(), "op12_prefix_trie": OP12}
