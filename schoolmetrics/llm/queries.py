@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from schoolmetrics.llm import (
     exact_dedup,
+    main_text,
     near_dup,
     packing,
     pieces,
@@ -85,6 +86,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -99,4 +104,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_substring_dedup": op10_substring_dedup,
         "op11_vector_codes": op11_vector_codes,
         "op12_prefix_trie": op12_prefix_trie,
+        "op13_main_text": op13_main_text,
     }
