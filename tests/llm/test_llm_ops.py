@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from schoolmetrics.llm import (
     exact_dedup,
@@ -89,13 +90,29 @@ def test_exact_groups(spark, digest, keep):
     assert sorted((str(r.doc_id), r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found) == expected
 
 
+REPEATED = [
+    (3, "alpha beta gamma"), (3, "another, unique text"), (7, "ALPHA beta gamma"), (9, "beta"), (9, "beta"), (None, "Beta"),
+    (None, "only here"), (None, "only here"), (4, None), (5, ""),
+]
+
+
+@pytest.mark.parametrize(("keep", "stay"), [("largest", 7), ("smallest", 3)])
+def test_drop_exact_copies_loses_no_text(spark, keep, stay):
+    """One id with two texts, equal rows, rows without an id."""
+    kept = exact_dedup.drop_exact_copies(frame(spark, REPEATED), keep=keep).collect()
+    blank = 5 if keep == "largest" else 4
+    assert sorted((r.doc_id or -1, (r.text or "").lower()) for r in kept) == sorted(
+        [(stay, "alpha beta gamma"), (3, "another, unique text"), (9, "beta"), (-1, "only here"), (blank, "")]
+    )
+
+
 def test_drop_exact_copies_keeps_columns(spark):
     docs = frame(spark, corpus(1))
     kept = exact_dedup.drop_exact_copies(docs)
     assert kept.columns == docs.columns
-    texts = [(t or "").lower() for t in [r.text for r in kept.where("doc_id IS NOT NULL").collect()]]
-    assert len(texts) == len(set(texts))
-    assert kept.where("doc_id IS NULL").count() == 2
+    texts = [(r.text or "").lower() for r in kept.collect()]
+    assert sorted(texts) == sorted({(t or "").lower() for _, t in corpus(1)})
+    assert kept.where("doc_id IS NULL").count() == 0
     assert exact_dedup.drop_exact_copies(docs.limit(0)).count() == 0
 
 
@@ -143,20 +160,71 @@ def test_shingles_are_the_words_of_the_contract():
     assert len(shingles.shingle_set(text.encode(), shingles.WordHashes())) == len(grams)
 
 
-@given(st.sets(st.integers(0, 60), min_size=1), st.sets(st.integers(0, 60), min_size=1), st.sets(st.integers(0, 60), min_size=1))
-@settings(max_examples=300, deadline=None)
-def test_prefix_rule_loses_no_link(centre, x, y):
-    """If x is linked to y but not to the centre, they share one of the differences looked at."""
-    percent, orders = 85, []
+def test_drop_near_duplicates_loses_no_text(spark):
+    """One id with two texts, equal rows, rows without an id."""
+    rng = random.Random(5)
+    one, two, three = (prose(rng, 60) for _ in range(3))
+    close = one.replace(one.split()[30], "zzz", 1)
+    texts = [(7, one), (7, two), (3, close), (9, three), (9, three), (None, two), (None, "only here now"), (None, "only here now"), (4, None), (5, "")]
+    kept = near_dup.drop_near_duplicates(frame(spark, texts), percent=70).collect()
+    wanted = [(3, close), (7, two), (9, three), (None, "only here now"), (4, None), (5, "")]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(wanted, key=repr)
+    rows = [(-5, "b"), (2**62, "c"), (0, "a"), (None, "d"), (12, "e")]
+    order = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "text", near_dup.row_key(F.col("doc_id"), F.col("text"), "bigint").alias("k")
+    )
+    assert "".join(r.text for r in order.orderBy("k").collect()) == "baecd"
+
+
+def group(n: int, seed: int) -> list[tuple[int, str]]:
+    """Near copies of one text with one to four words changed."""
+    rng = random.Random(seed)
+    base = prose(rng, 150).split()
+    texts = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        texts.append((i, " ".join(words)))
+    return texts
+
+
+@pytest.mark.parametrize(("percent", "sizes"), [(80, (500, 1000, 2000)), (85, (500,))])
+def test_pairs_of_large_groups_do_not_grow_with_their_square(spark, monkeypatch, percent, sizes):
+    made = []
+    original = near_dup._pivot_pairs
+
+    def counted(*args):
+        pairs = original(*args)
+        made[-1] += pairs.count()
+        return pairs
+
+    monkeypatch.setattr(near_dup, "_pivot_pairs", counted)
+    for n in sizes:
+        made.append(0)
+        found = near_dup.near_duplicates(frame(spark, group(n, n)), percent=percent).collect()
+        if n == 500:
+            assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(group(n, n), percent)
+    assert all(pairs < n for pairs, n in zip(made, sizes, strict=True)), made
+
+
+@given(*[st.sets(st.integers(0, 60), min_size=1)] * 4)
+@settings(max_examples=500, deadline=None)
+def test_differences_decide_links(common, x, y, least):
+    """The rule of links by differences from any set, and what follows for a member not linked to the lightest one."""
+    percent = 85
     linked = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
-    for s in (x, y):
-        w = 100 * len(centre - s) + percent * len(s - centre)
-        order = sorted(s - centre) + sorted(centre - s)
-        orders.append((order, near_dup.prefixes(w, w - (100 - percent) * len(centre), percent, len(order))))
-        assert linked(centre, s) == (w <= (100 - percent) * len(centre))
-    if linked(x, y) and not linked(centre, x):
-        (first, (n_open, _)), (second, (_, n_partner)) = orders
-        assert set(first[:n_open]) & set(second[:n_partner])
+    weight = lambda s: 100 * len(common - s) + percent * len(s - common)
+    shared = lambda a, b: len((a ^ common) & (b ^ common))
+    whole = (100 - percent) * len(common)
+    assert linked(x, y) == (weight(x) + weight(y) <= whole + (100 + percent) * shared(x, y))
+    if linked(x, y) and not linked(x, least) and weight(least) <= weight(y):
+        assert shared(x, y)
+        added, lacked = len((x & y) - common), len(common - x - y)
+        b, l = len(y - common), len(common - y)
+        if not added:
+            assert lacked >= max(1, b + -((weight(least) - 1) // percent), -(-(weight(x) - whole) // percent))
+        assert added >= (percent * (b - l) - weight(least)) // (100 + percent) + 1
 
 
 def test_odd_sketch_counts_differing_samples():
@@ -182,6 +250,32 @@ def test_components(spark):
 # 9 ---------------------------------------------------------------------------------------------------------------------
 
 
+def test_ids_beside_null_stay_whole(spark):
+    ids = [None, 2**53 + 1, 2**60 + 7, -(2**62) - 1, 3]
+    found = packing.packed_documents(frame(spark, [(i, f"text {k}") for k, i in enumerate(ids)])).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in found) == sorted((i is None, i or 0) for i in ids)
+
+
+@given(st.lists(st.integers(1, 20), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_placing_takes_the_smallest_sum_of_squares(lengths):
+    """Every piece goes where the squared counts of open sequences per free space, tried one by one, are smallest."""
+    size, free = 20, []
+    sequences, offsets = packing.place(lengths, size)
+    for s, sequence, offset in zip(lengths, sequences.tolist(), offsets.tolist(), strict=True):
+        options = {}
+        for gap in {g for g in free if g >= s}:
+            left = list(free)
+            left[left.index(gap)] = gap - s
+            options[gap] = sum(left.count(g) ** 2 for g in set(left) if g), gap
+        if options:
+            assert size - offset == min(options.values())[1] and free[sequence] == size - offset
+            free[sequence] -= s
+        else:
+            assert offset == 0 and sequence == len(free)
+            free.append(size - s)
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
@@ -275,6 +369,8 @@ def test_battery_finds_random_tokens_only(spark):
     assert sum("[SECRET]" in r.text for r in masked.values()) >= len(keys) - 1
     assert all(r.n_chars == len(r.text) for r in masked.values())
     assert secrets.mask_secrets(docs, [300] * 4).columns == docs.columns
+    clashing = docs.withColumnsRenamed({"code": "__masked__", "node": "masked_", "body": "masked" + "_" * 10})
+    assert secrets.mask_secrets(clashing, [300] * 4).collect() and "__masked__" in clashing.columns
 
 
 @pytest.mark.parametrize("form", ["AWS_SECRET_ACCESS_KEY={}", "SESSION_ID={}==", "https://a.example/x?sig={}&n=1", "/var/run-keys/{}", "sk-live_{}", "{}"])
