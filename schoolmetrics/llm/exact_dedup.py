@@ -9,7 +9,8 @@ Two aggregations over the same key order do the work:
 
 Cases: a null text counts as empty; empty texts are equal to each other; a repeated row (same id, same text) belongs to
 its group once per row, and every row with the kept id is kept; a null id never wins over a real one; an empty table
-gives an empty result. Only the id and text columns are read, so further columns can have any name.
+gives an empty result. Groups read only the id and text columns, so further columns can have any name; `drop_exact_copies`
+carries them along.
 """
 
 from __future__ import annotations
@@ -58,12 +59,27 @@ def exact_groups(
     )
 
 
-def drop_exact_copies(docs: DataFrame, *, keep: str = "largest", **options) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. Rows are matched by id: ids must be unique to drop copies.
+def drop_exact_copies(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: str = "largest",
+    normalise: Callable[[Column], Column] = ascii_lower,
+    digest: Callable[[Column], Column] = content_hash,
+) -> DataFrame:
+    """The rows of `docs` that stay, one of each group of equal texts, with all their columns.
 
-    A row without an id stays.
+    That is the row with the `keep` id; a row without an id stays only where no equal text has one; of rows with one id
+    and texts that are equal but for case the hash decides, and of rows equal in id and text any one stays.
     """
-    id_col = options.get("id_col", "doc_id")
-    groups = exact_groups(docs, keep=keep, **options)
-    dropped = groups.where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, docs[id_col] == dropped.dropped_id, "left_anti")
+    id_, text = F.col(id_col), F.col(text_col)
+    missing = id_.isNull() if keep == "smallest" else id_.isNotNull()
+    best = {"smallest": F.min_by, "largest": F.max_by}[keep]
+    rows = docs.select(
+        normalise(F.coalesce(text, F.lit(""))).alias("body"),
+        F.struct(missing, id_, F.xxhash64(text)).alias("rank"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    groups = rows.groupBy(digest(F.col("body")).alias("code"), "body").agg(best("row", "rank").alias("row"))
+    return groups.select("row.*")
