@@ -23,7 +23,6 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property, partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -160,12 +159,12 @@ def place(lengths: Iterable[int], size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(sequences, np.int64), np.array(offsets, np.int64)
 
 
-def _pack_shard(rows: pd.DataFrame, size: int) -> pd.DataFrame:
-    rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
-    sequence, offset = place(rows["length"].tolist(), size)
-    rows["sequence_id"] = rows["shard"] * (1 << 32) + sequence
-    rows["offset"] = offset
-    return rows.drop(columns="shard")
+def _pack_shard(rows: pa.Table, size: int) -> pa.Table:
+    """The pieces of a shard, longest first, with their places. Ids stay in Arrow, where nulls don't turn them into doubles."""
+    rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+    sequence, offset = place(rows.column("length").to_pylist(), size)
+    numbers = pa.array(sequence + rows.column("shard")[0].as_py() * (1 << 32), pa.int64())
+    return rows.drop_columns(["shard"]).append_column("sequence_id", numbers).append_column("offset", pa.array(offset, pa.int64()))
 
 
 def pack(pieces: DataFrame, *, size: int = SEQUENCE, per_shard: int = PER_SHARD) -> DataFrame:
@@ -175,10 +174,10 @@ def pack(pieces: DataFrame, *, size: int = SEQUENCE, per_shard: int = PER_SHARD)
     shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
 
-    def pack_shard(rows: pd.DataFrame) -> pd.DataFrame:
+    def pack_shard(rows: pa.Table) -> pa.Table:
         return _pack_shard(rows, size)
 
-    return pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(pack_shard, schema)
+    return pieces.withColumn("shard", shard).groupBy("shard").applyInArrow(pack_shard, schema)
 
 
 def packed_documents(docs: DataFrame, **options) -> DataFrame:
