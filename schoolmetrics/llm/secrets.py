@@ -308,9 +308,9 @@ def redactor(least: list[int], mask: str = "[SECRET]") -> Callable:
 
 def mask_secrets(docs: DataFrame, least: list[int], *, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """All rows and columns of `docs`, secrets masked. A length column, if there is one, follows texts that change."""
-    before = F.col(text_col)
-    out = docs.withColumn("__masked__", redactor(least)(before))
-    changed = ~before.eqNullSafe(F.col("__masked__"))
-    more = {length_col: F.when(changed, F.length("__masked__")).otherwise(F.col(length_col))} if length_col in docs.columns else {}
-    out = out.withColumns({**more, text_col: F.col("__masked__")}).drop("__masked__")
+    before, name = F.col(text_col), "masked" + "_" * max(map(len, docs.columns))  # longer than any name there is
+    out = docs.withColumn(name, redactor(least)(before))
+    changed = ~before.eqNullSafe(F.col(name))
+    more = {length_col: F.when(changed, F.length(name)).otherwise(F.col(length_col))} if length_col in docs.columns else {}
+    out = out.withColumns({**more, text_col: F.col(name)}).drop(name)
     return out.select([F.col(f"`{c}`").cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
