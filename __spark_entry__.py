@@ -16,7 +16,7 @@ import duckdb_oracle  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from schoolmetrics.operators import charts, features, kpis, models, reports, star  # noqa: E402
-from schoolmetrics.plans import pipeline  # noqa: E402
+from schoolmetrics.plans import months, pipeline  # noqa: E402
 from schoolmetrics.schemas import ENTITIES  # noqa: E402
 from schoolmetrics.sources import tables  # noqa: E402
 from schoolmetrics.sources.driver_tables import TABLES, entities  # noqa: E402
@@ -183,6 +183,32 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total
 
 
+def _by_months(report: Callable[..., DataFrame]) -> Query:
+    """A report on months of which the later ones were added, and one half-written one replaced, by a second run."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source, root = entities(spark, sf_dir), scratch_path(spark, "months")
+        early = F.col("created_at") < F.lit("1996-12-15").cast("timestamp_ntz")
+        late = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
+        months.write_months({name: df.where(early | late) if "created_at" in df.columns else df for name, df in source.items()}, root)
+        added = [199612, *(year * 100 + month for year in (1997, 1998) for month in range(1, 13))]
+        months.write_months(source, root, added)
+        return report(months.with_months(spark, source, root))
+
+    return run
+
+
+def _students_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct graded students per subject from bitmaps of two runs."""
+    source, path = entities(spark, sf_dir), scratch_path(spark, "bitmaps")
+    students = source["grades"].select("student_id").distinct()
+    keys = star.with_surrogate_key(students, "student_id", "student_key")
+    others = source["grades"].where(F.year("created_at") != 1998)
+    months.write_student_bitmaps(others, keys, path)
+    months.write_student_bitmaps(source["grades"], keys, path, [199800 + month for month in range(1, 13)])
+    return months.students_per_subject(tables.read_table(spark, path), source["courses"])
+
+
 def _table_queries() -> dict[str, Query]:
     return {
         **{f"S2_{entity}": _ingested(entity) for entity in ENTITIES},
@@ -190,6 +216,12 @@ def _table_queries() -> dict[str, Query]:
         "S4": _sql_on_views,
         "S5": _written_report,
         "S7": _pipeline,
+        "S7_incremental": _by_months(reports.school_performance),
+        "S7_incremental_homework": _by_months(reports.homework_submission_rate),
+        "S7_incremental_letters": _by_months(reports.grade_distribution),
+        "S7_incremental_contents": _by_months(reports.content_analysis),
+        "S7_incremental_changes": _by_months(reports.course_load_changes),
+        "S7_student_bitmaps": _students_by_bitmap,
     }
 
 
@@ -235,6 +267,7 @@ def _star_queries() -> dict[str, Query]:
         "K5": keyed_grades,
         "K6": _student_history,
         "K6_close_missing": lambda spark, sf_dir: _student_history(spark, sf_dir, close_missing=True),
+        "K6_versions_last": _lasting_versions,
         "K7": _student_overwrite,
         "K5_extend": _extended_keys,
         "K8_fact_grade_asof": _grades_as_of,
@@ -289,6 +322,16 @@ def _extended_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.extend_keys(earlier, after, "student_id", "student_key")
 
 
+def _lasting_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version keys after a second snapshot, and after the same snapshot once more."""
+    before, after = _student_snapshots(spark, sf_dir)
+    keyed = star.with_version_key(star.start_history(before, "2020-09-01"), "student_id", "version_key")
+    for day in ("2021-09-01", "2022-09-01"):
+        history = star.scd2_merge(keyed.drop("version_key"), after, "student_id", day, close_missing=True)
+        keyed = star.extend_version_keys(keyed, history, "student_id", "version_key")
+    return _dates_as_text(keyed)
+
+
 def _grades_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _student_snapshots(spark, sf_dir)
     history = star.scd2_merge(star.start_history(before, "1993-01-01"), after, "student_id", "1996-01-01", close_missing=True)

@@ -463,6 +463,13 @@ CHANGES = {
     "K7": "SELECT * FROM after UNION ALL SELECT student_id, name, school_id FROM before WHERE c_custkey % 7 = 0",
 }
 
+CHANGES["K6_versions_last"] = f"""
+SELECT CASE WHEN effective_from = '2020-09-01' THEN k.version_key
+            ELSE (SELECT COUNT(*) FROM before) + row_number() OVER (PARTITION BY effective_from ORDER BY v.student_id) END AS version_key,
+       v.*
+FROM ({_versions("'2021-09-01', FALSE")}) v
+LEFT JOIN (SELECT student_id, row_number() OVER (ORDER BY student_id) AS version_key FROM before) k ON k.student_id = v.student_id
+"""
 CHANGES["K5_extend"] = """
 SELECT COALESCE(k.student_key, n.student_key) AS student_key, a.student_id, a.name, a.school_id
 FROM after a
@@ -553,8 +560,14 @@ def oracle_sql() -> dict[str, str]:
     entity_views = f"{ENTITY_VIEWS.strip()},\n{REPORT_VIEWS.strip()}"
     star_views = f"{entity_views},\n{STAR_VIEWS.strip()}"
     dated_views = f"{entity_views},\n{HISTORY.strip()}"
+    by_months = {
+        "S7_incremental": ON_ENTITIES["Q7"], "S7_incremental_homework": ON_ENTITIES["Q3"],
+        "S7_incremental_letters": ON_ENTITIES["Q6"], "S7_incremental_contents": ON_ENTITIES["Q10"],
+        "S7_incremental_changes": ON_ENTITIES["Q5"],
+        "S7_student_bitmaps": f"SELECT subject, unique_students FROM ({ON_ENTITIES['Q8']})",
+    }
     groups = [
-        (entity_views, ON_ENTITIES), (star_views, STAR), (HISTORY.strip(), CHANGES), (dated_views, {"K8_fact_grade_asof": AS_OF}),
+        (entity_views, ON_ENTITIES | by_months), (star_views, STAR), (HISTORY.strip(), CHANGES), (dated_views, {"K8_fact_grade_asof": AS_OF}),
     ]
     texts = {
         name: f"WITH {views}\nSELECT * FROM (\n{body.strip()}\n)"

@@ -23,6 +23,8 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     parser.add_argument("--holidays", nargs="*", default=[], metavar="YYYY-MM-DD", help="days marked in the calendar")
     parser.add_argument("--partitions", type=int, help="parts of the model input; by default from the number of students")
     parser.add_argument("--mean", choices=["double", "decimal"], default="double", help="type of means and shares")
+    parser.add_argument("--monthly", help="folder of monthly roll-ups that runs share; reports add them up")
+    parser.add_argument("--months", nargs="*", type=int, metavar="YYYYMM", help="months that changed; by default all are made anew")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("schoolmetrics").getOrCreate()
@@ -39,6 +41,8 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
         with_star=args.star,
         fact_partition=args.fact_partition,
         holidays=args.holidays,
+        monthly=args.monthly,
+        months=args.months,
     )
 
 

@@ -2,8 +2,9 @@
 
 `entities` maps entity names to DataFrames. Grades may be held by very few courses or
 students, so sums are taken per foreign key before any join; what is joined is then one
-row per key. A table `grade_rollup` (see `grade_rollup`) in `entities` is used instead of
-the single grades when present.
+row per key. Tables `grade_rollup` (see `grade_rollup`), `letter_rollup`, `homework_rollup`,
+`adjustment_rollup` and `content_rollup` in `entities` are used instead of single rows when
+present; they may hold several rows per key, say one for each month (see `plans/months.py`).
 """
 
 from __future__ import annotations
@@ -76,6 +77,13 @@ def _grade_facts(entities: Entities, scale: GradeScale) -> DataFrame:
     )
 
 
+def _counts(entities: Entities, rollup: str, entity: str, key: str, counted: str) -> DataFrame:
+    """Rows per key as `n`, added up from a roll-up where there is one."""
+    if rollup in entities:
+        return entities[rollup].groupBy(key).agg(F.sum("n").alias("n"))
+    return entities[entity].groupBy(key).agg(F.count(counted).alias("n"))
+
+
 def _sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in _SUMS]
 
@@ -114,7 +122,7 @@ def avg_grade_per_teacher(
 def homework_submission_rate(entities: Entities, by_id: bool = False) -> DataFrame:
     """Q3: number of homeworks per course name, 0 for courses without any."""
     courses = entities["courses"].select(F.col("id").alias("course_id"), F.col("name").alias("course_name"))
-    counts = entities["homeworks"].groupBy("course_id").agg(F.count("id").alias("n"))
+    counts = _counts(entities, "homework_rollup", "homeworks", "course_id", "id")
     return (
         courses.join(counts, "course_id", "left")
         .groupBy(*_keys("course_name", "course_id", by_id))
@@ -165,7 +173,7 @@ def parent_engagement(
 
 def course_load_changes(entities: Entities, by_id: bool = False) -> DataFrame:
     """Q5: number of course changes per student name; students without changes are absent."""
-    counts = entities["adjustments"].groupBy("student_id").agg(F.count("id").alias("n"))
+    counts = _counts(entities, "adjustment_rollup", "adjustments", "student_id", "id")
     return (
         counts.join(_students(entities), "student_id")
         .groupBy(*_keys("student_name", "student_id", by_id))
@@ -173,16 +181,17 @@ def course_load_changes(entities: Entities, by_id: bool = False) -> DataFrame:
     )
 
 
-def _distribution(df: DataFrame, key: str, form: str) -> DataFrame:
+def _distribution(counts: DataFrame, key: str, form: str) -> DataFrame:
     """Count and share per key. The grand total is a scalar subquery over the counts."""
-    counts = df.groupBy(key).agg(F.count("*").alias("count"))
+    counts = counts.withColumnRenamed("n", "count")
     total = counts.agg(F.sum("count")).scalar()
     return counts.select(key, "count", share(F.col("count"), total, form).alias("percentage"))
 
 
 def grade_distribution(entities: Entities, mean: str = "double") -> DataFrame:
     """Q6: count and share of each grade, in grade order, unknown grades first."""
-    return _distribution(entities["grades"], "grade", mean).orderBy(grade_rank(F.col("grade")), "grade")
+    counts = _counts(entities, "letter_rollup", "grades", "grade", "*")
+    return _distribution(counts, "grade", mean).orderBy(grade_rank(F.col("grade")), "grade")
 
 
 def school_performance(
@@ -257,7 +266,8 @@ def teacher_workload(
 
 def content_analysis(entities: Entities, mean: str = "double") -> DataFrame:
     """Q10: count and share of each file type, largest first."""
-    return _distribution(entities["contents"], "file_type", mean).orderBy(F.desc("count"), "file_type")
+    counts = _counts(entities, "content_rollup", "contents", "file_type", "*")
+    return _distribution(counts, "file_type", mean).orderBy(F.desc("count"), "file_type")
 
 
 REPORTS: dict[str, Callable[..., DataFrame]] = {

@@ -16,19 +16,26 @@ Entities = Mapping[str, DataFrame]
 FOREVER = "9999-12-31"
 
 
-def with_surrogate_key(df: DataFrame, natural_key: str | Sequence[str], name: str) -> DataFrame:
+def _names(natural_key: str | Sequence[str]) -> list[str]:
+    return [natural_key] if isinstance(natural_key, str) else list(natural_key)
+
+
+def with_surrogate_key(df: DataFrame, natural_key: str | Sequence[str], name: str, unique: bool = False) -> DataFrame:
     """K5: add dense integers 1..n in natural-key order as the first column.
 
     Rows are range-partitioned and sorted by the natural key, so a key is the number of rows
     in earlier partitions plus the position in its own; no partition sees more than its range.
     The layout is checkpointed because both counts must come from the same partitions.
+    With `unique` the job fails on a repeated key; equal keys share a partition, so they are counted where they lie.
     """
-    order = [natural_key] if isinstance(natural_key, str) else list(natural_key)
-    placed = durable(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-    )
+    order = _names(natural_key)
+    ranged = df.repartitionByRange(*order)
+    if unique:
+        copies = F.count("*").over(Window.partitionBy(*order))
+        shown = F.concat_ws(", ", *[F.col(c).cast("string") for c in order])
+        once = F.assert_true(F.col("_copies") == 1, F.concat(F.lit(f"repeated {', '.join(order)}: "), shown))
+        ranged = ranged.withColumn("_copies", copies).where(once.isNull()).drop("_copies")
+    placed = durable(ranged.sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id()))
     # monotonically_increasing_id holds the partition above bit 33 and the row number below.
     partition, position = F.shiftright("_slot", 33), F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = placed.groupBy(partition.alias("_partition")).agg(F.count("*").alias("_n"))
@@ -42,17 +49,31 @@ def with_surrogate_key(df: DataFrame, natural_key: str | Sequence[str], name: st
     )
 
 
-def extend_keys(existing: DataFrame, incoming: DataFrame, natural_key: str, name: str) -> DataFrame:
-    """K5: incoming rows with their keys; ids of `existing` keep theirs, new ones follow the largest, dense and in order.
+def key_register(existing: DataFrame | None, incoming: DataFrame, natural_key: str | Sequence[str], name: str) -> DataFrame:
+    """K5: every natural key ever seen with its number: those of `existing` as they are, new ones after the largest.
 
-    Facts of earlier runs go on pointing to the same members.
+    New keys are dense and in natural order. A run that stores the register never gives a number twice, also when the
+    member with the largest one is gone. The job fails on an incoming key that is or holds NULL.
     """
-    known = existing.select(natural_key, name)
-    new = incoming.select(natural_key).distinct().join(known, natural_key, "left_anti")
+    order = _names(natural_key)
+    present = [F.coalesce(c, F.raise_error(F.lit(f"NULL in {c}"))).alias(c) for c in order]
+    ids = incoming.select(*present).distinct()
+    if existing is None:
+        return with_surrogate_key(ids, order, name)
+    known = existing.select(name, *order)
     largest = existing.agg(F.max(name)).first()[0] or 0
-    added = with_surrogate_key(new, natural_key, name).withColumn(name, F.col(name) + largest)
-    keys = known.unionByName(added.select(natural_key, name))
-    return incoming.join(keys, natural_key).select(name, *incoming.columns)
+    added = with_surrogate_key(ids.join(known, order, "left_anti"), order, name)
+    return known.unionByName(added.withColumn(name, F.col(name) + largest))
+
+
+def extend_keys(existing: DataFrame, incoming: DataFrame, natural_key: str | Sequence[str], name: str) -> DataFrame:
+    """K5: incoming rows with their keys; ids of `existing` keep theirs, new ones follow the largest, dense and in order.
+
+    Facts of earlier runs go on pointing to the same members. The job fails on a NULL key.
+    """
+    order = _names(natural_key)
+    keys = durable(key_register(existing, incoming, order, name))
+    return incoming.join(keys, order).select(name, *incoming.columns)
 
 
 def with_version_key(history: DataFrame, natural_key: str, name: str) -> DataFrame:
@@ -60,6 +81,15 @@ def with_version_key(history: DataFrame, natural_key: str, name: str) -> DataFra
     return with_surrogate_key(history, [natural_key, "effective_from"], name)
 
 
+def extend_version_keys(earlier: DataFrame, history: DataFrame, natural_key: str, name: str) -> DataFrame:
+    """K6: the history after a merge with its version keys; versions of the keyed history before keep theirs.
+
+    A version is known by its member and first day, which a merge never changes: closing it moves only its end. Facts
+    stored with a version key go on pointing to that version, and merging the same snapshot again changes no key.
+    """
+    return extend_keys(earlier, history, [natural_key, "effective_from"], name)
+
+
 def as_of(rows: DataFrame, versions: DataFrame, natural_key: str, moment: str, key: str) -> DataFrame:
     """K8: rows with the key of the version that is valid on their date, NULL where none is.
 
@@ -119,12 +149,12 @@ def dim_school(entities: Entities) -> DataFrame:
     schools = entities["schools"].select(
         F.col("id").alias("school_id"), "name", unknown.alias("type"), unknown.alias("region")
     )
-    return with_surrogate_key(schools, "school_id", "school_key")
+    return with_surrogate_key(schools, "school_id", "school_key", unique=True)
 
 
 def person_keys(entities: Entities, role: str) -> DataFrame:
     """The users of one role with their surrogate keys: what facts need of the dimension."""
-    return with_surrogate_key(_people(entities, role), f"{role}_id", f"{role}_key")
+    return with_surrogate_key(_people(entities, role), f"{role}_id", f"{role}_key", unique=True)
 
 
 def dim_person(role: str, people: DataFrame, schools: DataFrame) -> DataFrame:
@@ -136,7 +166,7 @@ def dim_person(role: str, people: DataFrame, schools: DataFrame) -> DataFrame:
 def course_keys(entities: Entities) -> DataFrame:
     """The courses with their surrogate keys: what facts need of the dimension."""
     courses = entities["courses"].select(F.col("id").alias("course_id"), "name", "school_id", "teacher_id")
-    return with_surrogate_key(courses, "course_id", "course_key")
+    return with_surrogate_key(courses, "course_id", "course_key", unique=True)
 
 
 def dim_course(
@@ -175,7 +205,7 @@ def dim_content(entities: Entities, courses: DataFrame, teachers: DataFrame) ->
         "course_id",
         "teacher_id",
     )
-    keyed = with_surrogate_key(contents, "content_id", "content_key")
+    keyed = with_surrogate_key(contents, "content_id", "content_key", unique=True)
     keyed = _keyed(keyed, courses, "course_id", "course_key")
     keyed = _keyed(keyed, teachers, "teacher_id", "teacher_key")
     return keyed.select("content_key", "content_id", "file_type", "content_type", "course_key", "teacher_key")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from schoolmetrics.operators import charts, features, kpis, models, star
 from schoolmetrics.operators.reports import REPORTS, grade_rollup
+from schoolmetrics.plans.months import with_months, write_months
 from schoolmetrics.sources.tables import LazyTables, literal_table, read_table, write_table
 
 Entities = Mapping[str, DataFrame]
@@ -120,13 +121,18 @@ def materialize(
     with_star: bool = False,
     fact_partition: str = "date_key",
     holidays: Sequence[str] = (),
+    monthly: str | None = None,
+    months: Sequence[int] | None = None,
 ) -> dict[str, str]:
     """S7: reports, charts and, if asked for, models, star schema and KPIs; returns table paths by name.
 
-    The run is named in `<root>/runs` as the last step.
+    The run is named in `<root>/runs` as the last step. With `monthly`, a folder that runs share, reports add up
+    the roll-ups of all months stored there, and only those of `months` (all, if None) are made anew.
     """
     base = f"{root}/{run_id}/{uuid.uuid4().hex}"
-    shared = with_rollup(entities, base)
+    if monthly is not None:
+        write_months(entities, monthly, months)
+    shared = with_rollup(entities, base) if monthly is None else with_months(spark, entities, monthly)
     tables = write_analytics(shared, base, mean)
     if ml:
         tables |= write_models(shared, base, partitions)

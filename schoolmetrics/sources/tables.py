@@ -70,6 +70,13 @@ def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> s
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of written files, if it is there, in whatever store it lies."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ingest(df: DataFrame, entity: str, path: str) -> str:
     """Check rows against an entity's schema and replace its table."""
     return write_table(conform(df, ENTITIES[entity]), path)

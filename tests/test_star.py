@@ -119,3 +119,35 @@ def test_facts_join_keys_only(spark, make):
         assert plan.count("Join LeftOuter") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_ids_are_refused(make):
+    """A repeated id would multiply the facts that point to it."""
+    for entity, row in (("users", {"id": "u1", "role": "student"}), ("courses", {"id": "c1"}), ("contents", {"id": "d1"}), ("schools", {"id": "s1"})):
+        dims = star.dimensions(make(**{entity: [row, {**row, "name": "other"}]}))
+        name = {"users": "dim_student", "courses": "dim_course", "contents": "dim_content", "schools": "dim_school"}[entity]
+        with pytest.raises(Exception, match="repeated"):
+            dims[name].collect()
+
+
+def test_keys_last_and_null_keys_are_refused(spark, rows):
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, id string")
+    second = spark.createDataFrame([("b", 1), ("d", 2), ("aa", 3)], "id string, x int")
+    keyed = star.extend_keys(first, second, "id", "k")
+    assert rows(keyed) == [(2, "b", 1), (4, "aa", 3), (5, "d", 2)]
+    # The register keeps the numbers of members that left.
+    register = star.key_register(first, second, "id", "k")
+    assert rows(star.key_register(register, spark.createDataFrame([("e",)], "id string"), "id", "k"))[-1] == (6, "e")
+    with pytest.raises(Exception, match="NULL in id"):
+        star.extend_keys(first, spark.createDataFrame([(None, 1)], "id string, x int"), "id", "k").collect()
+
+
+def test_version_keys_survive_a_merge(spark, rows):
+    old = spark.createDataFrame([("a", "s1"), ("b", "s1"), ("c", "s2")], "id string, school string")
+    new = spark.createDataFrame([("a", "s9"), ("b", "s1"), ("c", "s2")], "id string, school string")
+    keyed = star.with_version_key(star.start_history(old, "2024-01-01"), "id", "version_key")
+    for _ in range(2):
+        merged = star.scd2_merge(keyed.drop("version_key"), new, "id", "2025-01-01")
+        keyed = star.extend_version_keys(keyed, merged, "id", "version_key")
+        got = {(r.version_key, r.id, r.school, str(r.effective_from)) for r in keyed.collect()}
+        assert got == {(1, "a", "s1", "2024-01-01"), (2, "b", "s1", "2024-01-01"), (3, "c", "s2", "2024-01-01"), (4, "a", "s9", "2025-01-01")}
