@@ -18,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from schoolmetrics.operators import charts, features, kpis, models, reports, star  # noqa: E402
 from schoolmetrics.plans import months, pipeline  # noqa: E402
 from schoolmetrics.schemas import ENTITIES  # noqa: E402
-from schoolmetrics.sources import tables  # noqa: E402
+from schoolmetrics.sources import integrity, tables  # noqa: E402
 from schoolmetrics.sources.driver_tables import TABLES, entities  # noqa: E402
 from schoolmetrics.sources.scratch import scratch_path  # noqa: E402
 from schoolmetrics.streaming import content_access  # noqa: E402
@@ -183,6 +183,38 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total
 
 
+def _faulty(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The entities after a delivery that left out users and courses, and brought some grades twice."""
+    source = dict(entities(spark, sf_dir).items())
+    for name, digit in (("users", "7"), ("courses", "3")):
+        source[name] = source[name].where(~F.col("id").endswith(digit))
+    source["grades"] = source["grades"].unionByName(source["grades"].where(F.col("id").endswith("99")))
+    return source
+
+
+def _on_faulty(operator: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(_faulty(spark, sf_dir))
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of each entity stay, and how many are put aside by the columns that point nowhere."""
+    good, bad = integrity.quarantined(_faulty(spark, sf_dir))
+    kept = [good[n].agg(F.lit(n).alias("entity"), F.lit("").alias("columns"), F.count("*").alias("n_rows")) for n in ENTITIES]
+    aside = bad.groupBy("entity", F.array_join("columns", ",").alias("columns")).agg(F.count("*").alias("n_rows"))
+    for part in kept:
+        aside = aside.unionByName(part)
+    return aside
+
+
+def _unknown_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Course changes by course name, those of unknown courses under NULL; an inner join loses none."""
+    source = _faulty(spark, sf_dir)
+    dims = star.dimensions(source)
+    fact = integrity.pointed_to_unknown(star.fact_course_load_change(source, dims), "course_key", "student_key")
+    courses = integrity.with_unknown_member(dims["dim_course"], "course_key").select("course_key", "name")
+    return fact.join(courses, "course_key").groupBy("name").agg(F.sum("change_count").alias("n_changes"))
+
+
 def _by_months(report: Callable[..., DataFrame]) -> Query:
     """A report on months of which the later ones were added, and one half-written one replaced, by a second run."""
 
@@ -212,6 +244,10 @@ def _students_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _table_queries() -> dict[str, Query]:
     return {
         **{f"S2_{entity}": _ingested(entity) for entity in ENTITIES},
+        "S2_orphans": _on_faulty(integrity.orphans),
+        "S2_repeated_ids": _on_faulty(integrity.repeated_ids),
+        "S2_quarantine": _quarantine,
+        "S2_unknown_member": _unknown_members,
         "S3": _scan_by_path,
         "S4": _sql_on_views,
         "S5": _written_report,

@@ -556,6 +556,54 @@ ON_ENTITIES = {
 }
 
 
+# Column of an entity, and the entity whose id it holds.
+REFERENCES = [
+    ("users", "school_id", "schools"), ("courses", "teacher_id", "users"), ("courses", "school_id", "schools"),
+    ("contents", "course_id", "courses"), ("contents", "teacher_id", "users"),
+    ("homeworks", "course_id", "courses"), ("homeworks", "student_id", "users"),
+    ("grades", "course_id", "courses"), ("grades", "student_id", "users"),
+    ("adjustments", "course_id", "courses"), ("adjustments", "student_id", "users"),
+]
+ENTITY_NAMES = ["users", "schools", "courses", "contents", "homeworks", "grades", "adjustments"]
+
+
+# Entities of a delivery that left out users and courses, and brought some grades twice.
+FAULTY_VIEWS = """
+faulty_users AS (SELECT * FROM users WHERE id NOT LIKE '%7'),
+faulty_courses AS (SELECT * FROM courses WHERE id NOT LIKE '%3'),
+faulty_grades AS (SELECT * FROM grades UNION ALL SELECT * FROM grades WHERE id LIKE '%99'),
+faulty_schools AS (SELECT * FROM schools), faulty_contents AS (SELECT * FROM contents),
+faulty_homeworks AS (SELECT * FROM homeworks), faulty_adjustments AS (SELECT * FROM adjustments)
+"""
+
+
+def _quarantine() -> str:
+    parts = []
+    for entity in ENTITY_NAMES:
+        broken = ", ".join(
+            f"CASE WHEN {c} IS NULL OR {c} NOT IN (SELECT id FROM faulty_{p}) THEN '{c}' END" for e, c, p in REFERENCES if e == entity
+        )
+        columns = f"concat_ws(',', {broken})" if broken else "''"
+        counted = f"SELECT '{entity}' AS entity, {columns} AS columns FROM faulty_{entity}"
+        parts.append(f"SELECT entity, columns, COUNT(*) AS n_rows FROM ({counted}) GROUP BY entity, columns")
+    return " UNION ALL ".join(parts)
+
+
+INTEGRITY = {
+    "S2_orphans": " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, '{c}' AS column_name, {c} AS missing_id, COUNT(*) AS n_rows "
+        f"FROM faulty_{e} WHERE {c} NOT IN (SELECT id FROM faulty_{p}) GROUP BY {c}"
+        for e, c, p in REFERENCES
+    ),
+    "S2_repeated_ids": " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, id, COUNT(*) AS n_rows FROM faulty_{e} GROUP BY id HAVING COUNT(*) > 1" for e in ENTITY_NAMES
+    ),
+    "S2_quarantine": _quarantine(),
+    "S2_unknown_member": "SELECT c.name, COUNT(*) AS n_changes FROM adjustments a "
+    "LEFT JOIN faulty_courses c ON c.id = a.course_id GROUP BY c.name",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     entity_views = f"{ENTITY_VIEWS.strip()},\n{REPORT_VIEWS.strip()}"
     star_views = f"{entity_views},\n{STAR_VIEWS.strip()}"
@@ -567,7 +615,7 @@ def oracle_sql() -> dict[str, str]:
         "S7_student_bitmaps": f"SELECT subject, unique_students FROM ({ON_ENTITIES['Q8']})",
     }
     groups = [
-        (entity_views, ON_ENTITIES | by_months), (star_views, STAR), (HISTORY.strip(), CHANGES), (dated_views, {"K8_fact_grade_asof": AS_OF}),
+        (entity_views, ON_ENTITIES | by_months), (f"{entity_views},\n{FAULTY_VIEWS.strip()}", INTEGRITY), (star_views, STAR), (HISTORY.strip(), CHANGES), (dated_views, {"K8_fact_grade_asof": AS_OF}),
     ]
     texts = {
         name: f"WITH {views}\nSELECT * FROM (\n{body.strip()}\n)"
