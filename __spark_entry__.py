@@ -8,7 +8,7 @@ from importlib import import_module
 from importlib.util import find_spec
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -104,7 +104,44 @@ def _companion_queries() -> dict[str, Query]:
     def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         return charts.cluster_profile(clustered(spark, sf_dir)).withColumn("value", F.round("value", 6))
 
+    def cluster_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """What holds of a right segmentation: four clusters of all students, closer together than everyone is."""
+        names = features.FEATURES
+        moments = [m for c in names for m in (F.avg(c).alias(f"{c}_mean"), F.var_pop(c).alias(f"{c}_var"))]
+        each = _clusters(spark, sf_dir).groupBy("cluster").agg(F.count("*").alias("n"), *moments)
+
+        def share_inside(c: str) -> Column:
+            inside = F.sum(F.col("n") * F.coalesce(F.col(f"{c}_var"), F.lit(0.0)))
+            between = F.sum(F.col("n") * F.col(f"{c}_mean") ** 2) - F.sum(F.col("n") * F.col(f"{c}_mean")) ** 2 / F.sum("n")
+            return F.coalesce(inside / F.nullif(inside + between, F.lit(0.0)), F.lit(0.0))
+
+        ratio = sum((share_inside(c) for c in names), F.lit(0.0)) / len(names)
+        return each.agg(
+            F.sum("n").alias("n_students"), F.count("*").alias("n_clusters"), F.min("cluster").cast("long").alias("lowest"),
+            F.max("cluster").cast("long").alias("highest"), (ratio < 0.7).alias("closer"),
+        )
+
+    def tree_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Every student is predicted, and the tree is right at least as often as its best leaf alone would be."""
+        cells = models.confusion_matrix(_predictions(spark, sf_dir))
+        hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
+        either = F.greatest(*[F.sum(F.when(F.col("label") == x, F.col("count")).otherwise(0)) for x in (0.0, 1.0)])
+        kinds = F.max((~F.col("prediction").isin(0.0, 1.0)).cast("int")) == 0
+        return cells.agg(
+            F.sum("count").alias("n_students"), kinds.alias("two_classes"), (F.sum(hit) >= either).alias("beats_one_leaf")
+        )
+
+    def text_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        text = F.col("debug_string")
+        depth = F.regexp_extract(text, r"depth=(\d+)", 1).cast("int")
+        return _tree_text(spark, sf_dir).select(
+            (depth <= 3).alias("shallow"), text.rlike(r"feature\s+\d").alias("unnamed"), text.contains("Predict").alias("decides")
+        )
+
     return {
+        "M1_facts": cluster_facts,
+        "M3_facts": tree_facts,
+        "M6_facts": text_facts,
         "M1_students": lambda spark, sf_dir: _clusters(spark, sf_dir).drop("cluster"),
         "M3_students": lambda spark, sf_dir: _predictions(spark, sf_dir).drop("prediction"),
         "M4_rule": lambda spark, sf_dir: models.classification_metrics(predicted(spark, sf_dir)),

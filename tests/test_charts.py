@@ -66,3 +66,10 @@ def test_branches_share_one_aggregation(spark):
     plan = points._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("ReusedExchange") >= 3
+
+
+def test_namesakes_of_picked_rows_keep_short_labels(spark):
+    rows = [(f"p{i}", "Ann Lee" if i < 2 else f"Parent {i}", i, float(i == 0)) for i in range(12)]
+    report = spark.createDataFrame(rows, "parent_id string, parent_name string, num_children long, avg_gpa double")
+    got = {r.parent_id: r.label for r in charts.parent_points(report, top_gpa=1, extremes=0).collect()}
+    assert got["p0"] == "Ann Lee" and got["p1"] == "Lee" and len(got) == 12
