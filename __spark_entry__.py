@@ -16,7 +16,7 @@ import duckdb_oracle  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from schoolmetrics.operators import charts, features, kpis, models, reports, star  # noqa: E402
-from schoolmetrics.plans import months, pipeline  # noqa: E402
+from schoolmetrics.plans import months, pipeline, versions  # noqa: E402
 from schoolmetrics.schemas import ENTITIES  # noqa: E402
 from schoolmetrics.sources import integrity, tables  # noqa: E402
 from schoolmetrics.sources.driver_tables import TABLES, entities  # noqa: E402
@@ -344,6 +344,7 @@ def _star_queries() -> dict[str, Query]:
         "K7": _student_overwrite,
         "K5_extend": _extended_keys,
         "K8_fact_grade_asof": _grades_as_of,
+        "K8_repaired": _repaired_grades,
         "K8_fact_grade": fact("fact_grade"),
         "K9_fact_homework": fact("fact_homework"),
         "K9_fact_course_load_change": fact("fact_course_load_change"),
@@ -405,12 +406,31 @@ def _lasting_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dates_as_text(keyed)
 
 
-def _grades_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dated_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _student_snapshots(spark, sf_dir)
     history = star.scd2_merge(star.start_history(before, "1993-01-01"), after, "student_id", "1996-01-01", close_missing=True)
-    versions = star.with_version_key(history, "student_id", "version_key")
-    grades = entities(spark, sf_dir)["grades"].select("id", "student_id", "created_at")
-    return star.as_of(grades, versions, "student_id", "created_at", "version_key").drop("created_at")
+    return star.with_version_key(history, "student_id", "version_key")
+
+
+def _dated_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities(spark, sf_dir)["grades"].select("id", "student_id", "created_at")
+
+
+def _grades_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grades, keyed = _dated_grades(spark, sf_dir), _dated_versions(spark, sf_dir)
+    return star.as_of(grades, keyed, "student_id", "created_at", "version_key").drop("created_at")
+
+
+def _repaired_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades by version, stored by month and keyed anew where every fifth student turns out to have moved earlier."""
+    grades, keyed, path = _dated_grades(spark, sf_dir), _dated_versions(spark, sf_dir), scratch_path(spark, "versions")
+    versions.write_fact_as_of(grades, keyed, "student_id", path, "version_key")
+    moved = _student_snapshots(spark, sf_dir)[0].where(F.substring("student_id", 2, 20).cast("long") % 5 == 0)
+    told = moved.withColumns({"school_id": F.lit("S0"), "effective_from": F.lit("1995-03-01").cast("date")})
+    history = star.scd2_backdate(keyed.drop("version_key"), told, "student_id")
+    later = star.extend_version_keys(keyed, history, "student_id", "version_key")
+    versions.repair_fact(grades, keyed, later, "student_id", path, "version_key")
+    return tables.read_table(spark, path).select("id", "student_id", "version_key")
 
 
 def _student_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -478,9 +478,7 @@ LEFT JOIN (SELECT student_id, (SELECT COUNT(*) FROM before) + row_number() OVER
            FROM after WHERE student_id NOT IN (SELECT student_id FROM before)) n ON n.student_id = a.student_id
 """
 # Versions from 1993, changed in 1996, and the grades given while they were valid.
-AS_OF = """
-SELECT g.id, g.student_id, v.version_key
-FROM grades g LEFT JOIN (
+AS_OF_VERSIONS = """
   SELECT *, row_number() OVER (ORDER BY student_id, starts) AS version_key FROM (
     SELECT b.student_id, DATE '1993-01-01' AS starts,
            CASE WHEN a.student_id IS NULL OR a.school_id <> b.school_id THEN DATE '1996-01-01' ELSE DATE '9999-12-31' END AS ends
@@ -489,6 +487,24 @@ FROM grades g LEFT JOIN (
     SELECT a.student_id, DATE '1996-01-01', DATE '9999-12-31'
     FROM after a LEFT JOIN before b ON a.student_id = b.student_id WHERE b.student_id IS NULL OR b.school_id <> a.school_id
   )
+"""
+AS_OF = f"""
+SELECT g.id, g.student_id, v.version_key
+FROM grades g LEFT JOIN ({AS_OF_VERSIONS}) v
+ON v.student_id = g.student_id AND v.starts <= CAST(g.created_at AS DATE) AND CAST(g.created_at AS DATE) < v.ends
+"""
+# The same after every fifth student turned out to have moved in March 1995.
+AS_OF_REPAIRED = f"""
+SELECT g.id, g.student_id, v.version_key
+FROM grades g LEFT JOIN (
+  SELECT o.student_id, o.starts,
+         CASE WHEN b.c_custkey % 5 = 0 AND o.starts < DATE '1995-03-01' THEN DATE '1995-03-01' ELSE o.ends END AS ends, o.version_key
+  FROM ({AS_OF_VERSIONS}) o LEFT JOIN before b ON b.student_id = o.student_id
+  UNION ALL
+  SELECT o.student_id, DATE '1995-03-01', o.ends,
+         (SELECT COUNT(*) FROM ({AS_OF_VERSIONS})) + row_number() OVER (ORDER BY o.student_id)
+  FROM ({AS_OF_VERSIONS}) o JOIN before b ON b.student_id = o.student_id
+  WHERE b.c_custkey % 5 = 0 AND o.starts = DATE '1993-01-01'
 ) v ON v.student_id = g.student_id AND v.starts <= CAST(g.created_at AS DATE) AND CAST(g.created_at AS DATE) < v.ends
 """
 
@@ -619,7 +635,7 @@ def oracle_sql() -> dict[str, str]:
         "S7_student_bitmaps": f"SELECT subject, unique_students FROM ({ON_ENTITIES['Q8']})",
     }
     groups = [
-        (entity_views, ON_ENTITIES | by_months), (f"{entity_views},\n{FAULTY_VIEWS.strip()}", INTEGRITY), (star_views, STAR), (HISTORY.strip(), CHANGES), (dated_views, {"K8_fact_grade_asof": AS_OF}),
+        (entity_views, ON_ENTITIES | by_months), (f"{entity_views},\n{FAULTY_VIEWS.strip()}", INTEGRITY), (star_views, STAR), (HISTORY.strip(), CHANGES), (dated_views, {"K8_fact_grade_asof": AS_OF, "K8_repaired": AS_OF_REPAIRED}),
     ]
     texts = {
         name: f"WITH {views}\nSELECT * FROM (\n{body.strip()}\n)"

@@ -25,6 +25,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     parser.add_argument("--mean", choices=["double", "decimal"], default="double", help="type of means and shares")
     parser.add_argument("--monthly", help="folder of monthly roll-ups that runs share; reports add them up")
     parser.add_argument("--months", nargs="*", type=int, metavar="YYYYMM", help="months that changed; by default all are made anew")
+    parser.add_argument("--effective", metavar="YYYY-MM-DD", help="day the delivery takes effect; keys and history go on from earlier runs")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("schoolmetrics").getOrCreate()
@@ -43,6 +44,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
         holidays=args.holidays,
         monthly=args.monthly,
         months=args.months,
+        effective=args.effective,
     )
 
 

@@ -15,11 +15,22 @@ Entities = Mapping[str, DataFrame]
 
 FOREVER = "9999-12-31"
 
+#: Dimensions whose keys a register holds.
+KINDS = ("school", "student", "teacher", "parent", "course", "action", "content")
+
 
 def _names(natural_key: str | Sequence[str]) -> list[str]:
     return [natural_key] if isinstance(natural_key, str) else list(natural_key)
 
 
+def _refuse_repeats(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows as they are; the job fails on a repeated key. Rows that lie together by key aren't shuffled again."""
+    copies = F.count("*").over(Window.partitionBy(*order))
+    shown = F.concat_ws(", ", *[F.col(c).cast("string") for c in order])
+    once = F.assert_true(F.col("_copies") == 1, F.concat(F.lit(f"repeated {', '.join(order)}: "), shown))
+    return df.withColumn("_copies", copies).where(once.isNull()).drop("_copies")
+
+
 def with_surrogate_key(df: DataFrame, natural_key: str | Sequence[str], name: str, unique: bool = False) -> DataFrame:
     """K5: add dense integers 1..n in natural-key order as the first column.
 
@@ -31,10 +42,7 @@ def with_surrogate_key(df: DataFrame, natural_key: str | Sequence[str], name: st
     order = _names(natural_key)
     ranged = df.repartitionByRange(*order)
     if unique:
-        copies = F.count("*").over(Window.partitionBy(*order))
-        shown = F.concat_ws(", ", *[F.col(c).cast("string") for c in order])
-        once = F.assert_true(F.col("_copies") == 1, F.concat(F.lit(f"repeated {', '.join(order)}: "), shown))
-        ranged = ranged.withColumn("_copies", copies).where(once.isNull()).drop("_copies")
+        ranged = _refuse_repeats(ranged, order)
     placed = durable(ranged.sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id()))
     # monotonically_increasing_id holds the partition above bit 33 and the row number below.
     partition, position = F.shiftright("_slot", 33), F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
@@ -76,6 +84,12 @@ def extend_keys(existing: DataFrame, incoming: DataFrame, natural_key: str | Seq
     return incoming.join(keys, order).select(name, *incoming.columns)
 
 
+def registered_keys(register: DataFrame, rows: DataFrame, natural_key: str, name: str) -> DataFrame:
+    """K5: rows with their keys from a register that knows all of them; the job fails on a repeated key."""
+    known = register.select(name, natural_key)
+    return _refuse_repeats(rows.join(known, natural_key).select(name, *rows.columns), [natural_key])
+
+
 def with_version_key(history: DataFrame, natural_key: str, name: str) -> DataFrame:
     """K6: a surrogate key for each version of a dimension with history."""
     return with_surrogate_key(history, [natural_key, "effective_from"], name)
@@ -143,18 +157,58 @@ def _people(entities: Entities, role: str) -> DataFrame:
     return chosen.select(F.col("id").alias(f"{role}_id"), "name", "school_id")
 
 
-def dim_school(entities: Entities) -> DataFrame:
-    """K4: schools; type and region have no source yet."""
+def students(entities: Entities) -> DataFrame:
+    """The attributes of students that a history follows."""
+    return _people(entities, "student")
+
+
+def _members(entities: Entities, kind: str) -> DataFrame:
+    """The rows of a dimension before they have a key."""
     unknown = F.lit(None).cast("string")
-    schools = entities["schools"].select(
-        F.col("id").alias("school_id"), "name", unknown.alias("type"), unknown.alias("region")
-    )
-    return with_surrogate_key(schools, "school_id", "school_key", unique=True)
+    if kind == "school":
+        return entities["schools"].select(
+            F.col("id").alias("school_id"), "name", unknown.alias("type"), unknown.alias("region")
+        )
+    if kind == "course":
+        return entities["courses"].select(F.col("id").alias("course_id"), "name", "school_id", "teacher_id")
+    if kind == "action":
+        return entities["adjustments"].select(F.col("action").alias("action_name")).distinct()
+    if kind == "content":
+        return entities["contents"].select(
+            F.col("id").alias("content_id"),
+            "file_type",
+            F.regexp_extract("file_path", r"([^/_]+)_[^/]*$", 1).alias("content_type"),
+            "course_id",
+            "teacher_id",
+        )
+    return _people(entities, kind)
+
+
+def natural_key(kind: str) -> str:
+    return "action_name" if kind == "action" else f"{kind}_id"
+
+
+def _numbered(entities: Entities, kind: str, registers: Mapping[str, DataFrame] | None) -> DataFrame:
+    """The members with their surrogate keys, from a register where runs keep one."""
+    members = _members(entities, kind)
+    if registers is None:
+        return with_surrogate_key(members, natural_key(kind), f"{kind}_key", unique=True)
+    return registered_keys(registers[kind], members, natural_key(kind), f"{kind}_key")
+
+
+def extended_register(entities: Entities, kind: str, earlier: DataFrame | None) -> DataFrame:
+    """K5: the register of a dimension's keys after a delivery; numbers of the earlier one stay."""
+    return key_register(earlier, _members(entities, kind), natural_key(kind), f"{kind}_key")
+
+
+def dim_school(entities: Entities, registers: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """K4: schools; type and region have no source yet."""
+    return _numbered(entities, "school", registers)
 
 
-def person_keys(entities: Entities, role: str) -> DataFrame:
+def person_keys(entities: Entities, role: str, registers: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The users of one role with their surrogate keys: what facts need of the dimension."""
-    return with_surrogate_key(_people(entities, role), f"{role}_id", f"{role}_key", unique=True)
+    return _numbered(entities, role, registers)
 
 
 def dim_person(role: str, people: DataFrame, schools: DataFrame) -> DataFrame:
@@ -163,10 +217,9 @@ def dim_person(role: str, people: DataFrame, schools: DataFrame) -> DataFrame:
     return _keyed(people, schools, "school_id", "school_key").select(*columns)
 
 
-def course_keys(entities: Entities) -> DataFrame:
+def course_keys(entities: Entities, registers: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The courses with their surrogate keys: what facts need of the dimension."""
-    courses = entities["courses"].select(F.col("id").alias("course_id"), "name", "school_id", "teacher_id")
-    return with_surrogate_key(courses, "course_id", "course_key", unique=True)
+    return _numbered(entities, "course", registers)
 
 
 def dim_course(
@@ -190,46 +243,43 @@ def dim_course(
     return keyed.select("course_key", "course_id", "name", "subject", "level", "school_key", "teacher_key")
 
 
-def dim_action(entities: Entities) -> DataFrame:
+def dim_action(entities: Entities, registers: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """K4: the kinds of course change."""
-    actions = entities["adjustments"].select(F.col("action").alias("action_name")).distinct()
-    return with_surrogate_key(actions, "action_name", "action_key")
+    return _numbered(entities, "action", registers)
 
 
-def dim_content(entities: Entities, courses: DataFrame, teachers: DataFrame) -> DataFrame:
+def dim_content(
+    entities: Entities, courses: DataFrame, teachers: DataFrame, registers: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """K4: contents; the type is the file name up to its number (`.../quiz_3.pdf` is a quiz)."""
-    contents = entities["contents"].select(
-        F.col("id").alias("content_id"),
-        "file_type",
-        F.regexp_extract("file_path", r"([^/_]+)_[^/]*$", 1).alias("content_type"),
-        "course_id",
-        "teacher_id",
-    )
-    keyed = with_surrogate_key(contents, "content_id", "content_key", unique=True)
+    keyed = _numbered(entities, "content", registers)
     keyed = _keyed(keyed, courses, "course_id", "course_key")
     keyed = _keyed(keyed, teachers, "teacher_id", "teacher_key")
     return keyed.select("content_key", "content_id", "file_type", "content_type", "course_key", "teacher_key")
 
 
-def dimensions(entities: Entities, holidays: Sequence[str] = ()) -> LazyTables:
+def dimensions(
+    entities: Entities, holidays: Sequence[str] = (), registers: Mapping[str, DataFrame] | None = None
+) -> LazyTables:
     """Every dimension by name, each keyed when first asked for.
 
     `keys_*` hold natural id and key before the dimension's own lookups, so that facts join nothing they don't use.
+    With `registers`, by kind of member, keys come from these instead of being dealt anew.
     """
     dims = LazyTables(
         {
-            "keys_student": lambda: person_keys(entities, "student"),
-            "keys_teacher": lambda: person_keys(entities, "teacher"),
-            "keys_parent": lambda: person_keys(entities, "parent"),
-            "keys_course": lambda: course_keys(entities),
+            "keys_student": lambda: person_keys(entities, "student", registers),
+            "keys_teacher": lambda: person_keys(entities, "teacher", registers),
+            "keys_parent": lambda: person_keys(entities, "parent", registers),
+            "keys_course": lambda: course_keys(entities, registers),
             "dim_date": lambda: dim_date(activity_days(entities), holidays),
-            "dim_school": lambda: dim_school(entities),
+            "dim_school": lambda: dim_school(entities, registers),
             "dim_student": lambda: dim_person("student", dims["keys_student"], dims["dim_school"]),
             "dim_teacher": lambda: dim_person("teacher", dims["keys_teacher"], dims["dim_school"]),
             "dim_parent": lambda: dim_person("parent", dims["keys_parent"], dims["dim_school"]),
             "dim_course": lambda: dim_course(dims["keys_course"], dims["dim_school"], dims["keys_teacher"]),
-            "dim_action": lambda: dim_action(entities),
-            "dim_content": lambda: dim_content(entities, dims["keys_course"], dims["keys_teacher"]),
+            "dim_action": lambda: dim_action(entities, registers),
+            "dim_content": lambda: dim_content(entities, dims["keys_course"], dims["keys_teacher"], registers),
         }
     )
     return dims
@@ -332,7 +382,8 @@ def scd2_merge(
 
     A current row whose attributes differ from the snapshot is closed on the effective date and
     followed by a new current row; unknown natural keys start one. Keys missing from the
-    snapshot stay current unless close_missing. Merging the same snapshot again changes nothing.
+    snapshot stay current unless close_missing. Merging the same snapshot again changes nothing; another snapshot of
+    the same day replaces the versions that began on it.
     The job fails on a NULL or repeated key in the snapshot and on an effective date before a current version's start.
     """
     attributes = [c for c in snapshot.columns if c != natural_key]
@@ -349,6 +400,8 @@ def scd2_merge(
         same.alias("same"),
     )
     changed = F.col("known") & F.col("seen") & ~F.col("same")
+    # A version that would end on its first day gives way to the new one, so that (member, first day) names one version.
+    replaced = changed & (F.col("o.effective_from") == F.lit(effective).cast("date"))
     closed = changed | (F.col("known") & ~F.col("seen") & F.lit(close_missing))
     new_from = F.lit(effective).cast("date")
     old_row = F.struct(
@@ -365,7 +418,7 @@ def scd2_merge(
     )
     versions = F.array_compact(
         F.array(
-            F.when(F.col("known"), old_row),
+            F.when(F.col("known") & ~replaced, old_row),
             F.when(changed | ~F.col("known"), new_row),
         )
     )
@@ -374,6 +427,61 @@ def scd2_merge(
     return past.unionByName(merged)
 
 
+def scd2_backdate(history: DataFrame, corrections: DataFrame, natural_key: str) -> DataFrame:
+    """K6: the history with attributes that are learned late; `corrections` has the key, attributes and effective_from.
+
+    A correction begins a version on its date, which lasts as long as the one it falls into, or up to the next; a version
+    that begins on the same date gets the corrected attributes. Outside all versions it lasts up to the next one. The job
+    fails on NULL or repeated (key, date) in the corrections. Versions of one member are taken to be few.
+    """
+    place = [natural_key, "effective_from"]
+    attributes = [c for c in corrections.columns if c not in place]
+    present = [F.coalesce(c, F.raise_error(F.lit(f"NULL in {c} of a correction"))).alias(c) for c in place]
+    told = _refuse_repeats(corrections.select(*present, F.struct(*attributes).alias("_new")), place)
+    known = history.select(*place, F.struct(*attributes).alias("_old"), "effective_to")
+    both = known.join(told, place, "full")
+    in_order = Window.partitionBy(natural_key).orderBy("effective_from")
+    before = F.last("effective_to", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    split = F.when(before > F.col("effective_from"), before)
+    last_day = F.coalesce("effective_to", split, F.lit(FOREVER).cast("date"))
+    dated = both.withColumn("_to", F.least(last_day, F.lead("effective_from").over(in_order)))
+    chosen = F.coalesce("_new", "_old")
+    rows = dated.select(
+        *place,
+        *[chosen.getField(c).alias(c) for c in attributes],
+        F.col("_to").alias("effective_to"),
+        (F.col("_to") == F.lit(FOREVER).cast("date")).alias("is_current"),
+    )
+    return rows.select(*history.columns)
+
+
+def changed_spans(before: DataFrame, after: DataFrame, natural_key: str, key: str) -> DataFrame:
+    """Members and intervals [starts, ends) in which another version is valid after a change of the history than before.
+
+    Versions that both have drop out in one grouping, so that only those of members that changed go on.
+    """
+    columns = [natural_key, "effective_from", "effective_to", key]
+    sides = [side.select(*columns, F.lit(sign).alias("_sign")) for side, sign in ((before, -1), (after, 1))]
+    differing = sides[0].unionByName(sides[1]).groupBy(*columns).agg(F.sum("_sign").alias("_sign")).where("_sign <> 0")
+    listed = differing.groupBy(natural_key).agg(
+        F.collect_list(F.struct("effective_from", "effective_to", F.col(key).alias("key"), "_sign")).alias("_versions")
+    )
+    edges = F.concat(F.col("_versions.effective_from"), F.col("_versions.effective_to"))
+    cut = listed.withColumn("_cuts", F.array_sort(F.array_distinct(edges)))
+    rest = F.size("_cuts") - 1
+    pairs = F.arrays_zip(F.slice("_cuts", 1, rest).alias("starts"), F.slice("_cuts", 2, rest).alias("ends"))
+    spans = cut.select(natural_key, "_versions", F.inline(pairs).alias("starts", "ends"))
+
+    def valid(sign: int) -> Column:
+        starts = F.col("starts")
+        inside = F.filter(
+            "_versions", lambda v: (v["_sign"] == sign) & (v["effective_from"] <= starts) & (starts < v["effective_to"])
+        )
+        return F.get(inside, F.lit(0)).getField("key")
+
+    return spans.where(~valid(-1).eqNullSafe(valid(1))).select(natural_key, "starts", "ends")
+
+
 def scd1_merge(dimension: DataFrame, snapshot: DataFrame, natural_key: str) -> DataFrame:
     """K7: snapshot rows replace those with the same natural key; the others stay."""
     kept = dimension.join(snapshot.select(natural_key), natural_key, "left_anti")

@@ -57,8 +57,8 @@ def rows_of_months(df: DataFrame, months: Sequence[int], moment: str = "created_
     return df.where(reduce(or_, [(at >= first_day(m)) & (at < first_day(following(m))) for m in months], F.lit(False)))
 
 
-def _replace_months(rolled: DataFrame, path: str, months: Sequence[int] | None) -> None:
-    """Write the months of a roll-up; `months` may name some that have no row left, and None stands for all there are."""
+def replace_months(rolled: DataFrame, path: str, months: Sequence[int] | None) -> None:
+    """Write the months of a table that has a month_key; `months` may name some that have no row left, and None stands for all there are."""
     spark = rolled.sparkSession
     writer = rolled.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
     if months is None:
@@ -80,7 +80,7 @@ def write_months(entities: Entities, root: str, months: Sequence[int] | None = N
     for name, (entity, rollup) in ROLLUPS.items():
         rows = entities[entity] if months is None else rows_of_months(entities[entity], months)
         paths[name] = f"{root}/{name}"
-        _replace_months(rollup(rows.withColumn(MONTH, month_key(F.col("created_at")))), paths[name], months)
+        replace_months(rollup(rows.withColumn(MONTH, month_key(F.col("created_at")))), paths[name], months)
     return paths
 
 
@@ -102,7 +102,7 @@ def write_student_bitmaps(
     bits = keyed.groupBy(MONTH, "course_id", F.bitmap_bucket_number("student_key").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("student_key")).alias("students")
     )
-    _replace_months(bits, path, months)
+    replace_months(bits, path, months)
     return path
 
 

@@ -123,11 +123,14 @@ def materialize(
     holidays: Sequence[str] = (),
     monthly: str | None = None,
     months: Sequence[int] | None = None,
+    effective: str | None = None,
 ) -> dict[str, str]:
     """S7: reports, charts and, if asked for, models, star schema and KPIs; returns table paths by name.
 
     The run is named in `<root>/runs` as the last step. With `monthly`, a folder that runs share, reports add up
     the roll-ups of all months stored there, and only those of `months` (all, if None) are made anew.
+    With `effective`, the day this delivery takes effect, keys and the students' history go on from the last run
+    that was given one: members keep their keys, versions theirs, and the same delivery again changes none.
     """
     base = f"{root}/{run_id}/{uuid.uuid4().hex}"
     if monthly is not None:
@@ -138,17 +141,20 @@ def materialize(
         tables |= write_models(shared, base, partitions)
     tables |= write_charts(spark, tables, base)
     if with_star:
-        written = write_star(entities, base, fact_partition, holidays)
-        tables |= written | write_kpis(spark, written, base)
+        kept = {} if effective is None else write_lasting(spark, entities, base, root, effective)
+        registers = {k: read_table(spark, kept[f"register_{k}"]) for k in star.KINDS} if kept else None
+        written = write_star(entities, base, fact_partition, holidays, registers)
+        tables |= kept | written | write_kpis(spark, written, base)
     done = literal_table(spark, [(run_id, base, tables)], "run_id string, folder string, tables map<string, string>")
     done.withColumn("finished_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/runs")
     return tables
 
 
-def _latest(spark: SparkSession, root: str, run_id: str | None) -> Row:
+def _latest(spark: SparkSession, root: str, run_id: str | None = None, holding: str | None = None) -> Row:
     try:
         runs = read_table(spark, f"{root}/runs", RUN_SCHEMA)
         runs = runs if run_id is None else runs.where(F.col("run_id") == run_id)
+        runs = runs if holding is None else runs.where(F.map_contains_key("tables", holding))
         found = runs.orderBy(F.desc("finished_at")).first()
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
@@ -181,15 +187,42 @@ def write_kpis(spark: SparkSession, written: Mapping[str, str], base: str) -> di
     return _write_all(jobs, f"{base}/kpis")
 
 
+def write_lasting(spark: SparkSession, entities: Entities, base: str, root: str, effective: str) -> dict[str, str]:
+    """K5, K6: key registers and the students' history, extended from the last complete run that has them."""
+    try:
+        earlier = _latest(spark, root, holding="student_history")["tables"]
+    except LookupError:
+        earlier = {}
+    jobs = {}
+    for kind in star.KINDS:
+        known = read_table(spark, earlier[f"register_{kind}"]) if earlier else None
+        jobs[f"register_{kind}"] = partial(star.extended_register, entities, kind, known)
+    before = read_table(spark, earlier["student_history"]) if earlier else None
+    jobs["student_history"] = partial(_student_history, entities, before, effective)
+    return _write_all(jobs, f"{base}/lasting")
+
+
+def _student_history(entities: Entities, before: DataFrame | None, effective: str) -> DataFrame:
+    students = star.students(entities)
+    if before is None:
+        return star.with_version_key(star.start_history(students, effective), "student_id", "version_key")
+    merged = star.scd2_merge(before.drop("version_key"), students, "student_id", effective, close_missing=True)
+    return star.extend_version_keys(before, merged, "student_id", "version_key")
+
+
 def write_star(
-    entities: Entities, base: str, fact_partition: str = "date_key", holidays: Sequence[str] = ()
+    entities: Entities,
+    base: str,
+    fact_partition: str = "date_key",
+    holidays: Sequence[str] = (),
+    registers: Entities | None = None,
 ) -> dict[str, str]:
     """Dimensions, then facts joined to the written dimensions.
 
     K10: facts are partitioned by `date_key`, `month_key` or `school_key` (the student's). The
     rebalance hint gathers a partition's rows into few files and splits it when it is large.
     """
-    dims = star.dimensions(entities, holidays)
+    dims = star.dimensions(entities, holidays, registers)
     # Dimensions that others take keys from come first and are read back from their tables.
     order = [
         "dim_school", "dim_teacher", "dim_student", "dim_parent",
