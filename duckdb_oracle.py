@@ -517,6 +517,7 @@ GROUP BY 1, 2, 3, 4
 """,
 }
 STREAM["K12_batch"] = STREAM["K12"]
+STREAM["K12_recount"] = STREAM["K12"]
 
 PREDICTED = f"""(
 SELECT CASE WHEN avg_gpa >= 3.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,

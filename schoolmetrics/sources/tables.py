@@ -70,6 +70,13 @@ def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> s
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store it lies."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of written files, if it is there, in whatever store it lies."""
     sc = spark.sparkContext
