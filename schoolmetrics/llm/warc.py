@@ -7,7 +7,8 @@ below 16 MiB, and that byte is the line separator; a longer member is followed b
 
 Reading: archives are read as binary files. A member or plain record is taken if gzip's checksum, the version line, the
 content length and the digests all hold. Where a check fails, the reader looks for the next gzip member or version line
-that holds, goes on from there, and logs the bytes between as a quarantined gap. An archive is one task's work; `per_file`
+that holds, goes on from there, and logs the bytes between as a quarantined gap. Inside a member it does the same with
+the content: records before the fault of a damaged member are kept, and a damaged record doesn't cost its neighbours. An archive is one task's work; `per_file`
 bounds how large the writer makes them.
 
 Cases: a null payload counts as empty, and empty payloads are equal to each other; a page without an id keeps its record,
@@ -32,12 +33,16 @@ from pyspark.sql import functions as F
 PREFIX = "urn:page:"
 DATE = "1970-01-01T00:00:00Z"
 PER_FILE = 10_000
+FILE_BYTES = 256 << 20
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
 END = b"\r\n\r\n"
+CHUNK = 1 << 14
 #: A version line and named fields; and a version line inside, which a cut header runs into.
 HEADER = re.compile(rb"WARC/1\.\d(?:\r\n[A-Za-z0-9-]+:[^\x00-\x08\x0a-\x1f]*)+")
 INNER = re.compile(rb".WARC/1\.\d\r\n", re.DOTALL)
+#: The fields that every record has.
+REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 EMPTY_MEMBER = zlib.compress(b"", 6, 31)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -67,15 +72,20 @@ def record(page_id: str | None, url: str | None, payload: bytes, refers_to: str
     return head.encode() + block + END
 
 
-def _member_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _member_batches(batches: Iterable[pa.RecordBatch], file_bytes: int) -> Iterator[pa.RecordBatch]:
+    part, held = 0, 0
     for batch in batches:
-        out = []
+        out, parts = [], []
         for row in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "refers_to")), strict=True):
             member = zlib.compress(record(*(x.as_py() for x in row)), 6, 31)
             if member[-1]:
                 member += EMPTY_MEMBER
+            if held and held + len(member) > file_bytes:
+                part, held = part + 1, 0
+            held += len(member)
             out.append(member[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
+            parts.append(part)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(parts, pa.int32())], ["member", "part"])
 
 
 def planned(pages: DataFrame, *, id_col: str, url_col: str, payload_col: str) -> DataFrame:
@@ -90,13 +100,24 @@ def planned(pages: DataFrame, *, id_col: str, url_col: str, payload_col: str) ->
 
 
 def write_archives(
-    pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", per_file: int = PER_FILE
+    pages: DataFrame,
+    path: str,
+    *,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    payload_col: str = "html",
+    per_file: int = PER_FILE,
+    file_bytes: int = FILE_BYTES,
 ) -> str:
-    """Write all pages as gzipped WARC files below `path`."""
+    """Write all pages as gzipped WARC files below `path`, in folders by the part of a task's output they hold.
+
+    A file has at most `per_file` pages and `file_bytes` bytes; a page larger than that has a file of its own.
+    """
     plan = planned(pages, id_col=id_col, url_col=url_col, payload_col=payload_col)
     texts = plan.select(F.col("page_id").cast("string"), "url", "payload", F.col("refers_to").cast("string"))
-    members = texts.mapInArrow(_member_batches, "member binary").select(F.col("member").cast("string").alias("value"))
-    members.write.option("lineSep", "\u0000").option("maxRecordsPerFile", per_file).text(path)
+    members = texts.mapInArrow(lambda batches: _member_batches(batches, file_bytes), "member binary, part int")
+    values = members.select(F.col("member").cast("string").alias("value"), "part")
+    values.write.option("lineSep", "\u0000").option("maxRecordsPerFile", per_file).partitionBy("part").text(path)
     return path
 
 
@@ -127,6 +148,8 @@ def _plain(data: bytes | memoryview, at: int) -> Found:
         raise Bad("header is not well formed")
     lines = head.decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    if missing := [name for name in REQUIRED if not fields.get(name)]:
+        raise Bad(f"no {missing[0]}")
     length = fields.get("content-length", "")
     if not length.isdecimal():
         raise Bad("no content length")
@@ -149,53 +172,121 @@ def payload_of(block: bytes) -> bytes:
     return block.partition(END)[2]
 
 
-def _member(data: memoryview, at: int) -> tuple[int, bytes]:
-    """End and content of the gzip member that begins at `at`."""
+def _member(data: memoryview, at: int) -> tuple[int, bytes, str | None]:
+    """End and content of the gzip member that begins at `at`; with a reason, what came out before it went wrong."""
     unzip, out, fed = zlib.decompressobj(31), [], at
-    try:
-        while not unzip.eof:
-            if fed >= len(data):
-                raise Bad("member is cut off")
-            chunk = data[fed : fed + (1 << 16)]
+    while not unzip.eof:
+        if fed >= len(data):
+            return len(data), b"".join(out) + unzip.flush(), "member is cut off"
+        # Short chunks, since a chunk that fails gives nothing of what it held before the fault.
+        chunk = data[fed : fed + CHUNK]
+        try:
             out.append(unzip.decompress(chunk))
-            fed += len(chunk)
-    except zlib.error as error:
-        raise Bad(f"gzip: {error}") from error
-    return fed - len(unzip.unused_data), b"".join(out)
+        except zlib.error as error:
+            return fed, b"".join(out) + _up_to_fault(data, at, fed), f"gzip: {error}"
+        fed += len(chunk)
+    return fed - len(unzip.unused_data), b"".join(out), None
+
+
+def _up_to_fault(data: memoryview, at: int, fed: int) -> bytes:
+    """What the bytes from `fed` on give, one by one, before the fault in them."""
+    unzip, out = zlib.decompressobj(31), []
+    for start in range(at, fed, CHUNK):
+        unzip.decompress(data[start : start + CHUNK])
+    try:
+        for i in range(fed, min(fed + CHUNK, len(data))):
+            out.append(unzip.decompress(data[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
-def _at(data: bytes, view: memoryview, at: int) -> list[Found]:
-    """The records of the member or plain record that begins at `at`; raises if a check fails."""
+def _inside(content: bytes) -> Iterator[Found]:
+    """The records of a text whose checks hold, and the gaps between them, by positions in it."""
+    at, gap, why = 0, None, ""
+    while at < len(content):
+        try:
+            one = _plain(content, at)
+        except Bad as bad:
+            if gap is None:
+                gap, why = at, str(bad)
+            after = content.find(VERSION, at + 1)
+            at = after if after >= 0 else len(content)
+            continue
+        if gap is not None:
+            yield Found(gap, at, {}, reason=why)
+            gap = None
+        yield one
+        at = one.end
+    if gap is not None:
+        yield Found(gap, len(content), {}, reason=why)
+
+
+def _of_member(at: int, end: int, content: bytes) -> list[Found]:
+    """Records and inner gaps of a sound member; all lie at its place in the file, inner gaps tell theirs in the reason."""
+    found = []
+    for one in _inside(content):
+        why = one.reason and f"{one.reason}, bytes {one.start} to {one.end} of the member's content"
+        found.append(Found(at, end, one.fields, one.block, why))
+    return found
+
+
+def _sound(data: bytes, view: memoryview, at: int) -> tuple[list[Found], int]:
+    """What the member or plain record that begins at `at` holds, and its end; raises if a check fails."""
     if data[at : at + len(GZIP)] != GZIP:
-        return [_plain(data, at)]
-    end, content = _member(view, at)
-    found, inside = [], 0
-    while inside < len(content):
-        one = _plain(content, inside)
-        inside = one.end
-        found.append(Found(at, end, one.fields, one.block))
-    return found or [Found(at, end, {})]
+        one = _plain(data, at)
+        return [one], one.end
+    end, content, fault = _member(view, at)
+    if fault is not None:
+        raise Bad(fault)
+    return _of_member(at, end, content), end
+
+
+def _gap(view: memoryview, start: int, end: int, starts: list[int], why: str) -> Iterator[Found]:
+    """The gap between two sound parts, and the records that damaged members in it give before their fault.
+
+    Taken from the last member to the first, each up to the next that gives records, so that none comes twice. A damaged
+    member may give wrong bytes before the fault shows: only records whose block digest holds are taken. Digests don't
+    cover headers.
+    """
+    rescued: list[Found] = []
+    upto = end
+    for at in reversed(starts):
+        content = _member(view[:upto], at)[1]
+        whole = [f for f in _inside(content) if f.fields.get("warc-block-digest", "").startswith("sha1:")]
+        if whole:
+            rescued = [Found(at, upto, f.fields, f.block) for f in whole] + rescued
+            upto = at
+    yield Found(start, end, {}, reason=f"{why}, {len(rescued)} records rescued" if rescued else why)
+    yield from rescued
 
 
 def salvage(data: bytes) -> Iterator[Found]:
-    """All records whose checks hold, and the gaps between them."""
+    """All records whose checks hold, and the gaps between them.
+
+    A damaged member is a gap up to the next member or version line that holds, and gives the records that came out of it
+    whole before the fault. A sound member with a damaged record gives its other records and an inner gap.
+    """
     view, at, gap, why = memoryview(data), 0, None, ""
+    starts: list[int] = []
     while at < len(data):
         try:
-            found = _at(data, view, at)
+            found, end = _sound(data, view, at)
         except Bad as bad:
             if gap is None:
                 gap, why = at, str(bad)
+            if data[at : at + len(GZIP)] == GZIP:
+                starts.append(at)
             after = [p for p in (data.find(GZIP, at + 1), data.find(VERSION, at + 1)) if p >= 0]
             at = min(after, default=len(data))
             continue
         if gap is not None:
-            yield Found(gap, at, {}, reason=why)
-            gap = None
-        yield from (f for f in found if f.fields)
-        at = found[-1].end
+            yield from _gap(view, gap, at, starts, why)
+            gap, starts = None, []
+        yield from found
+        at = end
     if gap is not None:
-        yield Found(gap, len(data), {}, reason=why)
+        yield from _gap(view, gap, len(data), starts, why)
 
 
 ENTRY = (
