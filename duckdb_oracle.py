@@ -620,6 +620,12 @@ INTEGRITY = {
         f"SELECT '{e}' AS entity, id, COUNT(*) AS n_rows FROM faulty_{e} GROUP BY id HAVING COUNT(*) > 1" for e in ENTITY_NAMES
     ),
     "S2_quarantine": _quarantine(),
+    "S3_differences": """
+SELECT 'grade' AS column_name, 'missing' AS problem, 'string' AS declared, 'string' AS found, COUNT(*) AS n_rows FROM grades WHERE id LIKE '%7'
+UNION ALL SELECT 'points', 'extra', NULL, 'int', COUNT(*) FROM grades WHERE id LIKE '%7'
+UNION ALL SELECT 'comments', 'missing', 'string', NULL, COUNT(*) FROM grades
+UNION ALL SELECT 'updated_at', 'retyped', 'timestamp_ntz', 'string', COUNT(*) FROM grades
+""",
     "S2_unknown_member": "SELECT c.name, COUNT(*) AS n_changes FROM adjustments a "
     "LEFT JOIN faulty_courses c ON c.id = a.course_id GROUP BY c.name",
 }

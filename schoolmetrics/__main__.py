@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from schoolmetrics.plans.pipeline import materialize
+from schoolmetrics.sources.integrity import refuse_schema_differences
 from schoolmetrics.sources.tables import read_entities, register_views
 
 
@@ -26,9 +27,12 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     parser.add_argument("--monthly", help="folder of monthly roll-ups that runs share; reports add them up")
     parser.add_argument("--months", nargs="*", type=int, metavar="YYYYMM", help="months that changed; by default all are made anew")
     parser.add_argument("--effective", metavar="YYYY-MM-DD", help="day the delivery takes effect; keys and history go on from earlier runs")
+    parser.add_argument("--check-files", action="store_true", help="first refuse files that lack or retype a declared column")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("schoolmetrics").getOrCreate()
+    if args.check_files:
+        refuse_schema_differences(spark, args.entities)
     source = read_entities(spark, args.entities)
     register_views(source)
     return materialize(

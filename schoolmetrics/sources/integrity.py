@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from schoolmetrics.schemas import ENTITIES
 
@@ -104,3 +105,57 @@ def with_unknown_member(dimension: DataFrame, key: str) -> DataFrame:
 def pointed_to_unknown(fact: DataFrame, *keys: str) -> DataFrame:
     """A fact whose missing keys are UNKNOWN, so that inner joins with dimensions lose no row."""
     return fact.withColumns({key: F.coalesce(F.col(key), F.lit(UNKNOWN).cast(fact.schema[key].dataType)) for key in keys})
+
+
+class SchemaMismatch(ValueError):
+    """Files of a table don't hold what its schema declares."""
+
+
+def schema_differences(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """S3: where the files of a table differ from its declared schema, with how many rows that concerns.
+
+    `missing`: rows of files without a single value in a required column, or all rows if no file has a declared column.
+    `extra`: values of columns that aren't declared. `retyped`: all rows, if files hold another type. Footers of all files
+    are read, and the required and undeclared columns once, counted by file. Files whose types contradict each other
+    can't be read as one table; the error names the column.
+    """
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    held = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
+    declared = {f.name: f.dataType.simpleString() for f in schema.fields}
+    required = [f.name for f in schema.fields if not f.nullable and f.name in held]
+    counted = required + [c for c in held if c not in declared]
+    by_file = stored.groupBy(F.col("_metadata.file_path")).agg(
+        F.count("*").alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(counted)]
+    )
+
+    def finding(column: str, problem: str, rows: Column) -> Column:
+        kinds = [F.lit(kinds.get(column)).cast("string") for kinds in (declared, held)]
+        total = F.coalesce(F.sum(rows), F.lit(0)).alias("n_rows")
+        return F.struct(F.lit(column).alias("column_name"), F.lit(problem).alias("problem"),
+                        kinds[0].alias("declared"), kinds[1].alias("found"), total)
+
+    everywhere = [finding(c, "missing", F.col("n")) for c in declared if c not in held]
+    everywhere += [finding(c, "retyped", F.col("n")) for c in declared if c in held and held[c] != declared[c]]
+    everywhere += [finding(c, "extra", F.col(f"v{i}")) for i, c in enumerate(counted) if c not in declared]
+    somewhere = [finding(c, "missing", F.when(F.col(f"v{i}") == 0, F.col("n"))) for i, c in enumerate(required)]
+    no_finding = F.array().cast("array<struct<column_name string, problem string, declared string, found string, n_rows bigint>>")
+    listed = by_file.agg(
+        F.concat(no_finding, F.array(*everywhere) if everywhere else no_finding,
+                 F.filter(F.array(*somewhere), lambda x: x["n_rows"] > 0) if somewhere else no_finding).alias("findings")
+    )
+    return listed.select(F.inline("findings"))
+
+
+def refuse_schema_differences(spark: SparkSession, root: str) -> None:
+    """S3: raise by name for entity tables whose files lack or retype a declared column; undeclared ones are let be."""
+    wrong = []
+    for entity, schema in ENTITIES.items():
+        found = schema_differences(spark, f"{root}/{entity}", schema).where("problem <> 'extra'").collect()  # a row a column
+        optional = {f.name for f in schema.fields if f.nullable}
+        wrong += [
+            f"{entity}.{r.column_name} {r.problem} in {r.n_rows} rows (declared {r.declared}, found {r.found})"
+            for r in found
+            if r.problem == "retyped" or r.column_name not in optional
+        ]
+    if wrong:
+        raise SchemaMismatch("; ".join(wrong))

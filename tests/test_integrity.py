@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from school import district
 
 from schoolmetrics.operators import star
@@ -54,3 +57,21 @@ def test_unknown_members_keep_facts(make, rows):
     courses = integrity.with_unknown_member(dims["dim_course"], "course_key")
     joined = fact.join(students.select("student_key"), "student_key").join(courses.select("course_key"), "course_key")
     assert joined.count() == tables["grades"].count()
+
+
+def test_files_that_differ_from_the_schema(spark, make, tmp_path):
+    root = str(tmp_path)
+    tables = {name: df.na.fill("x") for name, df in make(**district(2)).items()}
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}")
+        assert integrity.schema_differences(spark, f"{root}/{name}", ENTITIES[name]).collect() == []
+    integrity.refuse_schema_differences(spark, root)
+    assert integrity.schema_differences(spark, f"{root}/users", StructType(ENTITIES["users"].fields[:2])).count() == 7
+    tables["grades"].limit(7).drop("grade").withColumn("n", F.lit(1)).coalesce(1).write.mode("append").parquet(f"{root}/grades")
+    found = integrity.schema_differences(spark, f"{root}/grades", ENTITIES["grades"]).collect()
+    assert sorted(tuple(r) for r in found) == [("grade", "missing", "string", "string", 7), ("n", "extra", None, "int", 7)]
+    with pytest.raises(integrity.SchemaMismatch, match="grades.grade missing in 7 rows"):
+        integrity.refuse_schema_differences(spark, root)
+    # An empty table lacks what no file has.
+    tables["homeworks"].limit(0).drop("course_id").write.mode("overwrite").parquet(f"{root}/homeworks")
+    assert [r.column_name for r in integrity.schema_differences(spark, f"{root}/homeworks", ENTITIES["homeworks"]).collect()] == ["course_id"]
