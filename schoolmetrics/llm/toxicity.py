@@ -229,12 +229,16 @@ def _ratio(a: F.Column, b: F.Column, share: float) -> tuple[F.Column, F.Column]:
 
 
 def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> Lexicon:
-    """Whole words and beginnings that mark toxic documents. Near copies (equal smallest shingle) count once."""
+    """Whole words and beginnings that mark toxic documents.
+
+    Near copies (equal smallest shingle) count once, by the least list of words among them, so that every run learns the same.
+    """
     seeds = {w: 1.0 for w in INSULTS.split()}
     words = stored(
         sample.select("label", "text")
         .mapInArrow(_word_batches, "label int, code long, words array<string>")
-        .dropDuplicates(["code", "label"]),
+        .groupBy("code", "label")
+        .agg(F.min("words").alias("words")),
         "words",
     )
     toxic, clean = words.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
@@ -263,7 +267,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> Lexicon:
     found = hits.join(F.broadcast(shortlist), ["entry", "whole"]).distinct()
     found = found.groupBy("entry", "whole").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     odds = F.log((F.col("a") + 0.5) / (F.col("b") + 0.5)) - math.log(toxic / clean)
-    kept = found.where((p >= LEAST_SHARE) & (ratio >= LEAST_RATIO)).orderBy(ratio.desc(), "entry").limit(size)
+    kept = found.where((p >= LEAST_SHARE) & (ratio >= LEAST_RATIO)).orderBy(ratio.desc(), "entry", "whole").limit(size)
     rows = kept.select("entry", "whole", odds.alias("weight")).collect()
     learned = {r.entry: r.weight for r in rows if r.whole}
     beginnings = {r.entry: r.weight for r in rows if not r.whole}
@@ -308,7 +312,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPL
             x = [clause_features(t, reader)[0] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
 
-    rows = sample.mapInArrow(features, "label int, x array<double>").collect()  # at most sample_rows short rows
+    # At most sample_rows short rows, in an order of their own, since sums of doubles depend on it.
+    rows = sorted(sample.mapInArrow(features, "label int, x array<double>").collect(), key=lambda r: (r.label, r.x))
     y = np.array([r.label for r in rows], float)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(lexicon, PRIOR)

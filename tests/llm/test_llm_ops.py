@@ -449,6 +449,18 @@ def test_toxicity_learns_words_on_other_rows(spark):
     assert empty.weights == toxicity.PRIOR and toxicity.score_toxicity(docs.limit(0), empty).count() == 0
 
 
+def test_toxicity_learns_the_same_in_any_order(spark):
+    """Of near copies always the same one teaches, whatever order they come in."""
+    rng = random.Random(7)
+    docs, labels, _ = labelled(spark, rng, "grobiankram", 200)
+    base = prose(rng, 400)
+    copies = [(2000 + i, base + f" extra{i} grobian{i}") for i in range(40)]
+    docs = docs.unionByName(frame(spark, copies).select(*docs.columns))
+    labels = labels.unionByName(spark.createDataFrame([(i, 0, 1) for i, _ in copies], labels.schema))
+    models = [toxicity.fit_toxicity(docs.repartition(n, F.hash("doc_id", F.lit(n))), labels) for n in (1, 5)]
+    assert models[0] == models[1]
+
+
 def test_quality_on_other_rows(spark):
     docs, labels, known = labelled(spark, random.Random(6), "ora ### pro $$$ quo %%% " * 8)
     rows = quality.score_quality(docs, quality.fit_quality(docs, labels)).collect()
