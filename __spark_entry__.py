@@ -16,7 +16,7 @@ import duckdb_oracle  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from schoolmetrics.operators import charts, features, kpis, models, reports, star  # noqa: E402
-from schoolmetrics.plans import months, pipeline, versions  # noqa: E402
+from schoolmetrics.plans import attempts, months, pipeline, versions  # noqa: E402
 from schoolmetrics.schemas import ENTITIES  # noqa: E402
 from schoolmetrics.sources import integrity, tables  # noqa: E402
 from schoolmetrics.sources.driver_tables import TABLES, entities  # noqa: E402
@@ -213,6 +213,31 @@ def _written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, tables.write_table(report, scratch_path(spark, "content_analysis")))
 
 
+def _resumed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean grades by school from a run that was broken off after its roll-up and taken up again."""
+    root, source = scratch_path(spark, "runs"), entities(spark, sf_dir)
+    options = {"mean": "double", "partitions": None, "fact_partition": "date_key", "holidays": [], "effective": None, "history": ""}
+    first = attempts.start_attempt(spark, root, "run-1", attempts.inputs_digest(source, options))
+    first.step("rollup", lambda: pipeline.write_rollup(source, first.folder))
+    pipeline.materialize(spark, source, root, "run-1", resume=True)
+    if pipeline.latest_run(spark, root) != first.folder:
+        raise RuntimeError("the run began anew")
+    return tables.read_table(spark, pipeline.run_tables(spark, root)["school_performance"])
+
+
+def _fingerprint_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each entity, whether its fingerprint is that of its rows in another order, and whether of rows with one column changed."""
+    source = entities(spark, sf_dir)
+    moved = {name: df.repartition(7, "id").sortWithinPartitions(F.desc("id")) for name, df in source.items()}
+    changed = {name: df.withColumn("id", F.concat("id", F.lit("x"))) for name, df in source.items()}
+    found = attempts.fingerprints(source)
+    for name, other in (("moved", moved), ("changed", changed)):
+        sums = attempts.fingerprints(other).select("table_name", F.struct("sum_a", "sum_b").alias(name))
+        found = found.join(sums, "table_name")
+    own = F.struct("sum_a", "sum_b")
+    return found.select("table_name", "n_rows", (own == F.col("moved")).alias("same_moved"), (own == F.col("changed")).alias("same_changed"))
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the reports, student tables, dimensions and facts of a full run with models and star schema."""
     root = scratch_path(spark, "runs")
@@ -300,6 +325,8 @@ def _table_queries() -> dict[str, Query]:
         "S4": _sql_on_views,
         "S5": _written_report,
         "S7": _pipeline,
+        "S7_fingerprints": _fingerprint_facts,
+        "S7_resume": _resumed_report,
         "S7_incremental": _by_months(reports.school_performance),
         "S7_incremental_homework": _by_months(reports.homework_submission_rate),
         "S7_incremental_letters": _by_months(reports.grade_distribution),

@@ -639,6 +639,10 @@ def oracle_sql() -> dict[str, str]:
         "S7_incremental": ON_ENTITIES["Q7"], "S7_incremental_homework": ON_ENTITIES["Q3"],
         "S7_incremental_letters": ON_ENTITIES["Q6"], "S7_incremental_contents": ON_ENTITIES["Q10"],
         "S7_incremental_changes": ON_ENTITIES["Q5"],
+        "S7_resume": ON_ENTITIES["Q7"],
+        "S7_fingerprints": " UNION ALL ".join(
+            f"SELECT '{e}' AS table_name, COUNT(*) AS n_rows, TRUE AS same_moved, FALSE AS same_changed FROM {e}" for e in ENTITY_NAMES
+        ),
         "S7_student_bitmaps": f"SELECT subject, unique_students FROM ({ON_ENTITIES['Q8']})",
     }
     groups = [

@@ -27,6 +27,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     parser.add_argument("--monthly", help="folder of monthly roll-ups that runs share; reports add them up")
     parser.add_argument("--months", nargs="*", type=int, metavar="YYYYMM", help="months that changed; by default all are made anew")
     parser.add_argument("--effective", metavar="YYYY-MM-DD", help="day the delivery takes effect; keys and history go on from earlier runs")
+    parser.add_argument("--resume", action="store_true", help="go on after the finished steps of a try with equal inputs")
     parser.add_argument("--check-files", action="store_true", help="first refuse files that lack or retype a declared column")
     args = parser.parse_args(argv)
 
@@ -49,6 +50,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
         monthly=args.monthly,
         months=args.months,
         effective=args.effective,
+        resume=args.resume,
     )
 
 

@@ -8,7 +8,6 @@ run leaves the tables of the earlier attempt as they are, for those who read the
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -19,14 +18,13 @@ from pyspark.sql import functions as F
 
 from schoolmetrics.operators import charts, features, kpis, models, star
 from schoolmetrics.operators.reports import REPORTS, grade_rollup
+from schoolmetrics.plans.attempts import RUN_SCHEMA, inputs_digest, start_attempt
 from schoolmetrics.plans.months import with_months, write_months
 from schoolmetrics.sources.tables import LazyTables, literal_table, read_table, write_table
 
 Entities = Mapping[str, DataFrame]
 Table = Callable[[str], DataFrame]
 
-RUN_SCHEMA = "run_id string, folder string, tables map<string, string>, finished_at timestamp"
-
 # Chart name, the report it shows and how.
 _REPORT_CHARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "avg_grade_per_course_bars": ("avg_grade_per_course", partial(charts.bars, category="course_name", value="avg_gpa")),
@@ -64,9 +62,9 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return read_table(df.sparkSession, write_table(df, path), df.schema)
 
 
-def with_rollup(entities: Entities, base: str) -> dict[str, DataFrame]:
-    """The entities plus the grades rolled up once, into a table all reports on them read."""
-    return {**entities, "grade_rollup": _stored(grade_rollup(entities["grades"]), f"{base}/work/grade_rollup")}
+def write_rollup(entities: Entities, base: str) -> dict[str, str]:
+    """The grades rolled up once, into a table all reports on them read."""
+    return _write_all({"grade_rollup": lambda: grade_rollup(entities["grades"])}, f"{base}/work")
 
 
 def write_analytics(entities: Entities, base: str, mean: str = "double") -> dict[str, str]:
@@ -124,6 +122,7 @@ def materialize(
     monthly: str | None = None,
     months: Sequence[int] | None = None,
     effective: str | None = None,
+    resume: bool = False,
 ) -> dict[str, str]:
     """S7: reports, charts and, if asked for, models, star schema and KPIs; returns table paths by name.
 
@@ -131,20 +130,33 @@ def materialize(
     the roll-ups of all months stored there, and only those of `months` (all, if None) are made anew.
     With `effective`, the day this delivery takes effect, keys and the students' history go on from the last run
     that was given one: members keep their keys, versions theirs, and the same delivery again changes none.
+    With `resume`, given in the first try as well, a run goes on after the last step that an unpublished attempt finished
+    from equal inputs; that reads each entity once more, for its fingerprint.
     """
-    base = f"{root}/{run_id}/{uuid.uuid4().hex}"
+    inputs = None
+    if resume:
+        if monthly is not None:
+            raise ValueError("runs share the monthly roll-ups, so steps made from them can't be taken up later")
+        last = "" if effective is None else _last_lasting(spark, root).get("student_history", "")
+        options = {"mean": mean, "partitions": partitions, "fact_partition": fact_partition, "holidays": list(holidays)}
+        inputs = inputs_digest(entities, options | {"effective": effective, "history": last})
+    attempt = start_attempt(spark, root, run_id, inputs)
+    base = attempt.folder
     if monthly is not None:
         write_months(entities, monthly, months)
-    shared = with_rollup(entities, base) if monthly is None else with_months(spark, entities, monthly)
-    tables = write_analytics(shared, base, mean)
+        shared = with_months(spark, entities, monthly)
+    else:
+        rollup = attempt.step("rollup", partial(write_rollup, entities, base))
+        shared = {**entities, "grade_rollup": read_table(spark, rollup["grade_rollup"])}
+    tables = dict(attempt.step("analytics", partial(write_analytics, shared, base, mean)))
     if ml:
-        tables |= write_models(shared, base, partitions)
-    tables |= write_charts(spark, tables, base)
+        tables |= attempt.step("models", partial(write_models, shared, base, partitions))
+    tables |= attempt.step("charts with models" if ml else "charts", partial(write_charts, spark, dict(tables), base))
     if with_star:
-        kept = {} if effective is None else write_lasting(spark, entities, base, root, effective)
+        kept = {} if effective is None else attempt.step("lasting", partial(write_lasting, spark, entities, base, root, effective))
         registers = {k: read_table(spark, kept[f"register_{k}"]) for k in star.KINDS} if kept else None
-        written = write_star(entities, base, fact_partition, holidays, registers)
-        tables |= kept | written | write_kpis(spark, written, base)
+        written = attempt.step("star", partial(write_star, entities, base, fact_partition, holidays, registers))
+        tables |= kept | written | attempt.step("kpis", partial(write_kpis, spark, written, base))
     done = literal_table(spark, [(run_id, base, tables)], "run_id string, folder string, tables map<string, string>")
     done.withColumn("finished_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/runs")
     return tables
@@ -187,12 +199,17 @@ def write_kpis(spark: SparkSession, written: Mapping[str, str], base: str) -> di
     return _write_all(jobs, f"{base}/kpis")
 
 
-def write_lasting(spark: SparkSession, entities: Entities, base: str, root: str, effective: str) -> dict[str, str]:
-    """K5, K6: key registers and the students' history, extended from the last complete run that has them."""
+def _last_lasting(spark: SparkSession, root: str) -> dict[str, str]:
+    """Tables of the last complete run that has keys and history; none if there is no such run."""
     try:
-        earlier = _latest(spark, root, holding="student_history")["tables"]
+        return _latest(spark, root, holding="student_history")["tables"]
     except LookupError:
-        earlier = {}
+        return {}
+
+
+def write_lasting(spark: SparkSession, entities: Entities, base: str, root: str, effective: str) -> dict[str, str]:
+    """K5, K6: key registers and the students' history, extended from the last complete run that has them."""
+    earlier = _last_lasting(spark, root)
     jobs = {}
     for kind in star.KINDS:
         known = read_table(spark, earlier[f"register_{kind}"]) if earlier else None
