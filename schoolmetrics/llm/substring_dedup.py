@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,19 @@ RUN, GROUP, LONG = 50, 25, 100
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 SOME_UNSPACED = re.compile(f"[{UNSPACED}]")
 UNIT = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
+#: By code point, whether it is white space; the last entry stands for all further ones, none of which is.
+SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
+#: Words remembered per task; beyond this the memory starts anew.
+UNITS = 200_000
 #: Bases of the rolling hashes, odd.
 BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
-#: A sentence ends before white space that follows a mark, holds a line end, or comes before a capital.
-BOUNDARY = re.compile(r"""(?<=[.!?])\s+|(?<=[.!?]["')\]])\s+|\s*\n\s*|\s+(?=[^\W\d_a-zß-öø-ÿ])""")
+#: So many powers of a base are kept by a task; those of longer texts are computed where they are needed.
+POWERS = 1 << 14
+#: A sentence ends before white space that follows a mark, holds a line end, or comes before a capital. The pattern
+#: begins with the white space itself, so that the search passes over all other characters at once.
+BOUNDARY = re.compile(
+    r"""\s(?:(?<=[.!?]\s)\s*|(?<=[.!?]["')\]]\s)\s*|(?<=\n)\s*|[^\S\n]*\n\s*|\s*(?=[^\W\d_a-zß-öø-ÿ]))"""
+)
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -60,10 +70,11 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def spans(text: str) -> Iterator[tuple[int, int, bytes]]:
+def spans(text: str, cuts: list[tuple[int, int]] | None = None) -> Iterator[tuple[int, int, bytes]]:
     """(first sentence, one past the last, normalised bytes) of every span. A-Z and white space are made alike."""
-    parts = [" ".join(text[s:e].split()).encode().lower() for s, e in sentences(text)]
-    words = [p.count(b" ") + 1 if p else 0 for p in parts]
+    split = [text[s:e].split() for s, e in (sentences(text) if cuts is None else cuts)]
+    parts = [" ".join(words).encode().lower() for words in split]
+    words = [len(s) for s in split]
     starts, at = [], 0
     for p in parts:
         starts.append(at)
@@ -81,10 +92,10 @@ def spans(text: str) -> Iterator[tuple[int, int, bytes]]:
         held -= words[first]
 
 
-def _codes(text: str) -> dict[tuple[int, int], list[tuple[int, int]]]:
-    """96-bit code -> the (first, end) of its spans in this text, in order."""
+def _codes(text: str, cuts: list[tuple[int, int]] | None = None) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """96-bit code -> the (first, end) of its spans in this text, in order. `cuts` are its sentences, if known."""
     found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for first, end, data in spans(text):
+    for first, end, data in spans(text, cuts):
         code = xxhash.xxh3_128_intdigest(data)
         found.setdefault((code & (1 << 64) - 1, code >> 96), []).append((first, end))
     return found
@@ -99,6 +110,28 @@ def units(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def unit_starts(text: str) -> np.ndarray:
+    """Where the units of a text start. Words between white space need no list of their places."""
+    if not text.isascii() and SOME_UNSPACED.search(text):
+        return np.array([start for start, _ in units(text)], np.int64)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    edge = np.diff(np.concatenate(([True], SPACE[np.minimum(points, len(SPACE) - 1)], [True])).astype(np.int8))
+    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    if len(start) and (end - start).max() > LONG:
+        return np.array([start for start, _ in units(text)], np.int64)
+    return start
+
+
+class UnitHashes(WordHashes):
+    """As its parent, for more words: a text's rarer words come again later in a task."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= UNITS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 def unit_codes(text: str, hashes: WordHashes) -> np.ndarray:
     """A 64-bit hash of each unit, A-Z made alike."""
     low = text.lower() if text.isascii() else text.encode().lower().decode()
@@ -108,13 +141,27 @@ def unit_codes(text: str, hashes: WordHashes) -> np.ndarray:
     return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
 
 
+@cache
+def _first_powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd base and of its inverse, from the first on; they wrap."""
+    forth, back = (np.cumprod(np.full(POWERS, b, np.uint64)) for b in (base, pow(base, -1, 1 << 64)))
+    return forth, back
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n powers of an odd base and of its inverse; texts of up to `POWERS` words share theirs."""
+    if n <= POWERS:
+        return tuple(p[:n] for p in _first_powers(base))
+    return tuple(np.cumprod(np.full(n, b, np.uint64)) for b in (base, pow(base, -1, 1 << 64)))
+
+
 def rolled(codes: np.ndarray, width: int, base: int) -> np.ndarray:
     """A hash of every `width` neighbouring units. Sums and products wrap, and an odd base has an inverse."""
     n = len(codes)
     if n < width:
         return np.empty(0, np.uint64)
-    powers, back = (np.cumprod(np.full(n, b, np.uint64)) for b in (base, pow(base, -1, 1 << 64)))
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * powers)))
+    forth, back = powers(base, n)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * forth)))
     return mix((total[width:] - total[:-width]) * back[: n - width + 1])
 
 
@@ -139,8 +186,8 @@ def blocks(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     end = np.concatenate((begin[1:], np.array([len(least)])))
     # A block's hash is over all its runs: where a text repeats itself there may be many, with others between.
     every = rolled(mix(codes), RUN, BASES[1])
-    powers, back = (np.cumprod(np.full(len(every), b, np.uint64)) for b in (BASES[0], pow(BASES[0], -1, 1 << 64)))
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(every * powers)))
+    forth, back = powers(BASES[0], len(every))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(every * forth)))
     return least[begin], begin, end, mix((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64))
 
 
@@ -168,7 +215,7 @@ def _within(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
 
 def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct runs of the wanted blocks of each text."""
-    hashes = WordHashes()
+    hashes = UnitHashes()
     for batch in batches:
         kind = batch.column("doc_id").type
         for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("wanted"), strict=True):
@@ -182,18 +229,15 @@ def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "check"])
 
 
-def _signed(values: Iterable[int], kind: type, signed: type) -> np.ndarray:
-    return np.fromiter(values, kind).view(signed)
-
-
 def _span_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = UnitHashes()
 
     def batch_of(ids: list, codes: list, again: list, block: list, kind: pa.DataType) -> pa.RecordBatch:
+        low, high = zip(*codes, strict=True)
         columns = [
             pa.array(ids, kind),
-            pa.array(_signed((c[0] for c in codes), np.uint64, np.int64)),
-            pa.array(_signed((c[1] for c in codes), np.uint32, np.int32)),
+            pa.array(np.array(low, np.uint64).view(np.int64)),
+            pa.array(np.array(high, np.uint32).view(np.int32)),
             pa.array(again, pa.bool_()),
             pa.array(block, pa.uint64()).view(pa.int64()),
         ]
@@ -255,7 +299,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 
 def _clean_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = UnitHashes()
     for batch in batches:
         out: list[list] = [[], [], [], []]
         for text, repeated in zip(batch.column("text"), batch.column("repeated"), strict=True):
@@ -265,7 +309,7 @@ def _clean_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if marks:
                 of = lambda *kinds: [(r["code"], r["check"]) for r in marks if r["kind"] in kinds]  # noqa: B023, E731
                 held = ([c for c, _ in of("block")], [c for c, _ in of("run")]) if of("block", "run", "run again") else None
-                row = cleaned(text, set(of("span")), held, hashes)
+                row = cleaned(text, set(of("span")) if of("span", "span again") else None, held, hashes)
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -286,26 +330,29 @@ def run_stretches(text: str, of_blocks: list[int], of_runs: list[int], hashes: W
     _, begin, end, block = blocks(codes)
     these = among(block, of_blocks)
     gone = again | among(code, of_runs) | _within(begin[these], end[these], len(code))
-    places, out = units(text), []
+    if not gone.any():
+        return []
+    places, out = unit_starts(text).tolist(), []
     for at in np.flatnonzero(gone).tolist():
         if out and at <= out[-1][1]:
             out[-1][1] = at + RUN
         else:
             out.append([at, at + RUN])
-    return [(places[a][0], places[b][0] if b < len(places) else len(text)) for a, b in out]
+    return [(places[a], places[b] if b < len(places) else len(text)) for a, b in out]
 
 
 def cleaned(
-    text: str | None, elsewhere: set[tuple[int, int]], held: tuple[list[int], list[int]] | None, hashes: WordHashes
+    text: str | None, elsewhere: set[tuple[int, int]] | None, held: tuple[list[int], list[int]] | None, hashes: WordHashes
 ) -> tuple[int, int, str, str | None]:
     """Sentences that lose words, removed words, removed stretches as start:end, and what stays of the text.
 
-    `elsewhere` are the spans and `held` the blocks and runs that another document keeps; None if no run can be repeated.
+    `elsewhere` are the spans and `held` the blocks and runs that another document keeps; None if no span, or run, can be
+    repeated.
     """
     if not text:
         return 0, 0, "", text
     cuts, gone = sentences(text), set()
-    for (low, high), places in _codes(text).items():
+    for (low, high), places in (_codes(text, cuts) if elsewhere is not None else {}).items():
         signed = (low - (1 << 64) if low >> 63 else low, high - (1 << 32) if high >> 31 else high)
         for first, end in places if signed in elsewhere else _further(places):
             gone.update(range(first, end))
@@ -324,7 +371,13 @@ def cleaned(
         kept.append(text[at:start])
         at = end
     words = sum(len(text[s:e].split()) for s, e in stretches)
-    touched = sum(any(s < end and start < e for s, e in stretches) for start, end in cuts)
+    # Sentences and stretches are in order and neither overlap: a sentence is touched if the first stretch that ends
+    # behind its start begins before its end.
+    touched, i = 0, 0
+    for start, end in cuts:
+        while i < len(stretches) and stretches[i][1] <= start:
+            i += 1
+        touched += i < len(stretches) and stretches[i][0] < end
     return touched, words, ",".join(f"{s}:{e}" for s, e in stretches), "".join([*kept, text[at:]])
 
 
