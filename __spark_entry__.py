@@ -291,7 +291,7 @@ def _by_months(report: Callable[..., DataFrame]) -> Query:
     """A report on months of which the later ones were added, and one half-written one replaced, by a second run."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source, root = entities(spark, sf_dir), scratch_path(spark, "months")
+        source, root = entities(spark, sf_dir, stored=True), scratch_path(spark, "months")
         early = F.col("created_at") < F.lit("1996-12-15").cast("timestamp_ntz")
         late = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
         months.write_months({name: df.where(early | late) if "created_at" in df.columns else df for name, df in source.items()}, root)

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from schoolmetrics.functions.scales import subject_of
@@ -24,6 +24,25 @@ Entities = Mapping[str, DataFrame]
 
 MONTH = "month_key"
 
+#: Tasks that one month's rows are dealt to, and so files of a month, at most.
+SHARES = 16
+
+
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows with `_share`, laid out so that equal (month, keys) lie together and a month lies in few tasks.
+
+    Grouping by month, `_share` and keys then needs no shuffle of its own, nor does writing by month. Keys must be so fine
+    that no group holds a large part of a month.
+    """
+    share = F.pmod(F.xxhash64(*keys), F.lit(SHARES)).cast("int")
+    return rows.withColumn("_share", share).repartition(MONTH, "_share")
+
+
+def _grades_by_month(rows: DataFrame) -> DataFrame:
+    """The roll-up by month; nearly as many groups as rows, so rows cross the network narrow and once."""
+    read = rows.select(MONTH, "course_id", "student_id", "grade", F.when(F.col("id").isNotNull(), True).alias("id"))
+    return grade_rollup(_dealt(read, "course_id", "student_id"), MONTH, "_share").drop("_share")
+
 
 def _counted(key: str, counted: str) -> Callable[[DataFrame], DataFrame]:
     return lambda rows: rows.groupBy(MONTH, key).agg(F.count(counted).alias("n"))
@@ -31,7 +50,7 @@ def _counted(key: str, counted: str) -> Callable[[DataFrame], DataFrame]:
 
 #: Roll-up, the entity it is taken from and how.
 ROLLUPS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
-    "grade_rollup": ("grades", lambda rows: grade_rollup(rows, MONTH)),
+    "grade_rollup": ("grades", _grades_by_month),
     "letter_rollup": ("grades", _counted("grade", "*")),
     "homework_rollup": ("homeworks", _counted("course_id", "id")),
     "adjustment_rollup": ("adjustments", _counted("student_id", "id")),
@@ -57,16 +76,22 @@ def rows_of_months(df: DataFrame, months: Sequence[int], moment: str = "created_
     return df.where(reduce(or_, [(at >= first_day(m)) & (at < first_day(following(m))) for m in months], F.lit(False)))
 
 
-def replace_months(rolled: DataFrame, path: str, months: Sequence[int] | None) -> None:
-    """Write the months of a table that has a month_key; `months` may name some that have no row left, and None stands for all there are."""
+def replace_months(rolled: DataFrame, path: str, months: Sequence[int] | None, gathered: bool = False) -> None:
+    """Write the months of a table that has a month_key; `months` may name some that have no row left, and None stands for all there are.
+
+    Rows are gathered by month unless they already are. Which months there are is seen while they are written.
+    """
     spark = rolled.sparkSession
-    writer = rolled.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
+    seen = Observation()
+    if months is not None:
+        rolled = rolled.observe(seen, F.collect_set(MONTH).alias("months"))  # at most `months`
+    rows = rolled if gathered else rolled.hint("rebalance", MONTH)
+    writer = rows.write.mode("overwrite").partitionBy(MONTH)
     if months is None:
         writer.parquet(path)
         return
-    found = {r[MONTH] for r in rolled.select(MONTH).distinct().collect()}  # at most `months`
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    for month in set(months) - found:
+    for month in set(months) - set(seen.get["months"]):
         delete_path(spark, f"{path}/{MONTH}={month}")
 
 
@@ -80,7 +105,8 @@ def write_months(entities: Entities, root: str, months: Sequence[int] | None = N
     for name, (entity, rollup) in ROLLUPS.items():
         rows = entities[entity] if months is None else rows_of_months(entities[entity], months)
         paths[name] = f"{root}/{name}"
-        replace_months(rollup(rows.withColumn(MONTH, month_key(F.col("created_at")))), paths[name], months)
+        rolled = rollup(rows.withColumn(MONTH, month_key(F.col("created_at"))))
+        replace_months(rolled, paths[name], months, gathered=rollup is _grades_by_month)
     return paths
 
 

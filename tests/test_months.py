@@ -7,6 +7,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from school import district
 
@@ -88,3 +89,13 @@ def test_bitmaps_count_distinct_students(spark, make, rows, tmp_path, step):
     months.write_student_bitmaps(tables["grades"], keys, path, [202400 + m for m in range(1, 13)])
     wanted = REPORTS["subject_performance"](tables).select("subject", "unique_students")
     assert rows(months.students_per_subject(read_table(spark, path), tables["courses"])) == rows(wanted)
+
+
+def test_rows_of_a_run_are_rolled_up_once(spark, make, tmp_path, monkeypatch, capsys):
+    """No second pass for the months there are, and one shuffle for grouping and writing."""
+    tables = make(**dated(8))
+    months._grades_by_month(tables["grades"].withColumn(months.MONTH, months.month_key(F.col("created_at")))).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
+    monkeypatch.setattr(DataFrame, "collect", lambda df: pytest.fail("the roll-up is computed twice"))
+    months.write_months(tables, str(tmp_path), [202311, 202312])
+    assert {p.name for p in (tmp_path / "grade_rollup").glob("month_key=*")} <= {"month_key=202311", "month_key=202312"}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from conftest import SF_DIR
 from school import district
 
 from schoolmetrics.__main__ import main
@@ -8,6 +9,7 @@ from schoolmetrics.operators import kpis, star
 from schoolmetrics.plans import pipeline
 from schoolmetrics.schemas import ENTITIES
 from schoolmetrics.sources import scratch, tables
+from schoolmetrics.sources.driver_tables import entities
 
 
 def test_ingest_keeps_schema_and_rows(spark, make, tmp_path, rows):
@@ -117,3 +119,13 @@ def test_star_tables_partitioned(spark, make, tmp_path, rows, column):
     assert rows(fact.select("student_key", "course_key", "grade_letter")) == rows(
         star.fact_grade(source, dims).select("student_key", "course_key", "grade_letter")
     )
+
+
+def test_stored_line_items_give_the_same_entities(spark, rows, capsys):
+    """Line items meet their orders once, however often grades and homeworks are read."""
+    plain, kept = entities(spark, SF_DIR), entities(spark, SF_DIR, stored=True)
+    for name in ("grades", "homeworks"):
+        assert kept[name].schema == plain[name].schema
+        assert rows(kept[name]) == rows(plain[name]), name
+        kept[name].explain()
+        assert "Join" not in capsys.readouterr().out, name
