@@ -304,7 +304,7 @@ def _by_months(report: Callable[..., DataFrame]) -> Query:
 
 def _students_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct graded students per subject from bitmaps of two runs."""
-    source, path = entities(spark, sf_dir), scratch_path(spark, "bitmaps")
+    source, path = entities(spark, sf_dir, stored=True), scratch_path(spark, "bitmaps")
     students = source["grades"].select("student_id").distinct()
     keys = star.with_surrogate_key(students, "student_id", "student_key")
     others = source["grades"].where(F.year("created_at") != 1998)

@@ -4,7 +4,8 @@ Every report is a sum over its roll-up, so months can be added up in any order:
 months are the reports on all rows. A run that is told which months changed reads the rows of these
 alone (their dates are compared in the scan) and replaces these partitions; the files of other months
 stay as they are. Distinct students need no recount: roll-ups keep (course, student) and, where only
-their number matters, bitmaps over dense student keys that are merged by OR.
+their number matters, bitmaps over dense student keys that are merged by OR. A bitmap is a row for each
+64 keys of which one is set, so a course with one student in a month takes one row of a few bytes.
 """
 
 from __future__ import annotations
@@ -118,24 +119,23 @@ def with_months(spark: SparkSession, entities: Entities, root: str) -> dict[str,
 def write_student_bitmaps(
     grades: DataFrame, keys: DataFrame, path: str, months: Sequence[int] | None = None
 ) -> str:
-    """Graded students per month and course as bitmaps over dense keys, 2^15 keys in a bucket.
+    """Graded students per month and course as bitmaps over dense keys, 64 keys in a bucket; empty buckets take no row.
 
-    `keys` has student_id and student_key (K5). Bitmaps of single rows are merged before the shuffle, so a course
-    with a third of the grades sends a bitmap per task and bucket.
+    `keys` has student_id and student_key (K5). A course with a third of the grades is dealt by its buckets.
     """
     rows = grades if months is None else rows_of_months(grades, months)
-    keyed = rows.withColumn(MONTH, month_key(F.col("created_at"))).join(keys.select("student_id", "student_key"), "student_id")
-    bits = keyed.groupBy(MONTH, "course_id", F.bitmap_bucket_number("student_key").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("student_key")).alias("students")
-    )
-    replace_months(bits, path, months)
+    dated = rows.select("student_id", "course_id", month_key(F.col("created_at")).alias(MONTH))
+    keyed = dated.join(keys.select("student_id", "student_key"), "student_id")
+    place = F.pmod("student_key", F.lit(64)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    single = keyed.select(MONTH, "course_id", F.shiftright("student_key", 6).alias("bucket"), bit.alias("students"))
+    dealt = _dealt(single, "course_id", "bucket").groupBy(MONTH, "_share", "course_id", "bucket")
+    replace_months(dealt.agg(F.bit_or("students").alias("students")).drop("_share"), path, months, gathered=True)
     return path
 
 
 def students_per_subject(bitmaps: DataFrame, courses: DataFrame) -> DataFrame:
     """Distinct graded students per subject, merged from bitmaps of any months."""
     subjects = courses.select(F.col("id").alias("course_id"), subject_of(F.col("name")).alias("subject"))
-    merged = bitmaps.join(subjects, "course_id").groupBy("subject", "bucket").agg(
-        F.bitmap_or_agg("students").alias("students")
-    )
-    return merged.groupBy("subject").agg(F.sum(F.bitmap_count("students")).alias("unique_students"))
+    merged = bitmaps.join(subjects, "course_id").groupBy("subject", "bucket").agg(F.bit_or("students").alias("students"))
+    return merged.groupBy("subject").agg(F.sum(F.bit_count("students")).alias("unique_students"))

@@ -99,3 +99,14 @@ def test_rows_of_a_run_are_rolled_up_once(spark, make, tmp_path, monkeypatch, ca
     monkeypatch.setattr(DataFrame, "collect", lambda df: pytest.fail("the roll-up is computed twice"))
     months.write_months(tables, str(tmp_path), [202311, 202312])
     assert {p.name for p in (tmp_path / "grade_rollup").glob("month_key=*")} <= {"month_key=202311", "month_key=202312"}
+
+
+def test_bitmaps_of_few_students_are_small(spark, make, tmp_path):
+    """A row for each course's one student of a month once took 4096 bytes, whatever their number."""
+    tables = make(**dated(9))
+    keys = with_surrogate_key(tables["grades"].select("student_id").distinct(), "student_id", "student_key")
+    path = months.write_student_bitmaps(tables["grades"], keys.withColumn("student_key", F.col("student_key") * 1000), str(tmp_path / "b"))
+    stored = read_table(spark, path)
+    longest = stored.select(F.max(F.length(F.col("students").cast("string")))).first()[0]
+    assert longest <= 20
+    assert stored.count() == stored.select("month_key", "course_id", "bucket").distinct().count()
