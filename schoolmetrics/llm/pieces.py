@@ -287,14 +287,17 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids") -> Column:
     by_id = {i: bytes([b]) for b, i in enumerate(pieces.bytes_)} | {i: p.encode() for p, i in pieces.ids.items()}
     table = [by_id.get(i, b"") for i in range(len(pieces.names))]
 
-    @F.pandas_udf("string")
-    def text_of(ids):
-        def one(x) -> str | None:
-            if x is None:
-                return None
-            whole = b"".join(map(table.__getitem__, x.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
-            return whole.removeprefix(" ")
-
-        return ids.map(one)
+    # Texts go into one buffer as they are decoded; rows as objects would hold several times the batch in every worker.
+    @F.arrow_udf("string")
+    def text_of(ids: pa.Array) -> pa.Array:
+        ends = ids.offsets.to_numpy()
+        values = ids.values.to_numpy(zero_copy_only=False)
+        texts, places = bytearray(), np.zeros(len(ids) + 1, np.int32)
+        for row, (start, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+            whole = b"".join(map(table.__getitem__, values[start:end].tolist()))
+            texts += whole.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ").encode()
+            places[row + 1] = len(texts)
+        valid = ids.is_valid().buffers()[1] if ids.null_count else None
+        return pa.StringArray.from_buffers(len(ids), pa.py_buffer(places), pa.py_buffer(texts), valid, ids.null_count)
 
     return text_of(F.col(ids_col))

@@ -13,6 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from schoolmetrics.llm import (
     exact_dedup,
@@ -704,3 +705,15 @@ def test_viterbi_is_the_best_path(spark):
     df = spark.createDataFrame([(w,) for w in words], "word string")
     found = {r.word: r.ids for r in pieces.encode_words(df, table, pieces.viterbi).collect()}
     assert found == {w: best(w) for w in words}
+
+
+def test_decoding_keeps_null_rows_and_builds_no_row_objects(spark):
+    """Rows as pandas objects once took an executor's memory beyond its limit."""
+    model = pieces.read_model()
+    hello, broken = model.ids[pieces.SPACE + "the"], model.bytes_[0xFF]
+    rows = [(0, [hello, hello]), (1, None), (2, []), (3, [broken, hello]), (4, [hello])]
+    df = spark.createDataFrame(rows, "doc_id int, ids array<int>").coalesce(1)
+    decoded = df.select("doc_id", pieces.decode(df, model).alias("text"))
+    assert {i: r.text for i, r in by_id(decoded).items()} == {0: "the the", 1: None, 2: "", 3: "\ufffd the", 4: "the"}
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert f"], {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in plan
