@@ -227,8 +227,8 @@ def _resumed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fingerprint_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each entity, whether its fingerprint is that of its rows in another order, and whether of rows with one column changed."""
-    source = entities(spark, sf_dir)
-    moved = {name: df.repartition(7, "id").sortWithinPartitions(F.desc("id")) for name, df in source.items()}
+    source = entities(spark, sf_dir, stored=True)
+    moved = {name: df.repartition("id").sortWithinPartitions(F.desc("id")) for name, df in source.items()}
     changed = {name: df.withColumn("id", F.concat("id", F.lit("x"))) for name, df in source.items()}
     found = attempts.fingerprints(source)
     for name, other in (("moved", moved), ("changed", changed)):

@@ -6,9 +6,11 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 from school import district
 
+import __spark_entry__ as driver
 from schoolmetrics.plans import attempts, pipeline
 from schoolmetrics.sources.tables import read_table
 
@@ -104,3 +106,17 @@ def test_sweep_keeps_what_is_read_or_needed(spark, make, tmp_path):
     assert reader.count() == 3 and Path(tried[0].folder).exists() and Path(tried[3].folder).exists()
     with pytest.raises(ValueError, match="at least one"):
         attempts.sweep(spark, root, later, keep=0)
+
+
+def test_moved_rows_take_as_many_tasks_as_the_session_says(spark, monkeypatch):
+    """Rows in another order were once dealt over seven tasks, however many rows there are."""
+    plans, found = [], attempts.fingerprints
+
+    def seen(source):
+        plans.extend(df._jdf.queryExecution().toString() for df in source.values())
+        return found(source)
+
+    monkeypatch.setattr(attempts, "fingerprints", seen)
+    driver.queries()["S7_fingerprints"](spark, SF_DIR)
+    moved = [line for plan in plans for line in plan.splitlines() if "RepartitionByExpression" in line]
+    assert moved and not any(line.rstrip().endswith(", 7") for line in moved)
