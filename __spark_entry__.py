@@ -215,7 +215,7 @@ def _written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _resumed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean grades by school from a run that was broken off after its roll-up and taken up again."""
-    root, source = scratch_path(spark, "runs"), entities(spark, sf_dir)
+    root, source = scratch_path(spark, "runs"), entities(spark, sf_dir, stored=True)
     options = {"mean": "double", "partitions": None, "fact_partition": "date_key", "holidays": [], "effective": None, "history": ""}
     first = attempts.start_attempt(spark, root, "run-1", attempts.inputs_digest(source, options))
     first.step("rollup", lambda: pipeline.write_rollup(source, first.folder))
