@@ -450,8 +450,8 @@ def _dated_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.with_version_key(history, "student_id", "version_key")
 
 
-def _dated_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities(spark, sf_dir)["grades"].select("id", "student_id", "created_at")
+def _dated_grades(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    return entities(spark, sf_dir, stored)["grades"].select("id", "student_id", "created_at")
 
 
 def _grades_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +461,7 @@ def _grades_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _repaired_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades by version, stored by month and keyed anew where every fifth student turns out to have moved earlier."""
-    grades, keyed, path = _dated_grades(spark, sf_dir), _dated_versions(spark, sf_dir), scratch_path(spark, "versions")
+    grades, keyed, path = _dated_grades(spark, sf_dir, stored=True), _dated_versions(spark, sf_dir), scratch_path(spark, "versions")
     versions.write_fact_as_of(grades, keyed, "student_id", path, "version_key")
     moved = _student_snapshots(spark, sf_dir)[0].where(F.substring("student_id", 2, 20).cast("long") % 5 == 0)
     told = moved.withColumns({"school_id": F.lit("S0"), "effective_from": F.lit("1995-03-01").cast("date")})
