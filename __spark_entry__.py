@@ -241,7 +241,7 @@ def _fingerprint_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the reports, student tables, dimensions and facts of a full run with models and star schema."""
     root = scratch_path(spark, "runs")
-    pipeline.materialize(spark, entities(spark, sf_dir), root, "run-1", ml=True, with_star=True)
+    pipeline.materialize(spark, entities(spark, sf_dir, stored=True), root, "run-1", ml=True, with_star=True)
     written = pipeline.run_tables(spark, root)
     students = ["student_features", "student_clusters", "dt_predictions"]
     names = [*reports.REPORTS, *students, *sorted(n for n in written if n.startswith(("dim_", "fact_", "kpi_")))]
