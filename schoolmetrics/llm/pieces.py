@@ -11,8 +11,9 @@ For a BPE model Viterbi gives other ids than the library, which merges; so the s
 Characters without a piece become the pieces of their bytes.
 
 `encode` builds that relation for the `DICTIONARY` most frequent words of all documents. It is a table of bounded size and
-is shipped to tasks, which then read whole texts with it. Words beyond it are folded in the task by the same rule and
-remembered; joining their occurrences back to the documents instead would shuffle several times the input.
+is shipped to tasks, which then read whole texts with it. Words beyond it are folded in the task by the same rule, all
+new ones of some documents at once; joining their occurrences back to the documents instead would shuffle several times
+the input.
 
 Cases: a null text counts as empty, and an empty text has no ids; a repeated row is encoded again; a null id is carried; an
 empty table gives no rows; "▁" in a text is read as a space, as by the library. Decoding gives the text back otherwise.
@@ -36,6 +37,11 @@ SPACE = "▁"
 DICTIONARY = 1 << 15
 #: Words: spaces and then letters, digits or other marks; both engines read the pattern alike.
 WORD = rf"{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*\p{{Nd}}+|{SPACE}*[^\p{{L}}\p{{M}}\p{{Nd}}{SPACE}]+|{SPACE}+"
+#: Spaces and what follows up to the next; words don't cross these, so distinct ones are cut into words.
+CHUNK = " +[^ ]*"
+FAR = re.compile("[\U00010000-\U0010ffff]")
+#: Words up to this length are folded many at once.
+SHORT = 32
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -195,8 +201,11 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = DICTIONA
 
     The least count comes from a histogram over eighths of powers of two, so no task puts all candidates in order.
     """
-    words = docs.select(F.explode(F.regexp_extract_all(marked(F.col(text_col)), F.lit(WORD), F.lit(0))).alias("word"))
-    counted = stored(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    text = F.col(text_col)
+    every = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(CHUNK), F.lit(0))
+    chunks = docs.where(text != "").select(F.explode(every).alias("chunk")).groupBy("chunk").agg(F.count("*").alias("n"))
+    words = chunks.select("n", F.explode(F.regexp_extract_all(F.translate("chunk", " ", SPACE), F.lit(WORD), F.lit(0))).alias("word"))
+    counted = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
     step = F.floor(F.log2("n") * 8)
     sizes = counted.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()  # a few hundred rows
     least, held = None, 0
@@ -207,21 +216,128 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = DICTIONA
     return counted.where(step >= least if least is not None else F.lit(False)).select("word")
 
 
+@dataclass(frozen=True)
+class Merges:
+    """What may be joined, for folding many words at once: symbols are pieces by their ids, and further characters of pieces."""
+
+    by_point: np.ndarray
+    """Symbol of each code point; the last one stands for all characters in no piece, and joins with nothing."""
+    pairs: np.ndarray
+    """left * symbols + right, sorted."""
+    joined: np.ndarray
+    """The piece each pair makes, and -1 for no pair."""
+    scores: np.ndarray
+    """By piece; the last entry stands for no piece."""
+    bytes_of: dict[int, bytes]
+    """Ids of the bytes of characters that are no pieces, as bytes."""
+
+    @staticmethod
+    def of(pieces: Pieces) -> Merges:
+        symbols = {c: pieces.ids.get(c, -1) for c in sorted(set("".join(pieces.ids)))}
+        spelled = [c for c, i in symbols.items() if i < 0]
+        symbols |= {c: len(pieces.names) + k for k, c in enumerate(spelled)}
+        by_point = np.full(max(map(ord, symbols), default=0) + 2, len(pieces.names) + len(spelled), np.int32)
+        for c, i in symbols.items():
+            by_point[ord(c)] = i
+        symbols |= pieces.ids
+        pairs = sorted(
+            (symbols[p[:k]] * (int(by_point[-1]) + 1) + symbols[p[k:]], i)
+            for p, i in pieces.ids.items()
+            for k in range(1, len(p))
+            if p[:k] in symbols and p[k:] in symbols
+        )
+        scores = np.full(len(pieces.names) + 1, -np.inf)
+        for p, i in pieces.ids.items():
+            scores[i] = pieces.scores[p]
+        end = [(np.iinfo(np.int64).max, -1)]  # every search ends at an entry
+        keys, made = zip(*pairs, *end, strict=True)
+        of = {by_point[ord(c)].item(): np.array([pieces.bytes_[b] for b in c.encode()], "<i4").tobytes() for c in spelled}
+        return Merges(by_point, np.array(keys, np.int64), np.array((*made, -1), np.int32), scores, of)
+
+    def _join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The pieces that pairs of symbols make, or -1."""
+        wanted = left.astype(np.int64) * (int(self.by_point[-1]) + 1) + right
+        at = np.searchsorted(self.pairs, wanted)
+        return np.where(self.pairs[at] == wanted, self.joined[at], np.int32(-1))
+
+    def fold(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Words with their symbols after all merges, a row each. All words have one length, so each merge makes all shorter by one."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1)
+        parts, rows = self.by_point[np.minimum(points, len(self.by_point) - 1)], np.arange(len(words))
+        joined = self._join(parts[:, :-1], parts[:, 1:])
+        while joined.shape[1]:
+            score, each = self.scores[joined], np.arange(len(rows))
+            best = score.argmax(axis=1)  # the leftmost of equals
+            live = score[each, best] > -np.inf
+            yield [words[i] for i in rows[~live].tolist()], parts[~live]
+            if not live.any():
+                return
+            rows, parts, joined, best = rows[live], parts[live], joined[live], best[live]
+            each, width = np.arange(len(rows)), joined.shape[1]
+            parts[each, best] = joined[each, best]
+            stay = np.arange(width + 1) != best[:, None] + 1
+            parts = parts[stay].reshape(-1, width)
+            joined = joined[np.arange(width) != best[:, None]].reshape(len(rows), width - 1)
+            i = np.flatnonzero(best > 0)
+            joined[i, best[i] - 1] = self._join(parts[i, best[i] - 1], parts[i, best[i]])
+            i = np.flatnonzero(best < width - 1)
+            joined[i, best[i]] = self._join(parts[i, best[i]], parts[i, best[i] + 1])
+        yield [words[i] for i in rows.tolist()], parts
+
+    def ids(self, words: Iterable[str], pieces: Pieces) -> dict[str, bytes]:
+        """Ids of words as bytes, by the rule of `fold_word`, which long words and those with other characters go to."""
+        by_length: dict[int, list[str]] = {}
+        found: dict[str, bytes] = {}
+        alone = []
+        for word in words:
+            if len(word) <= SHORT:
+                by_length.setdefault(len(word), []).append(word)
+            else:
+                alone.append(word)
+        other, n = int(self.by_point[-1]), len(self.scores) - 1
+        for these in by_length.values():
+            for some, parts in self.fold(these):
+                data, size = parts.astype("<i4").tobytes(), 4 * parts.shape[1]
+                for k, (word, most) in enumerate(zip(some, parts.max(axis=1, initial=-1).tolist(), strict=True)):
+                    if most < n:
+                        found[word] = data[k * size : (k + 1) * size]
+                    elif most == other:
+                        alone.append(word)
+                    else:
+                        found[word] = b"".join(self.bytes_of.get(i) or i.to_bytes(4, "little") for i in parts[k].tolist())
+        for word in alone:
+            found[word] = np.array(fold_word(word, pieces), "<i4").tobytes()
+        return found
+
+
 class Ids(dict):
     """Word -> ids as bytes; words beyond the dictionary are folded here, and remembered up to a bound."""
 
     BOUND = 300_000
 
-    def __init__(self, known: dict[str, bytes], pieces: Pieces):
+    def __init__(self, known: dict[str, bytes], pieces: Pieces, merges: Merges):
         super().__init__(known)
-        self._known, self._pieces = known, pieces
+        self._known, self._pieces, self._merges = known, pieces, merges
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= len(self._known) + self.BOUND:
+    def learn(self, words: set[str]) -> None:
+        """Remember these words; those of earlier calls may be forgotten."""
+        fresh = [w for w in words if w not in self]
+        if len(self) + len(fresh) > len(self._known) + self.BOUND:
             self.clear()
             self.update(self._known)
-        found = self[word] = np.array(fold_word(word, self._pieces), "<i4").tobytes()
-        return found
+            fresh = [w for w in words if w not in self]
+        self.update(self._merges.ids(fresh, self._pieces))
+
+
+def plain_word() -> str:
+    """WORD for `re` and texts of the first 65,536 characters: it looks their classes up in a table, and so finds words faster."""
+    every = "".join(map(chr, range(0x10000)))
+
+    def members(kind: str) -> str:
+        return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in regex.finditer(kind, every))
+
+    letters, digits = members(r"[\p{L}\p{M}]+"), members(r"\p{Nd}+")
+    return rf"{SPACE}*[{letters}]+|{SPACE}*[{digits}]+|{SPACE}*[^{letters}{digits}{SPACE}]+|{SPACE}+"
 
 
 def fold_word(word: str, pieces: Pieces) -> list[int]:
@@ -258,19 +374,23 @@ def encode(
     rows = known.toPandas()  # at most `dictionary` short rows
     shipped = {w: np.array(i, "<i4").tobytes() for w, i in zip(rows["word"], rows["ids"], strict=True)}
     parts = (pieces.ids, pieces.scores, pieces.bytes_, pieces.names)
-    shared = spark.sparkContext.broadcast((shipped, parts))
+    shared = spark.sparkContext.broadcast((shipped, parts, tuple(vars(Merges.of(pieces)).values())))
+    plain = plain_word()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = shared.value
-        find, ids_of = regex.compile(WORD).findall, Ids(known, Pieces(*own))
+        known, own, merges = shared.value
+        ids_of = Ids(known, Pieces(*own), Merges(*merges))
+        find_plain, find = re.compile(plain).findall, regex.compile(WORD).findall
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                data = []
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                split = []
                 for text in part.column("text"):
                     text = text.as_py()
                     whole = SPACE + text.replace(" ", SPACE) if text else ""
-                    data.append(b"".join(map(ids_of.__getitem__, find(whole))))
+                    split.append((find if FAR.search(whole) else find_plain)(whole))
+                ids_of.learn(set().union(*split))
+                data = [b"".join(map(ids_of.__getitem__, words)) for words in split]
                 ends = np.cumsum([0] + [len(d) // 4 for d in data]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(data), "<i4"), pa.int32())
                 ids = pa.ListArray.from_arrays(pa.array(ends), flat)
@@ -286,17 +406,31 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids") -> Column:
     """A column with the text of ids."""
     by_id = {i: bytes([b]) for b, i in enumerate(pieces.bytes_)} | {i: p.encode() for p, i in pieces.ids.items()}
     table = [by_id.get(i, b"") for i in range(len(pieces.names))]
+    spaced = [x.replace(SPACE.encode(), b" ") for x in table]
+    spelling = np.zeros(len(table), bool)
+    spelling[list(pieces.bytes_)] = True
 
     # Texts go into one buffer as they are decoded; rows as objects would hold several times the batch in every worker.
+    # Pieces are put together for some rows at once; only where bytes are spelled are they read as characters.
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
         ends = ids.offsets.to_numpy()
-        values = ids.values.to_numpy(zero_copy_only=False)
+        values, whole = ids.values.to_numpy(zero_copy_only=False), pa.array(spaced, pa.binary())
         texts, places = bytearray(), np.zeros(len(ids) + 1, np.int32)
-        for row, (start, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
-            whole = b"".join(map(table.__getitem__, values[start:end].tolist()))
-            texts += whole.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ").encode()
-            places[row + 1] = len(texts)
+        for at in range(0, len(ids), 500):
+            cut = ends[at : at + 501]
+            here = values[cut[0] : cut[-1]]
+            _, starts, data = whole.take(pa.array(here)).buffers()
+            edges = np.frombuffer(starts, np.int32)[cut - cut[0]].tolist() if len(here) else [0] * len(cut)
+            before = np.concatenate(([0], np.cumsum(spelling[here])))[cut - cut[0]]
+            spelled, data = (np.diff(before) > 0).tolist(), memoryview(data or b"")
+            for row, (start, end) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                if spelled[row]:
+                    own = b"".join(map(table.__getitem__, here[cut[row] - cut[0] : cut[row + 1] - cut[0]].tolist()))
+                    texts += own.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ").encode()
+                else:
+                    texts += data[start + (start < end and data[start] == 32) : end]
+                places[at + row + 1] = len(texts)
         valid = ids.is_valid().buffers()[1] if ids.null_count else None
         return pa.StringArray.from_buffers(len(ids), pa.py_buffer(places), pa.py_buffer(texts), valid, ids.null_count)
 

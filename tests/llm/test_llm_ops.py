@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -717,3 +718,38 @@ def test_decoding_keeps_null_rows_and_builds_no_row_objects(spark):
     assert {i: r.text for i, r in by_id(decoded).items()} == {0: "the the", 1: None, 2: "", 3: "\ufffd the", 4: "the"}
     plan = decoded._jdf.queryExecution().optimizedPlan().toString()
     assert f"], {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in plan
+
+
+def test_words_folded_at_once_are_those_folded_one_by_one():
+    """Ties, characters that are no pieces or in none, and long words, against the fold of one word."""
+    rng = random.Random(5)
+    names = list(dict.fromkeys(["a", "b", "é", *("".join(rng.choice("abcé😀") for _ in range(rng.randint(2, 5))) for _ in range(80))]))
+    table = pieces.Pieces({n: i for i, n in enumerate(names)}, {n: -float(rng.randrange(20)) for n in names}, tuple(range(100, 356)), (*names, *[""] * 300))
+    words = {"".join(rng.choice("aabbcé😀日") for _ in range(n)) for n in [*range(1, 12), 32, 33, 70] for _ in range(60)}
+    merges = pieces.Merges.of(table)
+    found = merges.ids(words, table)
+    assert {w: np.frombuffer(i, "<i4").tolist() for w, i in found.items()} == {w: pieces.fold_word(w, table) for w in words}
+    known = {"a": found["a"]} if "a" in found else {}
+    ids, most = pieces.Ids(known, table, merges), 40
+    ids.BOUND = most
+    for some in (sorted(words)[:30], sorted(words)[20:60], sorted(words)[50:70]):
+        ids.learn(set(some))
+        assert all(ids[w] == found[w] for w in some) and len(ids) <= len(known) + most
+
+
+def test_both_patterns_find_the_same_words():
+    rng = random.Random(6)
+    every = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(every), *("".join(rng.choices([pieces.SPACE, *every[: 0x250 << (4 * (k % 2))]], k=300)) for k in range(60))]
+    one, other = re.compile(pieces.plain_word()), regex.compile(pieces.WORD)
+    assert all(one.findall(t) == other.findall(t) for t in texts)
+
+
+def test_words_are_counted_from_chunks(spark):
+    """The most frequent words are those of whole texts; only distinct chunks are cut into words."""
+    texts = [(0, None), (1, ""), (2, "b  b, b▁b,\nb  "), (3, " c"), (4, "b, b, x1 x1")]
+    found = Counter(w for _, t in texts if t for w in regex.findall(pieces.WORD, pieces.SPACE + t.replace(" ", pieces.SPACE)))
+    # 2^15 words hold all; with room for two, the two most frequent ones.
+    words = pieces.frequent_words(frame(spark, texts))
+    assert {r.word for r in words.collect()} == set(found)
+    assert {r.word for r in pieces.frequent_words(frame(spark, texts), most=2).collect()} == {w for w, _ in found.most_common(2)}
