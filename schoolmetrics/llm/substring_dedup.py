@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from schoolmetrics.llm.common import stored
-from schoolmetrics.llm.shingles import WordHashes, mix
+from schoolmetrics.llm.shingles import constants, mix
 
 SENTENCES, WORDS, ALONE = 2, 20, 50
 RUN, GROUP, LONG = 50, 25, 100
@@ -45,8 +45,12 @@ SOME_UNSPACED = re.compile(f"[{UNSPACED}]")
 UNIT = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
 #: By code point, whether it is white space; the last entry stands for all further ones, none of which is.
 SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
-#: Words remembered per task; beyond this the memory starts anew.
-UNITS = 200_000
+#: By code point, a value for hashes of words: none for white space, and the same for A-Z as for a-z. Further ones are mixed.
+VALUES = constants(1 << 16, 17)
+VALUES[: len(SPACE)][SPACE] = 0
+VALUES[65:91] = VALUES[97:123]
+#: A factor for each place in a word; no word is longer than `LONG`.
+PLACES = constants(LONG + 1, 19) | np.uint64(1)
 #: Bases of the rolling hashes, odd.
 BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 #: So many powers of a base are kept by a task; those of longer texts are computed where they are needed.
@@ -110,35 +114,44 @@ def units(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def unit_starts(text: str) -> np.ndarray:
+def _points(text: str) -> np.ndarray:
+    """The code points of a text."""
+    if text.isascii():
+        return np.frombuffer(text.encode(), np.uint8)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _entries(table: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """A table's entries for code points; all beyond it have its last one."""
+    return table[points if points.dtype == np.uint8 else np.minimum(points, len(table) - 1)]
+
+
+def unit_starts(text: str, points: np.ndarray | None = None) -> np.ndarray:
     """Where the units of a text start. Words between white space need no list of their places."""
     if not text.isascii() and SOME_UNSPACED.search(text):
         return np.array([start for start, _ in units(text)], np.int64)
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    edge = np.diff(np.concatenate(([True], SPACE[np.minimum(points, len(SPACE) - 1)], [True])).astype(np.int8))
+    points = _points(text) if points is None else points
+    edge = np.diff(np.concatenate(([True], _entries(SPACE, points), [True])).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if len(start) and (end - start).max() > LONG:
         return np.array([start for start, _ in units(text)], np.int64)
     return start
 
 
-class UnitHashes(WordHashes):
-    """As its parent, for more words: a text's rarer words come again later in a task."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= UNITS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def unit_codes(text: str, hashes: WordHashes) -> np.ndarray:
-    """A 64-bit hash of each unit, A-Z made alike."""
-    low = text.lower() if text.isascii() else text.encode().lower().decode()
-    words = low.split()
-    if max(map(len, words), default=0) > LONG or (not low.isascii() and SOME_UNSPACED.search(low)):
-        words = [low[s:e] for s, e in units(low)]
-    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+def unit_codes(text: str) -> np.ndarray:
+    """A 64-bit hash of each unit, A-Z made alike: its characters' values by their places, all units of a text at once."""
+    points = _points(text)
+    start = unit_starts(text, points)
+    if not len(start):
+        return np.empty(0, np.uint64)
+    points, start = points[start[0] :], start - start[0]
+    values = _entries(VALUES, points)
+    if points.dtype != np.uint8 and points.max() >= len(VALUES) - 1:
+        far = points >= len(VALUES) - 1
+        values[far] = mix(points[far].astype(np.uint64))
+    # White space behind a unit counts as part of it and adds nothing.
+    place = np.arange(len(points)) - np.repeat(start, np.diff(start, append=len(points)))
+    return mix(np.add.reduceat(values * PLACES[np.minimum(place, LONG)], start))
 
 
 @cache
@@ -215,11 +228,10 @@ def _within(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
 
 def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct runs of the wanted blocks of each text."""
-    hashes = UnitHashes()
     for batch in batches:
         kind = batch.column("doc_id").type
         for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("wanted"), strict=True):
-            codes = unit_codes(text.as_py() or "", hashes)
+            codes = unit_codes(text.as_py() or "")
             _, begin, end, block = blocks(codes)
             code, check = runs(codes)
             these = np.isin(block, wanted.values.to_numpy(zero_copy_only=False).view(np.uint64))
@@ -230,7 +242,6 @@ def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _span_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = UnitHashes()
 
     def batch_of(ids: list, codes: list, again: list, block: list, kind: pa.DataType) -> pa.RecordBatch:
         low, high = zip(*codes, strict=True)
@@ -247,7 +258,7 @@ def _span_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         kind, ids, codes, again, block = batch.column("doc_id").type, [], [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             text = text.as_py() or ""
-            own, more = _codes(text), _own_blocks(unit_codes(text, hashes))
+            own, more = _codes(text), _own_blocks(unit_codes(text))
             ids += [doc_id] * (len(own) + len(more))
             codes += [*own, *((code, 0) for code, _ in more)]
             again += [*(bool(_further(places)) for places in own.values()), *more.values()]
@@ -298,18 +309,29 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return out.unionByName(marks(found.where("again AND block IS NOT NULL"), "run again"))
 
 
+def _marks(repeated: pa.ListArray) -> Iterator[dict[str, list[tuple[int, int]]]]:
+    """For each row the codes and checks of what is repeated, by kind. A null row has none."""
+    code, check, kind = repeated.values.flatten()
+    code, check, kind = code.to_numpy().tolist(), check.to_numpy().tolist(), kind.dictionary_encode()
+    names = kind.dictionary.to_pylist()
+    kinds, ends = kind.indices.to_numpy().tolist(), repeated.offsets.to_numpy().tolist()
+    for start, end in zip(ends[:-1], ends[1:], strict=True):
+        found: dict[str, list[tuple[int, int]]] = {}
+        for i in range(start, end):
+            found.setdefault(names[kinds[i]], []).append((code[i], check[i]))
+        yield found
+
+
 def _clean_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = UnitHashes()
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        for text, repeated in zip(batch.column("text"), batch.column("repeated"), strict=True):
-            marks = repeated.as_py()
+        for text, marks in zip(batch.column("text"), _marks(batch.column("repeated")), strict=True):
             text = text.as_py()
             row = (0, 0, "", text)
             if marks:
-                of = lambda *kinds: [(r["code"], r["check"]) for r in marks if r["kind"] in kinds]  # noqa: B023, E731
-                held = ([c for c, _ in of("block")], [c for c, _ in of("run")]) if of("block", "run", "run again") else None
-                row = cleaned(text, set(of("span")) if of("span", "span again") else None, held, hashes)
+                codes = lambda kind: [c for c, _ in marks.get(kind, ())]  # noqa: B023, E731
+                held = (codes("block"), codes("run")) if marks.keys() & {"block", "run", "run again"} else None
+                row = cleaned(text, set(marks.get("span", ())) if marks.keys() & {"span", "span again"} else None, held)
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -318,9 +340,9 @@ def _clean_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def run_stretches(text: str, of_blocks: list[int], of_runs: list[int], hashes: WordHashes) -> list[tuple[int, int]]:
+def run_stretches(text: str, of_blocks: list[int], of_runs: list[int]) -> list[tuple[int, int]]:
     """(start, end) of the runs of a text that are repeated elsewhere or that it had before, joined where they touch."""
-    codes = unit_codes(text, hashes)
+    codes = unit_codes(text)
     code = rolled(codes, RUN, BASES[0])
     if not len(code):
         return []
@@ -342,7 +364,7 @@ def run_stretches(text: str, of_blocks: list[int], of_runs: list[int], hashes: W
 
 
 def cleaned(
-    text: str | None, elsewhere: set[tuple[int, int]] | None, held: tuple[list[int], list[int]] | None, hashes: WordHashes
+    text: str | None, elsewhere: set[tuple[int, int]] | None, held: tuple[list[int], list[int]] | None
 ) -> tuple[int, int, str, str | None]:
     """Sentences that lose words, removed words, removed stretches as start:end, and what stays of the text.
 
@@ -357,7 +379,7 @@ def cleaned(
         for first, end in places if signed in elsewhere else _further(places):
             gone.update(range(first, end))
     found = [(cuts[i][0], cuts[i + 1][0] if i + 1 < len(cuts) else len(text)) for i in gone]
-    found += run_stretches(text, *held, hashes) if held is not None else []
+    found += run_stretches(text, *held) if held is not None else []
     if not found:
         return 0, 0, "", text
     stretches: list[list[int]] = []
